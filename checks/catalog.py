@@ -94,7 +94,8 @@ def _payloads(spark, d) -> DataFrame:
            .agg(F.array_sort(F.collect_list(cell)).alias("days")))
     one = one.select("batch_id", F.struct(
         "pos", F.struct(F.struct(
-            F.col("days.time"), F.col("days.weather_code"), F.col("days.temperature_2m_mean"),
+            F.col("days.time").alias("time"), F.col("days.weather_code").alias("weather_code"),
+            F.col("days.temperature_2m_mean").alias("temperature_2m_mean"),
             F.slice("days.temperature_2m_max", F.lit(1), F.size("days") - 1)
             .alias("temperature_2m_max")).alias("daily")).alias("location")).alias("item"))
     return (one.groupBy("batch_id").agg(F.array_sort(F.collect_list("item")).alias("items"))

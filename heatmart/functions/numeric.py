@@ -20,12 +20,17 @@ def no_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Correlation over pairs where both sides are present.
+def correlation(x: str, y: str) -> Column:
+    """Correlation of two columns without missing values; NULL where undefined.
 
-    corr() raises on a constant column under ANSI; here an undefined
-    correlation is NULL.
+    corr() raises on a constant column under ANSI.
     """
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation over the rows where both sides are present; NULL where undefined."""
     x, y = no_nan(x), no_nan(y)
-    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return F.try_divide(F.regr_sxy(y, x), spread)
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

@@ -11,89 +11,102 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from heatmart.functions.text import fold_name, lookup_code, lookup_name
 from heatmart.operators.scale import (
-    BROADCAST_BYTES, cut_lineage, row_bytes, spread_nulls)
+    BROADCAST_BYTES, cut_lineage, measured_bytes, row_bytes, spread_nulls)
 
 PLACE = ["nom_poi", "ville"]
 TARGET = ["code_insee", "commune", "numero_departement", "latitude", "longitude"]
 
 
-def match_places(readings: DataFrame, communes: DataFrame) -> DataFrame:
+def _names(communes: DataFrame) -> DataFrame:
+    """The commune list with its folded names, stored once for all look-ups."""
+    return cut_lineage(communes.select(
+        "code_insee", F.col("ville").alias("commune"), "numero_departement",
+        "latitude", "longitude", fold_name(F.col("ville")).alias("name_key")))
+
+
+def match_places(readings: DataFrame, communes: DataFrame,
+                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """Each distinct place with every commune it stands for.
 
     Priority: code, then point name, then town name. A later key is looked up
     only where the earlier ones found nothing, so a widely shared name is not
     paired with places that do not need it. A commune without department takes
-    the department of the next match. ``shared`` marks names several communes bear.
+    the department of the next match.
     """
-    named = communes.select(
-        "code_insee", F.col("ville").alias("commune"), "numero_departement",
-        "latitude", "longitude", fold_name(F.col("ville")).alias("name_key"))
-    many = (named.groupBy("name_key").agg(F.count("*").alias("bearers"))
-            .where("bearers > 1"))
+    named = _names(communes)
+    size = named.agg(F.sum(row_bytes(named)).alias("bytes"),
+                     F.count_if(F.col("numero_departement").isNull()).alias("bare")).first()
+    small = (size["bytes"] or 0) <= limit
     target = F.struct(*TARGET)
-    by_code = named.select(F.col("code_insee").alias("at_code"), target.alias("c1"))
-    by_name = (named.join(many, "name_key", "left")
-               .select("name_key", target.alias("target"),
-                       F.col("bearers").isNotNull().alias("many")))
-    departments = named.select("name_key", F.col("numero_departement").alias("dep")).distinct()
-
-    places = (readings.select(*PLACE).distinct()
-              .withColumn("k1", lookup_code(F.col("nom_poi")))
-              .withColumn("k2", lookup_name(F.col("nom_poi")))
-              .withColumn("k3", fold_name(F.col("ville").cast("string"))))
-
-    def look_up(left: DataFrame, key, right: DataFrame, right_key: str) -> DataFrame:
-        return (left.withColumn("_key", spread_nulls(key, F.col("nom_poi"), F.col("ville")))
-                .join(right, F.col("_key") == F.col(right_key), "left")
-                .drop("_key", right_key))
-
-    found = look_up(places, F.col("k1"), by_code, "at_code")
-    found = look_up(found, F.when(F.col("c1").isNull(), F.col("k2")),
-                    by_name.select(F.col("name_key").alias("n2"), F.col("target").alias("c2"),
-                                   F.col("many").alias("many2")), "n2")
-    found = look_up(found, F.when(F.col("c1").isNull() & F.col("c2").isNull(), F.col("k3")),
-                    by_name.select(F.col("name_key").alias("n3"), F.col("target").alias("c3"),
-                                   F.col("many").alias("many3")), "n3")
-    found = (found.withColumn("to", F.coalesce("c1", "c2", "c3")).where("to is not null")
-             .withColumn("dep0", F.col("to.numero_departement")))
-
-    # department of the lower-priority matches, for communes that have none
-    found = look_up(found, F.when(F.col("c1").isNotNull() & F.col("dep0").isNull(), F.col("k2")),
-                    departments.select(F.col("name_key").alias("n2"),
-                                       F.col("dep").alias("dep2")), "n2")
-    found = look_up(found, F.when(F.col("c3").isNull() & F.coalesce("dep0", "dep2").isNull(),
-                                  F.col("k3")),
-                    departments.select(F.col("name_key").alias("n3"),
-                                       F.col("dep").alias("dep3")), "n3")
-    return found.select(
-        *PLACE, "to.code_insee", "to.commune",
-        F.coalesce("dep0", "dep2", "dep3").alias("numero_departement"),
-        "to.latitude", "to.longitude",
-        F.coalesce("many2", "many3", F.lit(False)).alias("shared"),
-    ).distinct()
+
+    def look_up(left: DataFrame, key: Column, right: DataFrame) -> DataFrame:
+        """Left join on ``key`` with the first column of ``right``."""
+        spread = spread_nulls(key, F.col("nom_poi"), F.col("ville"))
+        return left.join(F.broadcast(right) if small else right,
+                         spread == F.col(right.columns[0]), "left")
+
+    places = readings.select(*PLACE).distinct().select(
+        *PLACE, lookup_code(F.col("nom_poi")).alias("k1"),
+        lookup_name(F.col("nom_poi")).alias("k2"),
+        fold_name(F.col("ville").cast("string")).alias("k3"))
+    c1, c2, c3 = F.col("c1"), F.col("c2"), F.col("c3")
+    found = look_up(places, F.col("k1"),
+                    named.select(F.col("code_insee").alias("at1"), target.alias("c1")))
+    found = look_up(found, F.when(c1.isNull(), F.col("k2")),
+                    named.select(F.col("name_key").alias("at2"), target.alias("c2")))
+    found = look_up(found, F.when(c1.isNull() & c2.isNull(), F.col("k3")),
+                    named.select(F.col("name_key").alias("at3"), target.alias("c3")))
+    found = found.select(*PLACE, "k2", "k3", "c1", "c2", F.coalesce(c1, c2, c3).alias("to"))
+    found = found.where("to is not null")
+    department = F.col("to.numero_departement")
+
+    if size["bare"]:
+        departments = named.select("name_key", "numero_departement").distinct()
+        bare = department.isNull()
+        found = look_up(found, F.when(bare & c1.isNotNull(), F.col("k2")),
+                        departments.toDF("at4", "d2"))
+        found = look_up(found, F.when(bare & F.col("d2").isNull() & F.coalesce(c1, c2).isNotNull(),
+                                      F.col("k3")), departments.toDF("at5", "d3"))
+        department = F.coalesce(department, "d2", "d3")
+    matched = found.select(*PLACE, "to.code_insee", "to.commune",
+                           department.alias("numero_departement"), "to.latitude", "to.longitude")
+    return matched.distinct()
 
 
 @dataclass
 class PlaceMap:
-    """A matched place table, stored in the shared folder and measured."""
+    """A matched place table in the shared folder, with its measured size.
+
+    ``several`` holds the places that stand for more than one commune.
+    """
 
     table: DataFrame
-    bytes: int
-    shared: bool
+    several: DataFrame
+    small: bool
+    branching: bool
+
+    def part(self, branching: bool) -> DataFrame:
+        if not self.branching:
+            return self.table
+        several = F.broadcast(self.several) if self.small else self.several
+        return self.table.join(several, _same_place(), "left_semi" if branching else "left_anti")
+
 
-    def part(self, shared: bool) -> DataFrame:
-        return self.table.where(F.col("shared") == F.lit(shared))
+def _same_place() -> Column:
+    return (F.col("nom_poi").eqNullSafe(F.col("_nom_poi"))
+            & F.col("ville").eqNullSafe(F.col("_ville")))
 
 
-def place_map(readings: DataFrame, communes: DataFrame) -> PlaceMap:
-    table = cut_lineage(match_places(readings, communes))
-    size = table.agg(F.sum(row_bytes(table)).alias("bytes"),
-                     F.count_if("shared").alias("shared")).first()
-    return PlaceMap(table, size["bytes"] or 0, size["shared"] > 0)
+def place_map(readings: DataFrame, communes: DataFrame,
+              limit: int = BROADCAST_BYTES) -> PlaceMap:
+    table = cut_lineage(match_places(readings, communes, limit))
+    several = (table.groupBy(*PLACE).agg(F.count("*").alias("n")).where("n > 1")
+               .select(*[F.col(c).alias(f"_{c}") for c in PLACE]))
+    return PlaceMap(table, several, measured_bytes(table) <= limit, not several.isEmpty())
 
 
 def attach(readings: DataFrame, places: DataFrame, small: bool) -> DataFrame:
@@ -104,9 +117,7 @@ def attach(readings: DataFrame, places: DataFrame, small: bool) -> DataFrame:
     """
     right = places.select(*[F.col(c).alias(f"_{c}") for c in PLACE],
                           *[F.col(c).alias(f"_to_{c}") for c in TARGET])
-    same = (F.col("nom_poi").eqNullSafe(F.col("_nom_poi"))
-            & F.col("ville").eqNullSafe(F.col("_ville")))
-    joined = readings.join(F.broadcast(right) if small else right, same)
+    joined = readings.join(F.broadcast(right) if small else right, _same_place())
     kept = [F.col(c) for c in readings.columns if c not in {*PLACE, *TARGET}]
     return joined.select(*kept, *[F.col(f"_to_{c}").alias("ville" if c == "commune" else c)
                                   for c in TARGET])
@@ -118,8 +129,8 @@ def resolve_places(readings: DataFrame, communes: DataFrame,
 
     A name borne by several communes yields one row for each of them.
     """
-    places = place_map(readings, communes)
-    return attach(readings, places.table, places.bytes <= limit)
+    places = place_map(readings, communes, limit)
+    return attach(readings, places.table, places.small)
 
 
 def resolve_best(readings: DataFrame, communes: DataFrame, choose,
@@ -131,14 +142,10 @@ def resolve_best(readings: DataFrame, communes: DataFrame, choose,
     win in any of the communes, and a popular name held by a large part of all
     readings no longer multiplies by its bearers.
     """
-    places = place_map(readings, communes)
-    small = places.bytes <= limit
-    single = attach(readings, places.part(False), small)
-    if not places.shared:
+    places = place_map(readings, communes, limit)
+    single = attach(readings, places.part(False), places.small)
+    if not places.branching:
         return single
-    names = places.part(True).select(*[F.col(c).alias(f"_{c}") for c in PLACE]).distinct()
-    same = (F.col("nom_poi").eqNullSafe(F.col("_nom_poi"))
-            & F.col("ville").eqNullSafe(F.col("_ville")))
-    several = readings.join(F.broadcast(names) if small else names, same, "left_semi")
-    several = choose(several, ["date", *PLACE])
-    return single.unionByName(attach(several, places.part(True), small))
+    names = F.broadcast(places.several) if places.small else places.several
+    shared = choose(readings.join(names, _same_place(), "left_semi"), ["date", *PLACE])
+    return single.unionByName(attach(shared, places.part(True), places.small))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,31 +13,30 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables.
+    """The folder for intermediate tables and stream state.
 
     A cluster names it in spark.checkpoint.dir. Only a local master may fall
-    back to a temporary folder.
+    back to a temporary folder, kept for the rest of the session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    in_use = spark.sparkContext.getCheckpointDir()
-    if in_use:
-        return in_use
+        return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="heatmart-")
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and go on from the files."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write df once as a table in the shared folder and go on from the files.
+
+    A lost executor then costs a re-read, never a recomputation, and Catalyst
+    prunes columns and knows the size of what follows.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_bytes(df: DataFrame) -> Column:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from heatmart.functions.numeric import no_nan, pearson, round_to
+from heatmart.functions.numeric import correlation, no_nan, round_to
 from heatmart.operators.scale import cut_lineage
 from heatmart.operators.shape import melt, to_rows
 
@@ -22,22 +22,24 @@ DRAWN = ["temperature_moyenne", "temperature_maximale", "humidite_moyenne",
 def correlation_matrix(df: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
     """Pearson correlation of every pair of columns, over rows where both are present.
 
-    One aggregate pass; an undefined correlation is NULL.
+    A row fans out into its column pairs and is reduced in the same task, so
+    one pass is enough and a few numbers per pair reach the shuffle. One wide
+    aggregate over all pairs is too long to compile and runs far slower. An
+    undefined correlation is NULL.
     """
-    pairs = list(combinations(range(len(columns)), 2))
-    row = df.agg(
-        *[pearson(F.col(columns[i]), F.col(columns[j])).alias(f"r{i}_{j}") for i, j in pairs],
-        *[(F.var_samp(no_nan(F.col(c))) > 0).alias(f"v{i}") for i, c in enumerate(columns)])
-
-    def cell(i: int, j: int):
-        if i == j:
-            return F.when(F.col(f"v{i}"), F.lit(1.0))
-        return F.col(f"r{min(i, j)}_{max(i, j)}")
-
-    size = range(len(columns))
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(columns[i]).alias("variable_1"), F.lit(columns[j]).alias("variable_2"),
-                 cell(i, j).alias("r")) for i in size for j in size])))
+    values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    cells = [F.struct(F.lit(at).alias("pair"), F.col(columns[i]).alias("x"),
+                      F.col(columns[j]).alias("y")) for at, (i, j) in enumerate(pairs)]
+    measured = (values.select(F.inline(F.array(*cells))).where("x is not null and y is not null")
+                .groupBy("pair").agg(correlation("x", "y").alias("r")))
+    grid = df.sparkSession.createDataFrame(
+        [(pairs.index((min(i, j), max(i, j))), a, b)
+         for i, a in enumerate(columns) for j, b in enumerate(columns)],
+        "pair int, variable_1 string, variable_2 string")
+    itself = (F.col("variable_1") == F.col("variable_2")) & F.col("r").isNotNull()
+    return grid.join(measured, "pair", "left").select(
+        "variable_1", "variable_2", F.when(itself, 1.0).otherwise(F.col("r")).alias("r"))
 
 
 def histograms(df: DataFrame, columns: list[str] = DRAWN, bins: int = 60) -> DataFrame:
@@ -45,22 +47,23 @@ def histograms(df: DataFrame, columns: list[str] = DRAWN, bins: int = 60) -> Dat
 
     A column with a single value is centred in a range of width one.
     """
-    ends = to_rows(
-        df.agg(*[a(no_nan(F.col(c).cast("double"))).alias(f"{n}_{c}")
-                 for c in columns for n, a in (("lo", F.min), ("hi", F.max))]),
-        "variable", {c: {"lo": F.col(f"lo_{c}"), "hi": F.col(f"hi_{c}")} for c in columns})
+    row = df.agg(*[a(no_nan(F.col(c).cast("double"))).alias(f"{n}_{c}")
+                   for c in columns for n, a in (("lo", F.min), ("hi", F.max))])
+    ends = to_rows(row, "variable", {
+        c: {"slot": F.lit(i), "lo": F.col(f"lo_{c}"), "hi": F.col(f"hi_{c}")}
+        for i, c in enumerate(columns)})
     flat = F.col("lo") == F.col("hi")
     ends = ends.where("lo is not null").select(
-        "variable", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        "variable", "slot", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     place = F.floor(bins * (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo"))) + 1
     # one row of bounds per column: its size is the number of columns
-    counts = (melt(df, columns).join(F.broadcast(ends), "variable")
-              .groupBy("variable", F.least(place, F.lit(bins)).cast("int").alias("bin"))
+    counts = (melt(df, columns).join(F.broadcast(ends.drop("variable")), "slot")
+              .groupBy("slot", F.least(place, F.lit(bins)).cast("int").alias("bin"))
               .agg(F.count("*").alias("n")))
     width = (F.col("hi") - F.col("lo")) / bins
     grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    return grid.join(counts, ["variable", "bin"], "left").select(
+    return grid.join(counts, ["slot", "bin"], "left").select(
         "variable", "bin", (F.col("lo") + width * (F.col("bin") - 1)).alias("lower"),
         (F.col("lo") + width * F.col("bin")).alias("upper"), F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -72,56 +75,59 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
     percentile() gathers all distinct values of a column in one task. Here
     equal values are first counted across the cluster; every wanted rank is
     then narrowed down: count ``fan_out`` equal slices of its current range,
-    step into the slice holding the rank, until that holds one value. Each
-    round is an aggregate of at most ``fan_out`` + 1 rows per rank.
+    step into the slice holding the rank, until that holds one value. Only
+    the bounds of that slice, one row per rank, come back to the driver.
     """
     spark = df.sparkSession
-    counted = cut_lineage(melt(df, columns).groupBy("variable", "value")
+    counted = cut_lineage(melt(df, columns).groupBy("slot", "value")
                           .agg(F.count("*").alias("copies")))
-    extent = {r["variable"]: r for r in counted.groupBy("variable").agg(
+    extent = {r["slot"]: r for r in counted.groupBy("slot").agg(
         F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
     ).collect()}
 
-    ranks: dict[tuple[str, int], dict] = {}
-    for variable, row in extent.items():
-        for share in shares:
-            at = share * (row["n"] - 1)
-            for rank in (math.floor(at), math.ceil(at)):
-                ranks[variable, rank] = {"lo": row["lo"], "hi": row["hi"], "before": 0}
+    def neighbours(slot: int, share: float) -> tuple[int, int, float]:
+        at = share * (extent[slot]["n"] - 1)
+        return math.floor(at), math.ceil(at), at - math.floor(at)
 
+    # range that still holds each (slot, rank): lowest value, highest value, values below it
+    held = {(slot, rank): (row["lo"], row["hi"], 0) for slot, row in extent.items()
+            for share in shares for rank in neighbours(slot, share)[:2]}
     while True:
-        wanted = [(v, k, s["lo"], s["hi"], s["before"])
-                  for (v, k), s in ranks.items() if s["lo"] < s["hi"]]
-        if not wanted:
+        ranges = sorted({(slot, *r) for (slot, _), r in held.items() if r[0] < r[1]})
+        if not ranges:
             break
         asked = spark.createDataFrame(
-            wanted, "variable string, rank long, lo double, hi double, before long")
-        inside = counted.join(F.broadcast(asked), "variable").where(
+            [(i, s, lo, hi) for i, (s, lo, hi, _) in enumerate(ranges)],
+            "range int, slot int, lo double, hi double")
+        wanted = spark.createDataFrame(
+            [(ranges.index((s, *r)), r[2], rank) for (s, rank), r in held.items() if r[0] < r[1]],
+            "range int, before long, rank long")
+        inside = counted.join(F.broadcast(asked), "slot").where(
             F.col("value").between(F.col("lo"), F.col("hi")))
         piece = F.floor(F.lit(float(fan_out)) * ((F.col("value") - F.col("lo"))
                                                  / (F.col("hi") - F.col("lo"))))
-        slices = (inside.groupBy("variable", "rank", "before", piece.alias("slice"))
+        slices = (inside.groupBy("slot", "range", piece.alias("slice"))
                   .agg(F.sum("copies").alias("n"), F.min("value").alias("lo"),
                        F.max("value").alias("hi")))
-        running = Window.partitionBy("variable", "rank").orderBy("slice")
-        upto = F.col("before") + F.sum("n").over(running)
-        holding = (slices.withColumn("upto", upto).where(F.col("upto") > F.col("rank"))
-                   .groupBy("variable", "rank")
-                   .agg(F.min_by(F.struct("lo", "hi", (F.col("upto") - F.col("n")).alias("before")),
-                                 "slice").alias("s")))
-        for r in holding.collect():
-            ranks[r["variable"], r["rank"]] = r["s"].asDict()
+        # a window group holds at most fan_out + 1 slices
+        running = F.sum("n").over(Window.partitionBy("slot", "range").orderBy("slice"))
+        sums = slices.withColumn("upto", running)
+        below = F.col("before") + F.col("upto") - F.col("n")
+        found = (sums.join(F.broadcast(wanted), "range")
+                 .where((F.col("rank") >= below) & (F.col("rank") < below + F.col("n")))
+                 .select("slot", "rank", "lo", "hi", below.alias("before")))
+        for r in found.collect():
+            held[r["slot"], r["rank"]] = (r["lo"], r["hi"], r["before"])
 
     rows = []
-    for variable in columns:
+    for slot, variable in enumerate(columns):
         for share in shares:
-            if variable not in extent:
-                rows.append((variable, share, None))
-                continue
-            at = share * (extent[variable]["n"] - 1)
-            low = ranks[variable, math.floor(at)]["lo"]
-            high = ranks[variable, math.ceil(at)]["lo"]
-            rows.append((variable, share, low + (high - low) * (at - math.floor(at))))
+            value = None
+            if slot in extent:
+                low, high, part = neighbours(slot, share)
+                value = held[slot, low][0]
+                value += (held[slot, high][0] - value) * part
+            rows.append((variable, share, value))
     return spark.createDataFrame(rows, "variable string, share double, value double")
 
 
