@@ -81,35 +81,29 @@ def s4_winter_scan(spark, d):
 
 
 def _payloads(spark, d) -> DataFrame:
-    """Landed payload texts: 10 locations a batch, at most 30 days a location."""
-    cell = F.struct(
-        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("time"),
-        F.expr("case when event_type = 'click' then cast(value as string) else event_type end")
-        .alias("weather_code"),
-        F.expr("case when event_type <> 'error' then value end").alias("temperature_2m_mean"),
-        F.col("value").alias("temperature_2m_max"))
-    one = (A.table(spark, d, "events")
-           .groupBy(F.expr("event_id div 300").alias("batch_id"),
-                    F.expr("(event_id div 30) % 10").cast("int").alias("pos"))
-           .agg(F.array_sort(F.collect_list(cell)).alias("days")))
-    one = one.select("batch_id", F.struct(
-        "pos", F.struct(F.struct(
-            F.col("days.time").alias("time"), F.col("days.weather_code").alias("weather_code"),
-            F.col("days.temperature_2m_mean").alias("temperature_2m_mean"),
-            F.slice("days.temperature_2m_max", F.lit(1), F.size("days") - 1)
-            .alias("temperature_2m_max")).alias("daily")).alias("location")).alias("item"))
-    return (one.groupBy("batch_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
-            .select("batch_id", F.to_json(F.col("items.location")).alias("body")))
+    """One landed payload per event: two locations, three days each, ragged arrays."""
+    body = F.expr("""to_json(array(
+        named_struct('daily', named_struct(
+            'time', transform(sequence(0, 2), i -> cast(date_add(to_date(ts), i) as string)),
+            'weather_code', array(event_type, cast(user_id as string), '3'),
+            'temperature_2m_mean', array(cast(value as string), null, cast(value + 1 as string)),
+            'temperature_2m_max', array(cast(value + 2 as string)))),
+        named_struct('daily', named_struct(
+            'time', transform(sequence(0, 2), i -> cast(date_add(to_date(ts), i) as string)),
+            'weather_code', cast(null as array<string>),
+            'temperature_2m_mean', array(cast(value + 3 as string), 'n/a'),
+            'temperature_2m_max', array('x', null, cast(value + 4 as string))))))""")
+    return A.table(spark, d, "events").select(F.col("event_id").alias("batch_id"),
+                                              body.alias("body"))
 
 
 def _locations(spark, d) -> DataFrame:
     return (A.table(spark, d, "events")
-            .selectExpr("event_id div 300 as batch_id",
-                        "cast((event_id div 30) % 10 as int) as pos").distinct()
-            .selectExpr("batch_id", "pos", "batch_id || '-' || pos as nom_poi",
-                        "'Ville ' || pos as ville", "pos / 10 as latitude_poi",
-                        "batch_id / 10 as longitude_poi",
-                        "cast(pos as string) as numero_departement"))
+            .select("event_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"), "user_id")
+            .selectExpr("event_id as batch_id", "pos", "event_id || '-' || pos as nom_poi",
+                        "'Ville ' || user_id as ville", "user_id / 10 as latitude_poi",
+                        "pos / 10 as longitude_poi",
+                        "cast(pos as string) as numero_departement").distinct())
 
 
 @query
@@ -125,13 +119,11 @@ def s6_daily_arrays_strict(spark, d):
 
 
 def _pages(spark, d) -> DataFrame:
-    """Landed pages of at most 100 health records."""
-    record = F.expr("""named_struct('dep', cast(c_nationkey as string), 'libgeo', c_name,
-        'reg', c_mktsegment, 'reglib', 'Île ' || c_mktsegment,
-        'annee', cast(2000 + c_custkey % 25 as string), 'nb_j_can', c_acctbal)""")
-    return (A.table(spark, d, "customer").groupBy(F.expr("c_custkey div 100").alias("page"))
-            .agg(F.collect_list(record).alias("results"))
-            .select(F.to_json(F.struct("results")).alias("body")))
+    """One landed page of two health records per customer."""
+    return A.table(spark, d, "customer").select(F.expr("""to_json(named_struct('results',
+        transform(array(0, 1), i -> named_struct('dep', cast(c_nationkey as string),
+            'libgeo', c_name, 'reg', c_mktsegment, 'reglib', 'Île ' || c_mktsegment,
+            'annee', cast(2000 + i as string), 'nb_j_can', c_acctbal + i))))""").alias("body"))
 
 
 @query

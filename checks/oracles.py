@@ -223,27 +223,27 @@ SELECT * REPLACE ({day('date')} AS date) FROM raw_winter
 WHERE date IS NOT NULL AND valeur IS NOT NULL"""
 
 _ARRAYS = """cells AS (
-  SELECT strftime(ts, '%Y-%m-%d 00:00:00') AS time,
-    (event_id // 300) || '-' || ((event_id // 30) % 10) AS nom_poi,
-    'Ville ' || ((event_id // 30) % 10) AS ville, ((event_id // 30) % 10) / 10 AS latitude_poi,
-    (event_id // 300) / 10 AS longitude_poi,
-    CAST((event_id // 30) % 10 AS VARCHAR) AS numero_departement,
-    CASE WHEN event_type = 'click' THEN value END AS weather_code,
-    CASE WHEN event_type <> 'error' THEN value END AS temperature_2m_mean,
-    CASE WHEN event_id < max(event_id) OVER (PARTITION BY event_id // 30) THEN value END
+  SELECT strftime(CAST(ts AS DATE) + i, '%Y-%m-%d 00:00:00') AS time,
+    event_id || '-' || pos AS nom_poi, 'Ville ' || user_id AS ville,
+    user_id / 10 AS latitude_poi, pos / 10 AS longitude_poi,
+    CAST(pos AS VARCHAR) AS numero_departement,
+    CAST(CASE WHEN pos = 0 AND i = 1 THEN user_id WHEN pos = 0 AND i = 2 THEN 3 END AS DOUBLE)
+      AS weather_code,
+    CASE WHEN pos = 0 AND i = 0 THEN value WHEN pos = 0 AND i = 2 THEN value + 1
+         WHEN pos = 1 AND i = 0 THEN value + 3 END AS temperature_2m_mean,
+    CASE WHEN pos = 0 AND i = 0 THEN value + 2 WHEN pos = 1 AND i = 2 THEN value + 4 END
       AS temperature_2m_max
-  FROM events)"""
+  FROM events, (VALUES (0), (1)) AS p(pos), (VALUES (0), (1), (2)) AS d(i))"""
 SQL["s5_daily_arrays"] = f"WITH {_ARRAYS} SELECT * FROM cells"
 SQL["s6_daily_arrays_strict"] = (
     f"WITH {_ARRAYS} SELECT * FROM cells WHERE temperature_2m_mean IS NOT NULL")
 
-_RECORD = """CAST(c_nationkey AS VARCHAR) AS {0}, c_name AS {1}, c_mktsegment AS {2},
-  'Île ' || c_mktsegment AS {3}, CAST(2000 + c_custkey % 25 AS VARCHAR) AS {4}, c_acctbal AS {5}"""
-SQL["s8_pages_flatten"] = "SELECT " + _RECORD.format(
-    "dep", "libgeo", "reg", "reglib", "annee", "nb_j_can") + " FROM customer"
-SQL["s9_heat_record_map"] = "SELECT " + _RECORD.format(
-    "code_departement", "departement_nom", "region_code", "region_nom", "annee",
-    "nombre_jours") + " FROM customer"
+_RECORD = """SELECT CAST(c_nationkey AS VARCHAR) AS {0}, c_name AS {1}, c_mktsegment AS {2},
+  'Île ' || c_mktsegment AS {3}, CAST(2000 + i AS VARCHAR) AS {4}, c_acctbal + i AS {5}
+FROM customer, (VALUES (0), (1)) AS n(i)"""
+SQL["s8_pages_flatten"] = _RECORD.format("dep", "libgeo", "reg", "reglib", "annee", "nb_j_can")
+SQL["s9_heat_record_map"] = _RECORD.format(
+    "code_departement", "departement_nom", "region_code", "region_nom", "annee", "nombre_jours")
 
 SQL["s10_tagged_union"] = """
 SELECT c_custkey AS id, c_name AS libelle, c_acctbal AS valeur, 'Grippe' AS pathologie,

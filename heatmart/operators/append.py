@@ -11,12 +11,33 @@ from heatmart.functions.text import midnight_text, reading_hash, stored_code
 from heatmart.operators.dedup import ascending, first_per_key
 
 
+def _key_texts(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
+    """Add text forms of the key columns in which a missing part equals a missing part.
+
+    Plain equality on them lets a ranking and the anti-join after it share one
+    partitioning; a NULL-safe comparison would shuffle the batch again.
+    """
+    names = [f"_k{i}" for i in range(len(key))]
+    texts = {n: F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for n, c in zip(names, key)}
+    return df.withColumns(texts), names
+
+
+def _unknown(df: DataFrame, known: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+    """First row of each key that ``known`` lacks."""
+    keyed, names = _key_texts(df, key)
+    stored = _key_texts(known, key)[0].select(*names).distinct()
+    return first_per_key(keyed, names, order).join(stored, names, "left_anti").drop(*names)
+
+
 def stored_keys(stored: DataFrame, as_of: date | None = None, lookback: int = 60) -> DataFrame:
     """(date, code) already stored, looking back a bounded number of days."""
     days = stored.withColumn("date", F.to_date("time"))
     if as_of is not None:
         days = days.where(since_days(F.col("date"), as_of, lookback))
-    return days.select("date", stored_code(F.col("nom_poi")).alias("code_insee")).distinct()
+    return days.select("date", stored_code(F.col("nom_poi")).alias("code_insee"))
+
+
+KEY = ["date", "code_insee"]
 
 
 def _keyed(batch: DataFrame) -> DataFrame:
@@ -28,31 +49,20 @@ def new_readings(batch: DataFrame, stored: DataFrame, order: list[Column],
                  as_of: date | None = None, lookback: int = 60) -> DataFrame:
     """Readings to insert: key not stored, and of repeats in the batch the first one.
 
-    Ranking and anti-join share the partitioning by (date, code), so the batch
-    is shuffled once, after a map-side reduction to one row per key.
+    The batch is shuffled once, after a map-side reduction to one row per key.
     """
-    keys = ["date", "code_insee"]
-    first = first_per_key(_keyed(batch), keys, order)
-    return first.join(_null_safe(stored_keys(stored, as_of, lookback)),
-                      _same_key(first), "left_anti").drop(*keys)
-
-
-def _null_safe(known: DataFrame) -> DataFrame:
-    return known.withColumnsRenamed({"date": "_date", "code_insee": "_code"})
-
-
-def _same_key(df: DataFrame) -> Column:
-    # the collector compares keys in memory, where a missing code equals a missing code
-    return (F.col("date") == F.col("_date")) & F.col("code_insee").eqNullSafe(F.col("_code"))
+    known = stored_keys(stored, as_of, lookback)
+    return _unknown(_keyed(batch), known, KEY, order).drop(*KEY)
 
 
 def ingest_counts(batch: DataFrame, stored: DataFrame, as_of: date | None = None,
                   lookback: int = 60) -> DataFrame:
     """Received, new and skipped readings of a run, from per-key counts."""
-    keys = _keyed(batch).groupBy("date", "code_insee").agg(F.count("*").alias("copies"))
-    known = _null_safe(stored_keys(stored, as_of, lookback)).withColumn("_known", F.lit(True))
-    marked = keys.join(known, _same_key(keys), "left")
-    return marked.agg(
+    keyed, names = _key_texts(_keyed(batch), KEY)
+    copies = keyed.groupBy(*names).agg(F.count("*").alias("copies"))
+    known = (_key_texts(stored_keys(stored, as_of, lookback), KEY)[0].select(*names).distinct()
+             .withColumn("_known", F.lit(True)))
+    return copies.join(known, names, "left").agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("received"),
         F.count_if(F.col("_known").isNull()).alias("inserted"),
     ).withColumn("skipped", F.col("received") - F.col("inserted"))
@@ -79,15 +89,10 @@ def new_by_hash(batch: DataFrame, stored: DataFrame, first: date | None = None,
 
 def new_by_key(records: DataFrame, existing: DataFrame | None, key: list[str]) -> DataFrame:
     """Records with a key not stored yet, one per key."""
-    rest = sorted(c for c in records.columns if c not in key)
-    first = first_per_key(records, key, ascending(rest))
+    order = ascending(sorted(c for c in records.columns if c not in key))
     if existing is None:
-        return first
-    known = existing.select(*[F.col(c).alias(f"_{c}") for c in key]).distinct()
-    same = F.lit(True)
-    for c in key:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return first.join(known, same, "left_anti")
+        return first_per_key(records, key, order)
+    return _unknown(records, existing, key, order)
 
 
 def expected_keys(locations: DataFrame, first: date, last: date) -> DataFrame:

@@ -14,20 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heatmart.functions.text import fold_name, lookup_code, lookup_name
-from heatmart.operators.scale import (
-    BROADCAST_BYTES, cut_lineage, measured_bytes, row_bytes, spread_nulls)
+from heatmart.operators.scale import BROADCAST_BYTES, spread_nulls, stored_and_measured
 
 PLACE = ["nom_poi", "ville"]
 TARGET = ["code_insee", "commune", "numero_departement", "latitude", "longitude"]
 
 
-def _names(communes: DataFrame) -> DataFrame:
-    """The commune list with its folded names, stored once for all look-ups."""
-    return cut_lineage(communes.select(
-        "code_insee", F.col("ville").alias("commune"), "numero_departement",
-        "latitude", "longitude", fold_name(F.col("ville")).alias("name_key")))
-
-
 def match_places(readings: DataFrame, communes: DataFrame,
                  limit: int = BROADCAST_BYTES) -> DataFrame:
     """Each distinct place with every commune it stands for.
@@ -37,10 +29,12 @@ def match_places(readings: DataFrame, communes: DataFrame,
     paired with places that do not need it. A commune without department takes
     the department of the next match.
     """
-    named = _names(communes)
-    size = named.agg(F.sum(row_bytes(named)).alias("bytes"),
-                     F.count_if(F.col("numero_departement").isNull()).alias("bare")).first()
-    small = (size["bytes"] or 0) <= limit
+    # the folded commune list serves every look-up, so it is stored and measured once
+    named, size = stored_and_measured(communes.select(
+        "code_insee", F.col("ville").alias("commune"), "numero_departement",
+        "latitude", "longitude", fold_name(F.col("ville")).alias("name_key"),
+    ), bare=F.count_if(F.col("numero_departement").isNull()))
+    small = size["bytes"] <= limit
     target = F.struct(*TARGET)
 
     def look_up(left: DataFrame, key: Column, right: DataFrame) -> DataFrame:
@@ -103,10 +97,10 @@ def _same_place() -> Column:
 
 def place_map(readings: DataFrame, communes: DataFrame,
               limit: int = BROADCAST_BYTES) -> PlaceMap:
-    table = cut_lineage(match_places(readings, communes, limit))
+    table, size = stored_and_measured(match_places(readings, communes, limit))
     several = (table.groupBy(*PLACE).agg(F.count("*").alias("n")).where("n > 1")
                .select(*[F.col(c).alias(f"_{c}") for c in PLACE]))
-    return PlaceMap(table, several, measured_bytes(table) <= limit, not several.isEmpty())
+    return PlaceMap(table, several, size["bytes"] <= limit, not several.isEmpty())
 
 
 def attach(readings: DataFrame, places: DataFrame, small: bool) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 # Broadcast only below this measured size; beyond it the join shuffles and
 # adaptive execution splits hot keys.
@@ -34,9 +34,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     A lost executor then costs a re-read, never a recomputation, and Catalyst
     prunes columns and knows the size of what follows.
     """
+    return stored_and_measured(df)[0]
+
+
+def stored_and_measured(df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
+    """cut_lineage() plus aggregates gathered while the table is written.
+
+    Besides the given figures there is always ``bytes``, the size in memory. A
+    task that runs twice can only raise it.
+    """
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    watched = df.observe(seen, F.sum(row_bytes(df)).alias("bytes"),
+                         *[c.alias(n) for n, c in figures.items()])
+    watched.write.parquet(path)
+    found = {**seen.get, "bytes": seen.get["bytes"] or 0}
+    return df.sparkSession.read.schema(df.schema).parquet(path), found
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -48,15 +61,6 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def measured_bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring df; meant for stored or checkpointed df."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
-
-
 def spread_nulls(key: Column, *by: Column) -> Column:
     """Replace NULL join keys by distinct texts that match nothing.
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from heatmart.functions.text import stored_code
 from heatmart.operators.dedup import first_per_key
-from heatmart.operators.scale import broadcast_if_small, cut_lineage
+from heatmart.operators.scale import BROADCAST_BYTES, cut_lineage, stored_and_measured
 from heatmart.sources.sinks import with_month
 
 
@@ -64,7 +64,9 @@ def follow(stream: DataFrame, fact: str, report: str, checkpoint: str,
         dated = with_month(batch.where("time is not null")
                            .withColumn("date", F.to_date("time"))
                            .withColumn("code_insee", stored_code(F.col("nom_poi"))))
-        months = broadcast_if_small(cut_lineage(dated.select("date_month").distinct()))
+        months, size = stored_and_measured(dated.select("date_month").distinct())
+        if size["bytes"] <= BROADCAST_BYTES:
+            months = F.broadcast(months)
         append_new(dated, fact, months, order)
         refresh_heat_days(batch.sparkSession.read.parquet(fact), months, report)
 
