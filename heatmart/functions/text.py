@@ -28,9 +28,13 @@ def _accent_table() -> tuple[str, str]:
 
 
 def strip_accents(text: Column) -> Column:
-    """Drop diacritics. Spark has no NFD, hence translate() plus a mark filter."""
+    """Drop diacritics. Spark has no NFD, hence translate() plus a mark filter.
+
+    A text of one-byte characters has none and skips both.
+    """
     composed, base = _accent_table()
-    return F.regexp_replace(F.translate(text, composed, base), r"\p{M}", "")
+    bare = F.regexp_replace(F.translate(text, composed, base), r"\p{M}", "")
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(bare)
 
 
 def region_key(name: Column) -> Column:

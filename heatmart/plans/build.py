@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heatmart.operators.quality import DECLARED, run_checks
 from heatmart.plans import marts, staging
 from heatmart.sources.sinks import rebuild, rebuild_by_month
 
@@ -35,9 +36,26 @@ def build(spark: SparkSession, raw: Raw, root: str) -> dict[str, DataFrame]:
     communes = keep("stg_communes", staging.stg_communes(raw.communes))
     dimension = keep("dim_commune", marts.dim_commune(communes))
     keep("dim_region", marts.dim_region(communes))
-    keep("dim_date", marts.dim_date(raw.weather))
+    keep("dim_date", marts.dim_date(raw.weather).sortWithinPartitions("date"))
     keep("stg_heat_health", staging.stg_heat_health(raw.heat_health))
     keep("stg_winter", staging.stg_winter(raw.winter))
     weather = keep("stg_weather", staging.stg_weather(raw.weather, dimension))
     keep("fct_daily", marts.fct_daily(weather), rebuild_by_month)
     return stored
+
+
+def check(stored: dict[str, DataFrame]) -> DataFrame:
+    """Declared checks of every built table: (model, column, check, violations, status)."""
+    found = [run_checks(name, df, DECLARED[name]) for name, df in stored.items()
+             if name in DECLARED]
+    result = found[0]
+    for part in found[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def load(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables a build left under ``root``."""
+    names = ["stg_communes", "dim_commune", "dim_region", "dim_date", "stg_heat_health",
+             "stg_winter", "stg_weather", "fct_daily"]
+    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}

@@ -39,17 +39,17 @@ def stg_weather(raw: DataFrame, communes: DataFrame,
                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """Readings resolved to communes, one per (day, commune).
 
-    Measures come first among the tie breaks and place columns last, so the
-    best reading of a place is the best one in each of its communes.
+    Measures come first among the tie breaks, so the best reading of a place is
+    the best one in each of its communes. Name and coordinates follow from the
+    code; only the department can still differ.
     """
     readings, measures = _renamed(scan.weather(raw))
-    place = ["ville", "numero_departement", "latitude", "longitude"]
 
     def choose(df: DataFrame, keys: list[str]) -> DataFrame:
         return best_reading(df, keys, measures)
 
     found = resolve_best(readings, communes, choose, limit)
-    kept = best_reading(found, ["date", "code_insee"], measures + place)
+    kept = best_reading(found, ["date", "code_insee"], measures + ["numero_departement"])
     ordered = ["date", "code_insee", "ville", *measures, "numero_departement",
                "latitude", "longitude"]
     return stamped(kept.select(*ordered), "inserted_at")
