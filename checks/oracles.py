@@ -11,6 +11,11 @@ def rnd(expr: str, digits: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
 
 
+def six(expr: str) -> str:
+    """Six decimals, ties kept off the boundary as in the queries."""
+    return f"round(({expr}) * 1e6 + 0.001) / 1e6 + 0.0"
+
+
 def day(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d')"
 
@@ -490,9 +495,9 @@ SELECT departement_nom, departement_code, count(*) AS nb_annees FROM health
 GROUP BY ALL ORDER BY departement_nom, departement_code LIMIT 10"""
 
 SQL["a12_seasonality"] = f"""WITH {PANEL}
-SELECT month(date) AS mois, {rnd('avg(temperature_moyenne)', 6)} AS temp_moy,
-  {rnd('avg(temperature_maximale)', 6)} AS temp_max,
-  {rnd('avg(temperature_minimale)', 6)} AS temp_min FROM panel GROUP BY 1"""
+SELECT month(date) AS mois, {six('avg(temperature_moyenne)')} AS temp_moy,
+  {six('avg(temperature_maximale)')} AS temp_max,
+  {six('avg(temperature_minimale)')} AS temp_min FROM panel GROUP BY 1"""
 
 _YEARLY = f"""yearly AS (
   SELECT year(date) AS annee, {rnd('avg(temperature_moyenne)', 2)} AS temp_moyenne_annuelle,
@@ -508,7 +513,7 @@ _CLIMATE = f"""climate AS (
   FROM panel WHERE year(date) BETWEEN 1995 AND 2001 GROUP BY 1, 2)"""
 SQL["a14_department_climate"] = f"WITH {PANEL}, {_CLIMATE} SELECT * FROM climate"
 SQL["a15_region_climate"] = f"""WITH {PANEL}, {_CLIMATE}
-SELECT region, {rnd('avg(temp_moyenne)', 6)} AS temp_moyenne, max(temp_max_absolue) AS temp_max,
+SELECT region, {six('avg(temp_moyenne)')} AS temp_moyenne, max(temp_max_absolue) AS temp_max,
   count(departement) AS nb_depts FROM climate WHERE region IS NOT NULL GROUP BY region"""
 
 SQL["a16_heat_days_year"] = f"""WITH {BUILT}, {WIDE}
@@ -534,7 +539,7 @@ SQL["a20_weather_health"] = f"WITH {_CROSSED} SELECT * FROM crossed"
 
 
 def _corr(x: str, y: str) -> str:
-    return f"CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE {rnd(f'corr({x}, {y})', 6)} END"
+    return f"CASE WHEN isnan(corr({x}, {y})) THEN NULL ELSE {six(f'corr({x}, {y})')} END"
 
 
 CORRELATED = ["temperature_moyenne", "temperature_maximale", "temperature_minimale",
@@ -569,19 +574,19 @@ melted AS (""" + " UNION ALL ".join(
 ends AS (SELECT variable, min(v) AS lo, max(v) AS hi FROM melted GROUP BY 1),
 placed AS (SELECT variable, least(CAST(floor(60 * (v - lo) / (hi - lo)) AS BIGINT) + 1, 60) AS bin,
   count(*) AS n FROM melted JOIN ends USING (variable) GROUP BY 1, 2)
-SELECT variable, b.bin, {rnd('lo + (hi - lo) / 60 * (b.bin - 1)', 6)} AS lower,
-  {rnd('lo + (hi - lo) / 60 * b.bin', 6)} AS upper, ifnull(n, 0) AS n
+SELECT variable, b.bin, {six('lo + (hi - lo) / 60 * (b.bin - 1)')} AS lower,
+  {six('lo + (hi - lo) / 60 * b.bin')} AS upper, ifnull(n, 0) AS n
 FROM ends CROSS JOIN range(1, 61) AS b(bin) LEFT JOIN placed USING (variable, bin)"""
 
 SQL["a25_linear_trend"] = f"""WITH {PANEL}, {_YEARLY}
-SELECT {rnd('regr_slope(temp_moyenne_annuelle, annee)', 6)} AS pente,
-  {rnd('regr_intercept(temp_moyenne_annuelle, annee)', 6)} AS ordonnee,
-  {rnd('regr_slope(temp_moyenne_annuelle, annee) * 10', 6)} AS par_decennie
+SELECT {six('regr_slope(temp_moyenne_annuelle, annee)')} AS pente,
+  {six('regr_intercept(temp_moyenne_annuelle, annee)')} AS ordonnee,
+  {six('regr_slope(temp_moyenne_annuelle, annee) * 10')} AS par_decennie
 FROM yearly WHERE annee < 2001"""
 
 SQL["a26_batch_gate"] = f"""WITH {RAW_WEATHER}
 SELECT count(*) AS total, count(*) - count(temperature_2m_max) AS missing,
-  {rnd('100.0 * (count(*) - count(temperature_2m_max)) / count(*)', 6)} AS missing_pct,
+  {six('100.0 * (count(*) - count(temperature_2m_max)) / count(*)')} AS missing_pct,
   CASE WHEN missing * 2 > total THEN 'refused' WHEN missing > 0 THEN 'warning'
        ELSE 'accepted' END AS verdict FROM raw_weather"""
 
@@ -592,7 +597,7 @@ FROM batch b LEFT JOIN stored s ON s.date = b.date AND s.nom_poi = b.nom_poi"""
 
 SQL["a29_step_totals"] = f"""
 SELECT CASE WHEN grouping(event_type) = 1 THEN 'TOTAL' ELSE event_type END AS step,
-  {rnd('sum(value / 1000)', 6)} AS co2_kg, {rnd('sum(value)', 6)} AS time_s
+  {six('sum(value / 1000)')} AS co2_kg, {six('sum(value)')} AS time_s
 FROM events GROUP BY ROLLUP (event_type)"""
 
 SQL["a30_run_history"] = f"""
@@ -618,7 +623,7 @@ SELECT strftime(date, '%Y%m') AS period_key, region,
 
 SQL["a34_volume_log"] = f"""
 SELECT {day('ts')} AS day, count(*) AS rows_processed,
-  {rnd('sum(value * 1e8) / (1024 * 1024 * 1024)', 6)} AS gb_billed
+  {six('sum(value * 1e8) / (1024 * 1024 * 1024)')} AS gb_billed
 FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - INTERVAL 7 DAY GROUP BY 1"""
 
 # ---- windows and top-k ----------------------------------------------------------
@@ -647,8 +652,8 @@ runs AS (
     (a.high + b.high + c.high) / 3 AS moyenne_max
   FROM daily a JOIN daily b ON b.departement = a.departement AND b.date = a.date - 1
     JOIN daily c ON c.departement = a.departement AND c.date = a.date - 2)
-SELECT departement, {day('date')} AS date, {rnd('moyenne_min', 6)} AS moyenne_min,
-  {rnd('moyenne_max', 6)} AS moyenne_max, n_nationkey / 10 - 2 AS seuil_min,
+SELECT departement, {day('date')} AS date, {six('moyenne_min')} AS moyenne_min,
+  {six('moyenne_max')} AS moyenne_max, n_nationkey / 10 - 2 AS seuil_min,
   n_nationkey / 10 + 15 AS seuil_max
 FROM runs JOIN nation ON n_name = departement
 WHERE moyenne_min > n_nationkey / 10 - 2 AND moyenne_max > n_nationkey / 10 + 15"""
