@@ -673,7 +673,9 @@ def q7_sentinels(spark, d):
 @query
 def q_declared_checks(spark, d):
     communes = staging.stg_communes(A.raw_communes(spark, d))
-    fact = marts.fct_daily(staging.stg_weather(A.raw_weather(spark, d), communes))
+    # checks read a stored table, as after a build
+    fact = scale.cut_lineage(
+        marts.fct_daily(staging.stg_weather(A.raw_weather(spark, d), communes)))
     checks = quality.Checks(
         not_null=quality.DECLARED["fct_daily"].not_null + ["temperature_max"],
         unique=quality.DECLARED["fct_daily"].unique, ranges=quality.RANGES,

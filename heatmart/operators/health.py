@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from heatmart.functions.numeric import pearson, round_to
 
@@ -79,35 +79,45 @@ def health_correlations(crossed: DataFrame) -> DataFrame:
         pearson(F.col("jours_sup_35").cast("double"), days).alias("r_jours_35"))
 
 
+def _both_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Full join of the distinct keys: (ours, theirs) with marks for presence per side."""
+    ours = left.select(F.col(left_key).alias("ours")).distinct().withColumn("in_left", F.lit(1))
+    theirs = (right.select(F.col(right_key).alias("theirs")).distinct()
+              .withColumn("in_right", F.lit(1)))
+    return ours.join(theirs, F.col("ours") == F.col("theirs"), "full")
+
+
 def key_coverage(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Distinct keys on each side and how many meet. One full join of key lists, one row out."""
-    ours = left.select(F.col(left_key).alias("ours")).distinct()
-    theirs = right.select(F.col(right_key).alias("theirs")).distinct()
-    marked = (ours.withColumn("_l", F.lit(1))
-              .join(theirs.withColumn("_r", F.lit(1)), F.col("ours") == F.col("theirs"), "full"))
-    return marked.agg(F.count("_l").alias("nb_gauche"), F.count("_r").alias("nb_droite"),
-                      F.count_if(F.expr("_l = 1 and _r = 1")).alias("nb_correspondances"))
+    """Distinct keys on each side and how many meet, in one row."""
+    return _both_sides(left, right, left_key, right_key).agg(
+        F.count("in_left").alias("nb_gauche"), F.count("in_right").alias("nb_droite"),
+        F.count(F.col("in_left") + F.col("in_right")).alias("nb_correspondances"))
 
 
-def _not_in(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Keys of left that SQL's NOT IN keeps.
+# what a key list means to NOT IN
+EMPTY, COMPLETE, WITH_NULL = 0, 1, 2
 
-    NOT IN itself would broadcast the whole right side to stay NULL-aware;
-    an anti-join plus two scalars gives the same rows for lists of any size.
-    """
-    facts = right.agg(F.count("*").alias("n"), F.count_if(F.col("nom").isNull()).alias("nulls"))
-    rows = facts.select("n").scalar()
-    nulls = facts.select("nulls").scalar()
-    lacking = left.join(right.select(F.col("nom").alias("_nom")), F.col("nom") == F.col("_nom"),
-                        "left_anti")
-    return lacking.where((nulls == 0) & (F.col("nom").isNotNull() | (rows == 0)))
+
+def _kind(df: DataFrame, key: str) -> Column:
+    rows, nulls = F.count("*"), F.count_if(F.col(key).isNull())
+    return df.agg(F.when(rows == 0, EMPTY).when(nulls > 0, WITH_NULL).otherwise(COMPLETE)
+                  .alias("kind")).scalar()
 
 
 def key_gaps(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
              labels: tuple[str, str] = ("meteo seulement", "odisse seulement")) -> DataFrame:
-    """Keys found on one side only, labelled by side."""
-    ours = left.select(F.col(left_key).alias("nom")).distinct()
-    theirs = right.select(F.col(right_key).alias("nom")).distinct()
-    gaps = (_not_in(ours, theirs).select(F.lit(labels[0]).alias("source"), "nom")
-            .unionByName(_not_in(theirs, ours).select(F.lit(labels[1]).alias("source"), "nom")))
-    return gaps.orderBy("source", "nom")
+    """Keys found on one side only, labelled by side, as NOT IN finds them.
+
+    NOT IN would broadcast each whole list to stay NULL-aware. One full join
+    and the kind of each list give the same rows for lists of any size: a list
+    with a NULL hides every key of the other side, and a NULL key shows up
+    against an empty list only.
+    """
+    only_left = F.col("in_right").isNull()
+    other = F.when(only_left, _kind(right, right_key)).otherwise(_kind(left, left_key))
+    gaps = _both_sides(left, right, left_key, right_key).where("in_left is null or in_right is null")
+    return gaps.select(
+        F.when(only_left, labels[0]).otherwise(labels[1]).alias("source"),
+        F.coalesce("ours", "theirs").alias("nom"), other.alias("other"),
+    ).where((F.col("other") == EMPTY) | ((F.col("other") == COMPLETE) & F.col("nom").isNotNull())
+            ).select("source", "nom").orderBy("source", "nom")
