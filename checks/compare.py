@@ -29,8 +29,11 @@ def rows_of(names: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple]
     return [names[i] for i in order], sorted(out, key=repr)
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str:
+def compare(spark, con, name: str, sf_dir: str, inspect=None) -> str:
+    """Verdict on one query; ``inspect`` may look at its DataFrame first."""
     df = QUERIES[name](spark, sf_dir)
+    if inspect:
+        inspect(df)
     mine = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in SQL:
         return f"rows {len(mine[1])}"

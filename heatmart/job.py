@@ -18,7 +18,7 @@ from heatmart import schemas
 from heatmart.functions.dates import between_days
 from heatmart.operators import analytics, health, quality, stats
 from heatmart.plans import build, ingest, marts
-from heatmart.session import session
+from heatmart.session import session, sized_for
 
 Tables = dict[str, DataFrame]
 
@@ -105,8 +105,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
             command.add_argument(f"--{option}", required=True)
     commands.choices["report"].add_argument("--name", choices=sorted(REPORTS), required=True)
     commands.choices["report"].add_argument("--out")
+    for command in commands.choices.values():
+        command.add_argument("--input-gb", type=int, default=0,
+                             help="size of the input, to choose partition numbers")
     return parser.parse_args(argv)
 
 
 if __name__ == "__main__":
-    raise SystemExit(run(session(), parse()))
+    options = parse()
+    sizes = sized_for(options.input_gb * 1024 ** 3) if options.input_gb else None
+    raise SystemExit(run(session(extra=sizes), options))

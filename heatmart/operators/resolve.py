@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heatmart.functions.text import fold_name, lookup_code, lookup_name
-from heatmart.operators.scale import BROADCAST_BYTES, spread_nulls, stored_and_measured
+from heatmart.operators.scale import (
+    BROADCAST_BYTES, cut_lineage, spread_nulls, stored_and_measured)
 
 PLACE = ["nom_poi", "ville"]
 TARGET = ["code_insee", "commune", "numero_departement", "latitude", "longitude"]
@@ -39,9 +40,16 @@ def match_places(readings: DataFrame, communes: DataFrame,
 
     def look_up(left: DataFrame, key: Column, right: DataFrame) -> DataFrame:
         """Left join on ``key`` with the first column of ``right``."""
+        at = right.columns[0]
         spread = spread_nulls(key, F.col("nom_poi"), F.col("ville"))
-        return left.join(F.broadcast(right) if small else right,
-                         spread == F.col(right.columns[0]), "left")
+        if small:
+            return left.join(F.broadcast(right), spread == F.col(at), "left")
+        # An outer join can only split its left side, but a name may be hot in the
+        # commune list: hits come from an inner join, which splits both sides.
+        left = cut_lineage(left)
+        hits = left.join(right, key == F.col(at))
+        misses = left.join(right.select(at).distinct(), spread == F.col(at), "left_anti")
+        return hits.unionByName(misses, allowMissingColumns=True)
 
     places = readings.select(*PLACE).distinct().select(
         *PLACE, lookup_code(F.col("nom_poi")).alias("k1"),

@@ -20,11 +20,25 @@ DEFAULTS = {
 }
 
 
+def sized_for(input_bytes: int, part: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a job that reads about this much.
+
+    Adaptive execution merges small shuffle partitions but cannot cut one that
+    is evenly too big, so the first number must suit the data.
+    """
+    parts = min(max(200, -(-input_bytes // part)), 50_000)
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+            "spark.sql.files.maxPartitionBytes": str(part)}
+
+
 def session(app: str = "heatmart", master: str | None = None,
             extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
 
-    ``master`` stays unset on a cluster, where spark-submit names it.
+    ``master`` stays unset on a cluster, where spark-submit names it; ``extra``
+    takes sized_for() there.
     """
     builder = SparkSession.builder.appName(app)
     if master:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heatmart import schemas
 from heatmart.operators.append import new_by_key
@@ -30,24 +30,20 @@ def parse_payloads(landed: DataFrame, body: str = "body",
     return landed.select("batch_id", F.posexplode(found).alias("pos", "location"))
 
 
-def _readings(parsed: DataFrame, locations: DataFrame, variables: list[str],
-              value: Callable[[Column], Column]) -> DataFrame:
+def daily_readings(parsed: DataFrame, locations: DataFrame,
+                   variables: list[str] = schemas.DAILY_VARIABLES) -> DataFrame:
     """One row per (location, day): i-th payload goes to the i-th location of its batch.
 
-    Days and values pair by position; get() yields NULL past the end of a short array.
+    Days and values pair by position; get() yields NULL past the end of a short
+    array, and what is not a number becomes NULL. Locations join the payloads
+    before these unfold, so a shuffle moves arrays, not days.
     """
-    days = parsed.select("batch_id", "pos", "location.daily",
-                         F.posexplode("location.daily.time").alias("i", "day"))
-    rows = days.select(
-        "batch_id", "pos", F.to_timestamp("day").alias("time"),
-        *[value(F.get(F.col(f"daily.{v}"), F.col("i"))).alias(v) for v in variables])
-    return rows.join(locations, ["batch_id", "pos"]).select("time", *LOCATION, *variables)
-
-
-def daily_readings(parsed: DataFrame, locations: DataFrame,
-                   variables: list[str] = schemas.DAILY_VARIABLES) -> DataFrame:
-    """Every day of every payload; missing or non-numeric values become NULL."""
-    return _readings(parsed, locations, variables, lambda v: v.try_cast("double"))
+    located = parsed.join(locations, ["batch_id", "pos"])
+    days = located.select(*LOCATION, "location.daily",
+                          F.posexplode("location.daily.time").alias("i", "day"))
+    return days.select(
+        F.to_timestamp("day").alias("time"), *LOCATION,
+        *[F.get(F.col(f"daily.{v}"), F.col("i")).try_cast("double").alias(v) for v in variables])
 
 
 def complete_readings(parsed: DataFrame, locations: DataFrame,

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
+from conftest import plan
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,12 @@ def test_entry_runs(spark):
                           "depts_touches_35"] and df.count() > 0
 
 
+def no_slow_operator(df):
+    text = plan(df)
+    for word in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "NestedLoop"):
+        assert word not in text, word
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_sql(spark, con, sf_dir, name):
-    assert compare(spark, con, name, sf_dir).startswith("ok")
+    assert compare(spark, con, name, sf_dir, no_slow_operator).startswith("ok")

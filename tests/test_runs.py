@@ -149,3 +149,23 @@ def test_broadcast_depends_on_measured_size(spark):
     assert rows(table) == rows(df) and figures["small"] == 12
     assert figures["bytes"] >= 100 * 24
     assert scale.stored_and_measured(df.where("s = 'x'"))[1]["bytes"] == 0
+
+
+def test_partition_numbers_follow_the_input():
+    from heatmart.session import sized_for
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert [sized_for(b)[number] for b in (0, 10 ** 12, 10 ** 14)] == ["200", "3726", "50000"]
+
+
+def test_hot_name_in_the_commune_list_is_split(spark, tight):
+    communes = spark.range(30000).selectExpr(
+        "lpad(cast(id as string), 5, '0') as code_insee",
+        "if(id % 3 = 0, 'Sainte Foule', 'Ville ' || id) as ville",
+        "cast(null as string) as numero_departement", "1.0D as latitude", "2.0D as longitude")
+    readings = spark.range(3000).selectExpr(
+        "case id when 0 then 'sainte-foule' when 1 then 'Nulle part' else 'VILLE ' || id end"
+        " as nom_poi", "cast(null as string) as ville")
+    got = resolve.match_places(readings, communes, 0)
+    counts = got.groupBy("nom_poi").agg(F.count("*").alias("n"))
+    assert counts.where("nom_poi = 'sainte-foule'").first().n == 10000
+    assert counts.where("n = 1").count() == 1999 and counts.count() == 2000
