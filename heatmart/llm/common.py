@@ -175,5 +175,5 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tupl
     out = total[at]
     for t in np.flatnonzero((n > 0) & (n < size)):
         own = h[first[t]:first[t + 1]]
-        out[out_first[t]] = (own * SHINGLE[:len(own)]).sum(dtype=U64) + U64(len(own)) * U64(0xA0761D6478BD642F)
+        out[out_first[t]] = np.append(own * SHINGLE[:len(own)], noise(1, len(own))).sum(dtype=U64)
     return mix(out), out_first

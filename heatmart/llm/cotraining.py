@@ -20,6 +20,8 @@ SURE = 0.97
 # Most pseudo-labels of each class that a view gives in a round.
 GIVEN = 1_000
 HASHED = 256
+# Most standard deviations from the mean that a feature counts.
+FAR = 4.0
 # Share of labelled good texts, held out from training, that must be kept.
 KEEP = 0.999
 
@@ -96,7 +98,7 @@ class Logistic:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Logistic":
         self.centre, self.spread = x.mean(0), x.std(0) + 1e-3
-        z = np.c_[(x - self.centre) / self.spread, np.ones(len(x))].astype(np.float64)
+        z = np.c_[self.scaled(x), np.ones(len(x))].astype(np.float64)
         w = np.zeros(z.shape[1])
         penalty = np.full(len(w), self.ridge)
         penalty[-1] = 1e-6
@@ -112,12 +114,15 @@ class Logistic:
         self.weights = w
         return self
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        """Standardized; far beyond what training saw, features weigh no more."""
+        return np.clip((x - self.centre) / self.spread, -FAR, FAR)
+
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return ((x - self.centre) / self.spread) @ self.weights[:-1] + self.weights[-1]
+        return self.scaled(x) @ self.weights[:-1] + self.weights[-1]
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> "Logistic":
-        line = Logistic(ridge=1e-2)
-        line.fit(self.raw(x)[:, None], y)
+        line = Logistic(ridge=1e-2).fit(self.raw(x)[:, None], y)
         self.slope = float(line.weights[0] / line.spread[0])
         self.shift = float(line.weights[1] - line.weights[0] * line.centre[0] / line.spread[0])
         return self

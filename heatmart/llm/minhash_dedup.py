@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from heatmart.llm.common import U64, byte_chunks, drop, noise, shingle_hashes, stored
+from heatmart.llm.common import U64, byte_chunks, noise, shingle_hashes, stored
 from heatmart.llm.components import components
 
 # Coordinates of a signature. Two sets of similarity 0.85 agree on 30 of 48
@@ -17,6 +18,8 @@ COORDINATES = 48
 MATCHES = 30
 # Two signatures with MATCHES common entries share one among this many of each.
 PREFIX = COORDINATES - MATCHES + 1
+# Set sizes within this factor form a class.
+CLASS = 1.03
 
 _XOR, _TIMES = noise(COORDINATES, 41), noise(COORDINATES, 43) | U64(1)
 _TAG = np.arange(COORDINATES, dtype=U64)
@@ -101,73 +104,104 @@ def _open(postings: DataFrame) -> DataFrame:
     return postings.join(state.where("lo < hi").select("key", "m"), "key")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those with enough common coordinates and enough common shingles."""
-    sig = reps.select("id", "sig")
-    near = (pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-            .where(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)
-            .select("a", "b").distinct())
-    near, at = stored(near)
-    if not at["rows"]:
-        return near
-    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    sets = shingle_sets(docs.join(ids, "id", "left_semi"), words)
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose full sets (id, shingles) have enough in common."""
+    sets = sets.select("id", "shingles")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return (near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    return (pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
             .select("a", "b", common.alias("common"),
                     (F.size("set_a") + F.size("set_b") - common).alias("either"))
             .where(F.lit(100) * F.col("common") >= F.lit(percent) * F.col("either"))
             .select("a", "b"))
 
 
+def _starred(live: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of each posting's most shared signature with its other members.
+
+    Common coordinates are counted first; pairs with MATCHES are compared on full sets.
+    """
+    center = live.groupBy("key").agg(F.min(F.struct((-F.col("pop")).alias("pop"), "id")).alias("c"))
+    met = (live.join(center, "key").where("id <> c.id")
+           .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
+    sig = reps.select("id", "sig")
+    near, at = stored(met.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+                      .where(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES).select("a", "b").distinct())
+    ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+    return _alike(near, shingle_sets(texts.join(ids, "id", "left_semi"), words), percent)
+
+
+def _rest(live: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links between different components among the members (id, comp) of the open postings.
+
+    A second prefix filter, on full sets and exact: shingles are ordered by
+    frequency, and of two alike texts the first common shingle stands early in
+    both. The larger text probes size classes, the smaller one is indexed, and
+    places that leave too few shingles behind them are not posted. Copies of
+    one original that are too far from it therefore don't meet each other.
+    """
+    members = live.groupBy("id").agg(F.min("comp").alias("comp"))
+    sets, _ = stored(shingle_sets(texts.join(members, "id", "left_semi"), words).join(members, "id"))
+    share = percent / (100 + percent)
+
+    def least(n: Column, m: Column) -> Column:
+        """Common shingles that sets of sizes n and m need, a rounding error fewer."""
+        return F.ceil(F.lit(share) * (n + m) - 1e-6)
+
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / math.log(CLASS) + 1e-9)
+
+    n, i = F.col("n"), F.col("i")
+    each = sets.select("id", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    own = each.join(common, "s").groupBy("id", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("e"))
+    # Shingles that nobody else has come first; they need no posting.
+    alone = n - F.size("e")
+    reach = F.floor(n * (1 - percent / 100) + 1e-6) + 1 - alone
+    posts = (own.where(reach > 0).select("id", "comp", "n", alone.alias("alone"), F.posexplode(F.slice("e", 1, F.greatest(reach, F.lit(1)).cast("int"))).alias("j", "e"))
+             .select("id", "comp", "n", (F.col("alone") + F.col("j")).alias("i"), F.col("e.s").alias("s")))
+    index = posts.where(i <= n - least(n, n)).withColumn("k", size_class(n))
+    index, _ = stored(index)
+    state = index.groupBy("s", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    probe = (posts.withColumn("k", F.explode(F.sequence(size_class(F.greatest(n * (percent / 100), F.lit(1))), size_class(n))))
+             .where(i <= n - least(n, F.pow(F.lit(CLASS), F.col("k")) - 1e-6)))
+    probe = probe.join(state, ["s", "k"]).where("lo <> comp or hi <> comp").drop("lo", "hi")
+    other = index.select("s", "k", *[F.col(c).alias(f"{c}2") for c in ("id", "comp", "n", "i")])
+    left = F.least(n - i, F.col("n2") - F.col("i2"))
+    met = (probe.join(other, ["s", "k"])
+           .where((F.col("comp") != F.col("comp2")) & (F.struct("n", "id") > F.struct("n2", "id2")) & (left >= least(n, F.col("n2"))))
+           .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+    return _alike(met, sets, percent)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept.
 
     Rows with equal shingle sets form a class named by its smallest id.
     Class signatures are posted under each (coordinate, value) of their prefix.
-    In each posting a few centers, the most shared signatures first, meet all
-    other members of other components; common coordinates are counted, pairs
-    with MATCHES of them are compared on full sets, and components are joined.
-    Members that are already connected need no further comparison, so a
-    posting ends once it lies in one component, or when each member that lies
-    outside has met all others. Centers grow eightfold by round.
+    In each posting the most shared signature meets all others; common
+    coordinates are counted, pairs with MATCHES of them are compared on full
+    sets, and components are joined. Postings that then lie in one component
+    are done; what is left in the others goes through an exact prefix join on
+    full sets, so a large group of copies is never compared pair by pair.
 
     Ids that occur in several rows count as one document. Rows without words
     (NULL, empty) link with nothing; rows without id link with nothing, have a
     NULL component and are kept. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     all_rows, _ = stored(sketches(docs, id_col, text_col, words))
     classes, _ = stored(all_rows.where("id is not null and k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
     reps = (all_rows.where("id is not null").join(classes, ["k1", "k2"]).where("id = rep").select("id", "sig"))
-    postings, _ = stored(_postings(reps).withColumn("comp", F.col("id")))
-    live, at = stored(_open(postings))
-    found, near = None, spark.createDataFrame([], "a long, b long")
-    width = 8
-    while at["rows"]:
-        order = Window.partitionBy("key").orderBy(F.col("pop").desc(), "id")
-        several = (F.col("m") <= 64) if width == 8 else F.lit(True)
-        centers, c_at = stored(
-            live.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= width)
-            .where((F.col("rank") == 1) | several)
-            .select("key", F.col("id").alias("center"), F.col("comp").alias("center_comp")))
-        met = (live.join(centers, "key").where("id <> center and comp <> center_comp")
-               .select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b")).distinct())
-        new, n_at = stored(_confirmed(met, reps, texts, words, percent))
-        if n_at["rows"]:
-            near, _ = stored(near.union(new))
-            found, _ = stored(components(near))
-        rest = live.drop("m").join(centers.select("key", F.col("center").alias("id")), ["key", "id"], "left_anti")
-        if found is not None:
-            rest = rest.drop("comp").join(found.withColumnRenamed("component_id", "comp"), "id", "left").withColumn(
-                "comp", F.coalesce("comp", "id"))
-        was = at
-        live, at = stored(_open(rest.select("key", "id", "pop", "comp")))
-        drop(spark, was["path"])
-        drop(spark, c_at["path"])
-        width *= 8
+    live, _ = stored(_postings(reps))
+    near, _ = stored(_starred(live, reps, texts, words, percent))
+    found = components(near).withColumnRenamed("component_id", "comp")
+    live = live.select("key", "id").join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    live, at = stored(live)
+    live, at = stored(_open(live))
+    if at["rows"]:
+        more, _ = stored(_rest(live, texts, words, percent))
+        near = near.union(more)
     # Copies hang on their class; an id with several texts joins its classes.
     links = all_rows.where("id is not null").join(classes, ["k1", "k2"]).select(
         F.col("id").alias("a"), F.col("rep").alias("b"))

@@ -1,0 +1,136 @@
+"""Scoring, quality, packing and the pipeline."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heatmart.llm import cotraining, masked_lm, packing
+
+
+def sentences(n, seed):
+    rng = random.Random(seed)
+    nouns, verbs = ["cat", "dog", "bird", "fish"], ["sees", "hears", "likes"]
+    return [" ".join(f"the {rng.choice(nouns)} {rng.choice(verbs)} a {rng.choice(nouns)} ." for _ in range(12)) for _ in range(n)]
+
+
+def test_network_gradient_matches_differences():
+    rng = np.random.default_rng(1)
+    net = masked_lm.Net((rng.normal(size=masked_lm.SIZE) * 0.3).astype(np.float32))
+    context = rng.integers(0, masked_lm.BUCKETS + 1, (40, 2 * masked_lm.SIDE))
+    word = rng.integers(0, masked_lm.BUCKETS, 40)
+    g = net.gradient(context, word)
+    for at in np.argsort(-np.abs(g))[[0, 5, 50, 200, 900]]:
+        up, down = (masked_lm.Net(net.flat + np.eye(1, masked_lm.SIZE, at, dtype=np.float32)[0] * e) for e in (0.02, -0.02))
+        slope = -(up.log_prob(context, word).mean() - down.log_prob(context, word).mean()) / 0.04
+        assert slope == pytest.approx(float(g[at]), rel=0.1, abs=2e-4)
+    p = np.exp(net.log_prob(np.repeat(context[:1], masked_lm.BUCKETS, 0), np.arange(masked_lm.BUCKETS)))
+    assert p.sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_masked_scores_prefer_what_the_corpus_says(spark, docs, monkeypatch):
+    for name, value in (("STRIDE", 2), ("BATCH", 32), ("RATE", 0.02)):
+        monkeypatch.setattr(masked_lm, name, value)
+    corpus = docs(list(enumerate(sentences(400, 2))))
+    model = masked_lm.train(corpus, rounds=3)
+    good = sentences(1, 99)[0]
+    mixed = good.split()
+    random.Random(3).shuffle(mixed)
+    rows = [(1, good), (2, " ".join(mixed)), (3, None), (4, ""), (4, good), (5, "word " * 50_000)]
+    got = masked_lm.scored(spark, docs(rows), *model).collect()
+    mean = {(r.doc_id, r.n_words): r.mean_log_prob for r in got}
+    assert mean[1, 72] > mean[2, 72] + 0.2 and mean[4, 72] == pytest.approx(mean[1, 72])
+    assert mean[3, 0] is None and mean[4, 0] is None and (5, 50_000) in mean
+    flat, rank = masked_lm.train(docs([]))
+    assert masked_lm.scored(spark, docs([]), flat, rank).count() == 0
+
+
+def quality_rows(n, seed):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        bad = rng.random() < 0.25
+        w = [rng.choice(["the", "of", "house", "tree", "runs", "green"]) for _ in range(rng.randrange(20, 80))]
+        rows.append((i, " ".join(x.upper() + "!!" if bad else x for x in w)))
+        labels.append((i, 0 if bad else 1))
+    return rows, labels
+
+
+def test_quality_on_held_out_documents(spark, docs):
+    rows, labels = quality_rows(600, 5)
+    known = spark.createDataFrame(labels[:300] + [(None, 1), (5, None), (7, 1 - labels[7][1])], "doc_id long, quality int")
+    extra = [(1000, None), (1001, ""), (None, "the house"), (1002, " ".join(quality_rows(2_000, 1)[0][k][1].lower().replace("!!", "") for k in range(1_000)))]
+    table = docs(rows + extra)
+    model = cotraining.learn(table, known)
+    assert model.rounds and model.rounds[0][0] > 0
+    got = {r.doc_id: r for r in cotraining.scored(table, model).collect()}
+    assert len(got) == 604
+    held = [(got[i].keep, y) for i, y in labels[300:]]
+    assert sum(k == bool(y) for k, y in held) >= 0.98 * len(held)
+    assert got[1002].keep and got[1002].kept == "x"
+
+
+def test_quality_without_usable_labels_rejects_nothing(spark, docs):
+    table = docs([(1, "a b"), (2, None)])
+    for labels in ([], [(1, 1)], [(1, None)]):
+        model = cotraining.learn(table, spark.createDataFrame(labels, "doc_id long, quality int"))
+        assert all(r.keep for r in cotraining.scored(table, model).collect())
+    assert cotraining.scored(docs([]), model).count() == 0
+
+
+def test_bucket_ends_have_the_least_padding():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        lengths = np.sort(rng.choice(np.arange(1, 60), 9, replace=False))
+        counts = rng.integers(1, 50, 9)
+        for k in (1, 2, 4, 20):
+            ends = packing.boundaries(lengths, counts, k)
+
+            def cost(e):
+                return sum(c * min(x for x in e if x >= n) for n, c in zip(lengths, counts))
+            best = min(cost((*x, lengths[-1])) for x in itertools.combinations(lengths[:-1], min(k, 9) - 1))
+            assert len(ends) <= k and ends[-1] == lengths[-1] and cost(ends) == best
+
+
+def test_batches_are_full_and_within_budget(docs):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.choice([1, 3, 5, 40, 41, 300])) for i in range(500)] + [(900, None), (901, " "), (None, "a b"), (3, "a b"), (3, "a b")]
+    rows.append((902, "w " * 100_000))
+    got = packing.packed(docs(rows), buckets=4, tokens=1000).toPandas()
+    assert len(got) == len(rows) and not got.duplicated(["bucket", "batch", "place"]).any()
+    assert (got.n_tokens <= got.padded).all() and set(got[got.n_tokens == 0].padded) == {0}
+    for (bucket, padded), part in got.groupby(["bucket", "padded"]):
+        size = max(1, 1000 // max(padded, 1))
+        counts = part.groupby("batch").size().sort_index()
+        assert list(counts.index) == list(range(len(counts))) and (counts.iloc[:-1] == size).all() and counts.iloc[-1] <= size
+    assert packing.packed(docs([])).count() == 0
+
+
+def test_steps_round_up_and_stay_few(spark):
+    got = spark.range(1, 300_000, 7).select("id", packing.padded_step(F.col("id")).alias("s")).toPandas()
+    assert ((got.s >= got.id) & (got.s <= got.id * 1.001 + 1)).all()
+    assert (got.s[got.id <= packing.EXACT] == got.id[got.id <= packing.EXACT]).all()
+    assert got.s.nunique() < 2048 + 8 * 1024
+
+
+def test_pipeline_keeps_columns_and_clean_documents(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    rows, labels = quality_rows(300, 9)
+    rows = [(i, t + f" unique{i} " + " ".join(f"u{i}x{k}" for k in range(30))) for i, t in rows]
+    clean = next(i for i, y in labels if y)
+    rows += [(2000, dict(rows)[clean]), (2001, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    table = docs(rows)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    now = table
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == table.columns, name
+    left = {r.doc_id for r in now.collect()}
+    assert clean in left and 2000 not in left
+    good = {i for i, y in labels if y}
+    assert left >= good and len(left - good - {2001}) <= 2
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == left
