@@ -49,14 +49,22 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return _let(split, of)
 
 
+def slim(found: Column) -> Column:
+    """Anchors as struct<hash: array<int>, pos: array<int>>, a quarter of the size in a shuffle."""
+    return _let(found, lambda a: F.struct(
+        F.transform(a, lambda e: (e["hash"] - 2 ** 31).cast("int")).alias("hash"),
+        F.transform(a, lambda e: e["pos"]).alias("pos")))
+
+
 def fingerprint(found: Column) -> Column:
-    """Anchors as text: hash, a point, and the place of the first word, parted by blanks."""
-    return F.array_join(F.transform(found, lambda a: F.concat(F.lpad(F.lower(F.hex(a["hash"])), 8, "0"), F.lit("."), a["pos"].cast("string"))), " ")
+    """Slim anchors as text: hash, a point, and the place of the first word, parted by blanks."""
+    return F.array_join(F.transform(found["hash"], lambda h, i: F.concat(
+        F.lpad(F.lower(F.hex(h.cast("long") + 2 ** 31)), 8, "0"), F.lit("."), F.get(found["pos"], i).cast("string"))), " ")
 
 
 def likeness(left: Column, right: Column) -> Column:
-    """Share of different anchors that two texts have in common, 0 to 1 (Dice); 1 if neither has any."""
-    a, b = (F.array_distinct(F.transform(x, lambda e: e["hash"])) for x in (left, right))
+    """Share of different (slim) anchors that two texts have in common, 0 to 1 (Dice); 1 if neither has any."""
+    a, b = (F.array_distinct(x["hash"]) for x in (left, right))
     return _let(F.struct(a.alias("a"), b.alias("b")), lambda p: F.when(
         F.size(p["a"]) + F.size(p["b"]) == 0, F.lit(1.0)).otherwise(
         F.lit(2.0) * F.size(F.array_intersect(p["a"], p["b"])) / (F.size(p["a"]) + F.size(p["b"]))))
@@ -108,14 +116,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("anchors", anchors(F.col("text"))), id_col, ["text", "anchors"])
+    rows = with_next(rows.withColumn("anchors", slim(anchors(F.col("text")))), id_col, ["text", "anchors"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
                       F.substring(F.col("next.text"), F.lit(1), half))
     rows = rows.select(F.col(id_col), F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "anchors",
                        F.col("next.anchors").alias("others"))
     # One lambda binds what is used several times.
-    found = _let(anchors(F.col("edited")), lambda e: F.struct(
+    found = _let(slim(anchors(F.col("edited"))), lambda e: F.struct(
         fingerprint(e).alias("edited_fingerprint"), likeness(F.col("anchors"), e).alias("near_edited")))
     return rows.select(
         id_col, "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), fingerprint(F.col("anchors")).alias("fingerprint"),
