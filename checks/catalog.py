@@ -679,7 +679,7 @@ def q_declared_checks(spark, d):
     checks = quality.Checks(
         not_null=quality.DECLARED["fct_daily"].not_null + ["temperature_max"],
         unique=quality.DECLARED["fct_daily"].unique, ranges=quality.RANGES,
-        no_sentinel=["pression_moyenne"], at_least={"code_insee": 350})
+        no_sentinel=["pression_moyenne"], more_than={"code_insee": 350})
     return quality.run_checks("fct_daily", fact, checks)
 
 

@@ -746,7 +746,7 @@ SQL["q_declared_checks"] = f"WITH {BUILT} " + " UNION ALL ".join(
     + [_check("fct_daily", "fact", "pression_moyenne", "sentinel",
               "count(*) FILTER (pression_moyenne IN (-999, -9999))"),
        _check("fct_daily", "fact", "code_insee", "coverage",
-              "CAST(count(DISTINCT code_insee) < 350 AS BIGINT)"),
+              "CAST(count(DISTINCT code_insee) <= 350 AS BIGINT)"),
        _check("fct_daily", "(SELECT date, code_insee FROM fact GROUP BY ALL HAVING count(*) > 1)",
               "date, code_insee", "unique", "count(*)")])
 

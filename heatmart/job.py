@@ -3,7 +3,11 @@
   job.py ingest  --payloads DIR --locations DIR --raw-weather DIR --as-of 2026-09-01
   job.py build   --weather DIR --communes DIR --heat DIR --winter DIR --root DIR
   job.py check   --root DIR
-  job.py report  --root DIR --name heat_days_by_year [--out DIR]
+  job.py report  --root DIR --name heat_days_by_year [--out DIR] [--rows 100]
+                 [--since 2015-01-01] [--from-year 2015] [--to-year 2025]
+
+Without --out a report prints its first rows and how many there are. Years and
+days are unbounded unless given.
 """
 
 from __future__ import annotations
@@ -17,10 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from heatmart import schemas
 from heatmart.functions.dates import between_days
 from heatmart.operators import analytics, health, quality, stats
+from heatmart.operators.scale import cut_lineage
 from heatmart.plans import build, ingest, marts
-from heatmart.session import session, sized_for
+from heatmart.session import measured, session, sized_for
 
 Tables = dict[str, DataFrame]
+# Options that name folders to read.
+INPUTS = ["payloads", "locations", "raw_weather", "weather", "communes", "heat", "winter", "root"]
 
 
 def panel(tables: Tables, since: date | None = None) -> DataFrame:
@@ -29,37 +36,36 @@ def panel(tables: Tables, since: date | None = None) -> DataFrame:
     return marts.wide(fact, tables["stg_communes"])
 
 
-RECENT = date(2015, 1, 1)
-REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
-    "coverage": lambda t: quality.coverage(panel(t)),
-    "nulls": lambda t: quality.null_profile(panel(t)),
-    "bounds": lambda t: quality.bounds(panel(t)),
-    "coherence": lambda t: quality.coherence(panel(t)),
-    "key_uniqueness": lambda t: quality.key_uniqueness(panel(t)),
-    "continuity": lambda t: quality.continuity(panel(t)),
-    "incomplete_days": lambda t: quality.incomplete_days(panel(t)),
-    "name_variants": lambda t: quality.name_variants(panel(t)),
-    "run_history": lambda t: analytics.run_history(t["fct_daily"]),
-    "department_years": lambda t: analytics.department_years(t["stg_heat_health"]),
-    "summary": lambda t: stats.summary(panel(t, RECENT)),
-    "histograms": lambda t: stats.histograms(panel(t, RECENT)),
-    "correlations": lambda t: stats.correlation_matrix(panel(t, RECENT)),
-    "seasonality": lambda t: analytics.seasonality(panel(t, RECENT)),
-    "yearly_trend": lambda t: analytics.yearly_trend(panel(t)),
-    "linear_trend": lambda t: analytics.linear_trend(analytics.yearly_trend(panel(t)), 2026),
-    "departments": lambda t: analytics.department_climate(panel(t), 2015, 2025),
-    "regions": lambda t: analytics.region_climate(
-        analytics.department_climate(panel(t), 2015, 2025)),
-    "warmest_and_coolest": lambda t: analytics.warmest_and_coolest(
-        analytics.department_climate(panel(t), 2015, 2025)),
-    "heat_days_by_year": lambda t: analytics.heat_days_by_year(panel(t)),
-    "heat_days_by_month": lambda t: analytics.heat_days_by_month(panel(t)),
-    "weather_health": lambda t: health.weather_health(panel(t), t["stg_heat_health"]),
-    "health_correlations": lambda t: health.health_correlations(
+REPORTS: dict[str, Callable[[Tables, argparse.Namespace], DataFrame]] = {
+    "coverage": lambda t, o: quality.coverage(panel(t)),
+    "nulls": lambda t, o: quality.null_profile(panel(t)),
+    "bounds": lambda t, o: quality.bounds(panel(t)),
+    "coherence": lambda t, o: quality.coherence(panel(t)),
+    "key_uniqueness": lambda t, o: quality.key_uniqueness(panel(t)),
+    "continuity": lambda t, o: quality.continuity(panel(t)),
+    "incomplete_days": lambda t, o: quality.incomplete_days(panel(t)),
+    "name_variants": lambda t, o: quality.name_variants(panel(t)),
+    "run_history": lambda t, o: analytics.run_history(t["fct_daily"]),
+    "department_years": lambda t, o: analytics.department_years(t["stg_heat_health"]),
+    "summary": lambda t, o: stats.summary(panel(t, o.since)),
+    "histograms": lambda t, o: stats.histograms(panel(t, o.since)),
+    "correlations": lambda t, o: stats.correlation_matrix(panel(t, o.since)),
+    "seasonality": lambda t, o: analytics.seasonality(panel(t, o.since)),
+    "yearly_trend": lambda t, o: analytics.yearly_trend(panel(t)),
+    "linear_trend": lambda t, o: analytics.linear_trend(analytics.yearly_trend(panel(t)), o.to_year + 1),
+    "departments": lambda t, o: analytics.department_climate(panel(t), o.from_year, o.to_year),
+    "regions": lambda t, o: analytics.region_climate(
+        analytics.department_climate(panel(t), o.from_year, o.to_year)),
+    "warmest_and_coolest": lambda t, o: analytics.warmest_and_coolest(
+        analytics.department_climate(panel(t), o.from_year, o.to_year)),
+    "heat_days_by_year": lambda t, o: analytics.heat_days_by_year(panel(t)),
+    "heat_days_by_month": lambda t, o: analytics.heat_days_by_month(panel(t)),
+    "weather_health": lambda t, o: health.weather_health(panel(t), t["stg_heat_health"]),
+    "health_correlations": lambda t, o: health.health_correlations(
         health.weather_health(panel(t), t["stg_heat_health"])),
-    "key_coverage": lambda t: health.key_coverage(
+    "key_coverage": lambda t, o: health.key_coverage(
         t["stg_communes"], t["stg_heat_health"], "departement", "departement_nom"),
-    "key_gaps": lambda t: health.key_gaps(
+    "key_gaps": lambda t, o: health.key_gaps(
         t["stg_communes"], t["stg_heat_health"], "departement", "departement_nom"),
 }
 
@@ -71,7 +77,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         done = ingest.daily_weather(landed, spark.read.parquet(args.locations),
                                     args.raw_weather, date.fromisoformat(args.as_of))
         print(f"received {done.received}, inserted {done.inserted}, skipped {done.skipped}, "
-              f"{done.verdict}")
+              f"unreadable {done.unreadable}, without location {done.unmatched}, {done.verdict}")
         return int(done.verdict == "refused")
     if args.command == "build":
         read = {"weather": schemas.RAW_WEATHER, "communes": schemas.RAW_COMMUNES,
@@ -85,11 +91,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         for r in found:
             print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
         return int(any(r.status == "fail" for r in found))
-    result = REPORTS[args.name](tables)
+    result = REPORTS[args.name](tables, args)
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
-        result.show(100, truncate=False)
+        result = cut_lineage(result)
+        total = result.count()
+        result.show(args.rows, truncate=False)
+        print(f"first {min(args.rows, total)} of {total} rows")
     return 0
 
 
@@ -104,14 +113,22 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         for option in wanted:
             command.add_argument(f"--{option}", required=True)
     commands.choices["report"].add_argument("--name", choices=sorted(REPORTS), required=True)
-    commands.choices["report"].add_argument("--out")
+    report = commands.choices["report"]
+    report.add_argument("--out")
+    report.add_argument("--rows", type=int, default=100, help="rows to print without --out")
+    report.add_argument("--since", type=date.fromisoformat)
+    report.add_argument("--from-year", type=int, default=1)
+    report.add_argument("--to-year", type=int, default=9998)
     for command in commands.choices.values():
         command.add_argument("--input-gb", type=int, default=0,
-                             help="size of the input, to choose partition numbers")
+                             help="size of the input, if it should not be measured")
     return parser.parse_args(argv)
 
 
 if __name__ == "__main__":
     options = parse()
-    sizes = sized_for(options.input_gb * 1024 ** 3) if options.input_gb else None
-    raise SystemExit(run(session(extra=sizes), options))
+    spark = session()
+    paths = [getattr(options, n) for n in INPUTS if getattr(options, n, None)]
+    for key, value in sized_for(options.input_gb * 1024 ** 3 or measured(spark, paths)).items():
+        spark.conf.set(key, value)
+    raise SystemExit(run(spark, options))

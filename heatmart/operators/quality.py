@@ -130,7 +130,7 @@ class Checks:
     unique: list[tuple[str, ...]] = field(default_factory=list)
     ranges: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
     no_sentinel: list[str] = field(default_factory=list)
-    at_least: dict[str, int] = field(default_factory=dict)
+    more_than: dict[str, int] = field(default_factory=dict)
 
 
 # The promises of the published models.
@@ -182,9 +182,15 @@ def orphans(df: DataFrame, parent: DataFrame, column: str) -> DataFrame:
     return used.join(parent.select(column).distinct(), column, "left_anti")
 
 
+def too_few(column: str, more_than: int) -> Column:
+    """Aggregate: whether the column lacks more than that many distinct values."""
+    return F.countDistinct(column) <= more_than
+
+
 def low_coverage(df: DataFrame, column: str, more_than: int) -> DataFrame:
     """One row when the column holds too few distinct values, none otherwise."""
-    return df.agg(F.countDistinct(column).alias("n")).where(F.col("n") <= more_than)
+    return (df.agg(F.countDistinct(column).alias("n"), too_few(column, more_than).alias("few"))
+            .where("few").select("n"))
 
 
 def sentinels(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -205,8 +211,8 @@ def run_checks(model: str, df: DataFrame, checks: Checks) -> DataFrame:
         counts[c, "range"] = F.count_if(out_of_range(c, low, high))
     for c in checks.no_sentinel:
         counts[c, "sentinel"] = F.count_if(F.col(c).isin(*SENTINELS))
-    for c, least in checks.at_least.items():
-        counts[c, "coverage"] = F.when(F.countDistinct(c) < least, 1).otherwise(0).cast("bigint")
+    for c, least in checks.more_than.items():
+        counts[c, "coverage"] = F.when(too_few(c, least), 1).otherwise(0).cast("bigint")
     parts = []
     if counts:
         row = df.agg(*[v.alias(f"{c}|{k}") for (c, k), v in counts.items()])

@@ -28,6 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at path, as the file system says."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df once as a table in the shared folder and go on from the files.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from heatmart.functions.numeric import correlation, no_nan, round_to
 from heatmart.operators.scale import cut_lineage
@@ -68,6 +68,15 @@ def histograms(df: DataFrame, columns: list[str] = DRAWN, bins: int = 60) -> Dat
         (F.col("lo") + width * F.col("bin")).alias("upper"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def between(low: float, high: float, part: float) -> float:
+    """Linear interpolation; an infinite end pulls everything between to itself, the lower one first."""
+    if low == high or part == 0:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return low if math.isinf(low) else high
+    return low + (high - low) * part if math.isfinite(high - low) else low * (1 - part) + high * part
+
+
 def percentiles(df: DataFrame, columns: list[str], shares: list[float],
                 fan_out: int = 4096) -> DataFrame:
     """Exact percentiles with linear interpolation: (variable, share, value).
@@ -81,16 +90,27 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
     spark = df.sparkSession
     counted = cut_lineage(melt(df, columns).groupBy("slot", "value")
                           .agg(F.count("*").alias("copies")))
+    finite = F.when(F.abs("value") < math.inf, F.col("value"))
     extent = {r["slot"]: r for r in counted.groupBy("slot").agg(
-        F.sum("copies").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.sum("copies").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+        F.coalesce(F.sum(F.when(F.col("value") == -math.inf, F.col("copies"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(F.col("value") == math.inf, F.col("copies"))), F.lit(0)).alias("above"),
     ).collect()}
 
     def neighbours(slot: int, share: float) -> tuple[int, int, float]:
         at = share * (extent[slot]["n"] - 1)
         return math.floor(at), math.ceil(at), at - math.floor(at)
 
+    def started(row: Row, rank: int) -> tuple[float, float, int]:
+        """Infinite values are ranked by their number, finite ones searched."""
+        if rank < row["below"]:
+            return -math.inf, -math.inf, 0
+        if rank >= row["n"] - row["above"]:
+            return math.inf, math.inf, row["n"] - row["above"]
+        return row["lo"], row["hi"], row["below"]
+
     # range that still holds each (slot, rank): lowest value, highest value, values below it
-    held = {(slot, rank): (row["lo"], row["hi"], 0) for slot, row in extent.items()
+    held = {(slot, rank): started(row, rank) for slot, row in extent.items()
             for share in shares for rank in neighbours(slot, share)[:2]}
     while True:
         ranges = sorted({(slot, *r) for (slot, _), r in held.items() if r[0] < r[1]})
@@ -104,8 +124,11 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
             "range int, before long, rank long")
         inside = counted.join(F.broadcast(asked), "slot").where(
             F.col("value").between(F.col("lo"), F.col("hi")))
-        piece = F.floor(F.lit(float(fan_out)) * ((F.col("value") - F.col("lo"))
-                                                 / (F.col("hi") - F.col("lo"))))
+        # halves, where the whole width would overflow
+        wide = F.col("hi") / 2 - F.col("lo") / 2 > 8e307
+        part = F.when(wide, (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)).otherwise(
+            (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+        piece = F.floor(F.lit(float(fan_out)) * part)
         slices = (inside.groupBy("slot", "range", piece.alias("slice"))
                   .agg(F.sum("copies").alias("n"), F.min("value").alias("lo"),
                        F.max("value").alias("hi")))
@@ -116,8 +139,11 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
         found = (sums.join(F.broadcast(wanted), "range")
                  .where((F.col("rank") >= below) & (F.col("rank") < below + F.col("n")))
                  .select("slot", "rank", "lo", "hi", below.alias("before")))
+        before = dict(held)
         for r in found.collect():
             held[r["slot"], r["rank"]] = (r["lo"], r["hi"], r["before"])
+        if held == before:
+            raise RuntimeError("a range of values could not be narrowed down")
 
     rows = []
     for slot, variable in enumerate(columns):
@@ -126,7 +152,7 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
             if slot in extent:
                 low, high, part = neighbours(slot, share)
                 value = held[slot, low][0]
-                value += (held[slot, high][0] - value) * part
+                value = between(value, held[slot, high][0], part)
             rows.append((variable, share, value))
     return spark.createDataFrame(rows, "variable string, share double, value double")
 

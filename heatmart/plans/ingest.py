@@ -10,13 +10,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heatmart import schemas
 from heatmart.operators import append
 from heatmart.operators.dedup import ascending
-from heatmart.operators.scale import cut_lineage
+from heatmart.operators.scale import cut_lineage, exists
 from heatmart.sources import landing, sinks
 
 
@@ -27,6 +26,8 @@ class Outcome:
     received: int = 0
     inserted: int = 0
     verdict: str = "accepted"
+    unreadable: int = 0
+    unmatched: int = 0
 
     @property
     def skipped(self) -> int:
@@ -35,14 +36,14 @@ class Outcome:
 
 def stored_table(spark: SparkSession, path: str,
                  schema: T.StructType | None = None) -> DataFrame | None:
-    """A stored Parquet table, or None before its first load."""
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    """A stored Parquet table, or None before its first load.
+
+    A folder without readable files is an error, not a first load.
+    """
+    if not exists(spark, path):
         return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def _stored_weather(spark: SparkSession, path: str) -> DataFrame:
@@ -59,17 +60,30 @@ def _append(fresh: DataFrame, path: str) -> int:
     return inserted
 
 
+def _lost(landed: DataFrame, parsed: DataFrame, locations: DataFrame) -> tuple[int, int]:
+    """Numbers of unreadable bodies and of payload locations that are not listed."""
+    return landing.unreadable(landed).count(), landing.unmatched(parsed, locations).count()
+
+
 def daily_weather(landed: DataFrame, locations: DataFrame, path: str, as_of: date,
-                  lookback: int = 60, limit: float = 50.0) -> Outcome:
-    """Daily run: keep unknown (day, code), refuse a batch lacking maxima, append."""
+                  lookback: int = 60, limit: float = 50.0, tolerated: int = 0) -> Outcome:
+    """Daily run: keep unknown (day, code), refuse a batch lacking maxima, append.
+
+    A landing with more than ``tolerated`` unreadable bodies or unlisted
+    locations is refused as a whole.
+    """
     spark = landed.sparkSession
-    batch = landing.daily_readings(landing.parse_payloads(landed), locations)
+    parsed = landing.parse_payloads(landed)
+    unreadable, unmatched = _lost(landed, parsed, locations)
+    if unreadable + unmatched > tolerated:
+        return Outcome(verdict="refused", unreadable=unreadable, unmatched=unmatched)
+    batch = landing.daily_readings(parsed, locations)
     batch = cut_lineage(sinks.conform(batch, schemas.RAW_WEATHER))
     order = ascending(schemas.RAW_WEATHER.names)
     fresh = cut_lineage(append.new_readings(batch, _stored_weather(spark, path), order,
                                             as_of, lookback))
     gate = append.batch_gate(fresh, limit=limit).first()
-    outcome = Outcome(batch.count(), gate["total"], gate["verdict"])
+    outcome = Outcome(batch.count(), gate["total"], gate["verdict"], unreadable, unmatched)
     if gate["verdict"] == "refused":
         outcome.inserted = 0
     elif gate["total"]:
@@ -78,14 +92,21 @@ def daily_weather(landed: DataFrame, locations: DataFrame, path: str, as_of: dat
 
 
 def history_weather(landed: DataFrame, locations: DataFrame, path: str, first: date,
-                    last: date) -> Outcome:
-    """History run: complete days only, unknown (day, name), hash and load time stamped."""
+                    last: date, tolerated: int = 0) -> Outcome:
+    """History run: complete days only, unknown (day, name), hash and load time stamped.
+
+    Refused as daily_weather() is.
+    """
     spark = landed.sparkSession
-    batch = cut_lineage(landing.complete_readings(landing.parse_payloads(landed), locations))
+    parsed = landing.parse_payloads(landed)
+    unreadable, unmatched = _lost(landed, parsed, locations)
+    if unreadable + unmatched > tolerated:
+        return Outcome(verdict="refused", unreadable=unreadable, unmatched=unmatched)
+    batch = cut_lineage(landing.complete_readings(parsed, locations))
     fresh = append.new_by_hash(batch, _stored_weather(spark, path), first, last)
     fresh = sinks.conform(fresh.withColumn("insere_a", F.current_timestamp()),
                           schemas.RAW_WEATHER)
-    return Outcome(batch.count(), _append(fresh, path))
+    return Outcome(batch.count(), _append(fresh, path), unreadable=unreadable, unmatched=unmatched)
 
 
 @dataclass
@@ -117,6 +138,6 @@ def health_feeds(feeds: dict[str, Feed]) -> Report:
     for name, feed in feeds.items():
         try:
             report.done[name] = health_feed(feed)
-        except PySparkException as error:
+        except Exception as error:  # whatever it is, the other feeds go on
             report.failed[name] = str(error)
     return report

@@ -26,13 +26,24 @@ def sized_for(input_bytes: int, part: int = 256 * 1024 ** 2) -> dict[str, str]:
     Adaptive execution merges small shuffle partitions but cannot cut one that
     is evenly too big, so the first number must suit the data.
     """
-    parts = min(max(200, -(-input_bytes // part)), 50_000)
+    parts = max(200, -(-input_bytes // part))
     return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
             "spark.sql.files.maxPartitionBytes": str(part)}
 
 
+def measured(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files under paths; those that are not there yet count as empty."""
+    jvm, conf, total = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(conf)
+        if files.exists(at):
+            total += files.getContentSummary(at).getLength()
+    return total
+
+
 def session(app: str = "heatmart", master: str | None = None,
             extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.

@@ -30,6 +30,16 @@ def parse_payloads(landed: DataFrame, body: str = "body",
     return landed.select("batch_id", F.posexplode(found).alias("pos", "location"))
 
 
+def unreadable(landed: DataFrame, body: str = "body") -> DataFrame:
+    """Landed rows whose body is missing or no JSON; parse_payloads() makes nothing of them."""
+    return landed.where(F.try_parse_json(F.col(body)).isNull())
+
+
+def unmatched(parsed: DataFrame, locations: DataFrame) -> DataFrame:
+    """Payload locations that no listed location answers; daily_readings() leaves them out."""
+    return parsed.join(locations, ["batch_id", "pos"], "left_anti")
+
+
 def daily_readings(parsed: DataFrame, locations: DataFrame,
                    variables: list[str] = schemas.DAILY_VARIABLES) -> DataFrame:
     """One row per (location, day): i-th payload goes to the i-th location of its batch.
@@ -55,17 +65,19 @@ def complete_readings(parsed: DataFrame, locations: DataFrame,
 
 def parse_pages(landed: DataFrame, record: T.StructType = schemas.HEALTH_RECORD,
                 body: str = "body") -> DataFrame:
-    """Page texts to the records of all pages."""
+    """Page texts to the records of all pages; a page that is no JSON raises an error."""
     page = T.StructType([T.StructField("results", T.ArrayType(record))])
-    return (landed.select(F.from_json(F.col(body), page).results.alias("results"))
+    whole = F.when(F.try_parse_json(F.col(body)).isNotNull(), F.col(body)).otherwise(
+        F.raise_error(F.concat(F.lit("unreadable page: "), F.coalesce(F.substring(F.col(body), 1, 80), F.lit("NULL")))))
+    return (landed.select(F.from_json(whole, page).results.alias("results"))
             .select(F.inline("results")))
 
 
 def read_pages(spark: SparkSession, folder: str,
                record: T.StructType = schemas.HEALTH_RECORD) -> DataFrame:
     """Records of a folder of landed pages, one JSON object per line."""
-    page = T.StructType([T.StructField("results", T.ArrayType(record))])
-    return spark.read.schema(page).json(folder).select(F.inline("results"))
+    lines = spark.read.text(folder).where(F.trim("value") != "")
+    return parse_pages(lines, record, "value")
 
 
 def heat_record(records: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from heatmart.operators.scale import cut_lineage, exists
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the stored schema; missing columns become NULL, unknown ones drop."""
@@ -46,11 +48,26 @@ def rebuild_by_month(df: DataFrame, path: str, day: str = "date") -> None:
      .partitionBy("date_month").parquet(path))
 
 
-def replace_months(df: DataFrame, path: str, day: str = "date") -> None:
-    """Replace the months present in df, leave the others alone.
+def upsert_months(fresh: DataFrame, path: str, keys: list[str], day: str = "date") -> None:
+    """Merge rows into a table partitioned by month; only the touched months are read and written.
 
-    df may derive from ``path`` only through a checkpoint or another table.
+    Stored rows stay unless fresh has their key. NULL keys match nothing.
     """
+    spark = fresh.sparkSession
+    fresh = with_month(fresh, day)
+    if not exists(spark, path):
+        return rebuild_by_month(fresh.drop("date_month"), path, day)
+    # as many rows as the delta has calendar months
+    months = [r[0] for r in fresh.select("date_month").distinct().collect()]
+    stored = spark.read.parquet(path)
+    stored = stored.where(F.col("date_month").isin(months) if months else F.lit(False))
+    kept = stored.join(fresh.select(*keys).distinct(), keys, "left_anti")
+    # the plan reads the table it writes to, so the rows are written out first
+    _replace_months(cut_lineage(kept.unionByName(fresh).drop("date_month")), path, day)
+
+
+def _replace_months(df: DataFrame, path: str, day: str) -> None:
+    """Replace the months present in df; df must not read ``path``."""
     (_by_month(df, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date_month").parquet(path))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from heatmart.functions.text import stored_code
 from heatmart.operators.dedup import first_per_key
-from heatmart.operators.scale import BROADCAST_BYTES, cut_lineage, stored_and_measured
+from heatmart.operators.scale import cut_lineage, exists
 from heatmart.sources.sinks import with_month
 
 
@@ -18,16 +19,12 @@ def first_readings(stream: DataFrame, keys: list[str], time: str = "time",
     return stream.withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def in_months(fact: DataFrame, months: list[date]) -> DataFrame:
+    """The fact's partitions of these months; their literals reach the file listing."""
+    return fact.where(F.col("date_month").isin(months) if months else F.lit(False))
 
 
-def append_new(batch: DataFrame, fact: str, months: DataFrame, order: list[Column]) -> None:
+def append_new(batch: DataFrame, fact: str, months: list[date], order: list[Column]) -> None:
     """Append the readings of a micro-batch that the month-partitioned table lacks.
 
     A batch repeated after a failure finds its keys stored and adds nothing.
@@ -35,17 +32,17 @@ def append_new(batch: DataFrame, fact: str, months: DataFrame, order: list[Colum
     """
     keys = ["date", "code_insee"]
     fresh = first_per_key(batch, keys, order)
-    stored = _stored(batch.sparkSession, fact)
-    if stored is not None:
-        known = stored.join(months, "date_month", "left_semi").select(*keys).distinct()
+    if exists(batch.sparkSession, fact):
+        stored = batch.sparkSession.read.parquet(fact)
+        known = in_months(stored, months).select(*keys).distinct()
         fresh = fresh.join(known, keys, "left_anti")
     # the plan reads the table it appends to, so it is written out first
     cut_lineage(fresh).write.mode("append").partitionBy("date_month").parquet(fact)
 
 
-def refresh_heat_days(fact: DataFrame, months: DataFrame, report: str) -> None:
+def refresh_heat_days(fact: DataFrame, months: list[date], report: str) -> None:
     """Recount hot days of the touched months and replace those partitions."""
-    touched = fact.join(months, "date_month", "left_semi")
+    touched = in_months(fact, months)
     hot = F.col("temperature_maximale")
     counted = (touched.groupBy("date_month").agg(
         *[F.count_if(hot > t).alias(f"jours_sup_{t}") for t in (30, 35, 40)]))
@@ -64,9 +61,10 @@ def follow(stream: DataFrame, fact: str, report: str, checkpoint: str,
         dated = with_month(batch.where("time is not null")
                            .withColumn("date", F.to_date("time"))
                            .withColumn("code_insee", stored_code(F.col("nom_poi"))))
-        months, size = stored_and_measured(dated.select("date_month").distinct())
-        if size["bytes"] <= BROADCAST_BYTES:
-            months = F.broadcast(months)
+        # as many rows as the batch has calendar months
+        months = [r[0] for r in dated.select("date_month").distinct().collect()]
+        if not months:
+            return
         append_new(dated, fact, months, order)
         refresh_heat_days(batch.sparkSession.read.parquet(fact), months, report)
 

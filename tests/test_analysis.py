@@ -129,7 +129,7 @@ def test_run_checks(spark):
                        reading(None, town=None)])
     checks = quality.Checks(not_null=["date", "ville"], unique=[("date", "code_insee")],
                             ranges={"temperature_moyenne": (-30.0, 45.0)},
-                            no_sentinel=["temperature_moyenne"], at_least={"code_insee": 2})
+                            no_sentinel=["temperature_moyenne"], more_than={"code_insee": 1})
     got = {(r.column, r.check): (r.violations, r.status)
            for r in quality.run_checks("panel", df, checks).collect()}
     assert got == {("date", "not_null"): (1, "fail"), ("ville", "not_null"): (1, "fail"),

@@ -1,6 +1,7 @@
 """Landed files, appends, sinks and run logs."""
 
 import json
+from pathlib import Path
 from datetime import date, datetime
 
 import pytest
@@ -185,10 +186,17 @@ def test_month_partitions_prune_and_replace(spark, tmp_path):
     text = plan(kept)
     assert "date_month" in text.split("PartitionFilters: [")[1].split("]")[0]
     assert kept.count() == 2
-    sinks.replace_months(fact(spark, [(date(2026, 3, 5), "75056", 99.0)]), path)
+    files = {f for f in after_files(path) if "date_month=2026-03" not in f}
+    changed = [(date(2026, 3, 5), "75056", 99.0), (date(2026, 3, 1), "01034", 98.0)]
+    sinks.upsert_months(fact(spark, changed), path, ["date", "code_insee"])
     after = spark.read.parquet(path)
-    assert after.count() == 8 and after.where("t = 99").count() == 1
-    assert after.where("date = date'2026-03-01'").count() == 0
+    assert after.count() == 9 and after.where("t >= 98").count() == 2
+    assert after.where("date = date'2026-03-01'").count() == 1
+    assert {f for f in after_files(path) if "date_month=2026-03" not in f} == files
+
+
+def after_files(path):
+    return {str(f) for f in Path(path).rglob("*.parquet")}
 
 
 def test_delta(spark):

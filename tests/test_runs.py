@@ -154,7 +154,7 @@ def test_broadcast_depends_on_measured_size(spark):
 def test_partition_numbers_follow_the_input():
     from heatmart.session import sized_for
     number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert [sized_for(b)[number] for b in (0, 10 ** 12, 10 ** 14)] == ["200", "3726", "50000"]
+    assert [sized_for(b)[number] for b in (0, 10 ** 12, 10 ** 14)] == ["200", "3726", "372530"]
 
 
 def test_hot_name_in_the_commune_list_is_split(spark, tight):
