@@ -27,7 +27,7 @@ ANCHOR = 32
 # Windows start at most this many bytes before their anchor.
 REACH = LENGTH - ANCHOR
 # Anchors with more different pieces are compared window by window, by hash and grouping.
-CROWD = 256
+CROWD = 32_768
 # Bytes of a text that are hashed at a time; longer texts are worked on in such segments.
 SEGMENT = 1 << 20
 # Pieces that a task sorts at a time.
@@ -143,7 +143,7 @@ def _sorted_by_column(h: np.ndarray, rank: np.ndarray, off: np.ndarray, texts: l
     """
     m = len(texts)
     size = np.fromiter(map(len, texts), np.int64, m)
-    column = np.full((m, REACH + LENGTH), 256, np.int64)
+    column = np.full((m, REACH + LENGTH), 256, np.int16)
     at = np.repeat(REACH - off - np.cumsum(size) + size, size) + np.arange(size.sum())
     column[np.repeat(np.arange(m), size), at] = np.frombuffer(b"".join(texts), np.uint8)
     same = np.concatenate([[False], h[1:] == h[:-1]])
