@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from heatmart.llm.common import stored
+
 BUCKETS = 16
 TOKENS = 65_536
 # Lengths up to this are told apart one by one; beyond, 1024 steps per doubling.
@@ -79,7 +81,8 @@ def packed(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None
     """
     length = word_count(F.col("text").cast("string")) if length is None else length
     rows = docs.select(F.col(id_col), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
-    rows = rows.withColumn("step", padded_step(F.col("n_tokens")))
+    # Lengths are worked out once, and written without the texts.
+    rows, _ = stored(rows.withColumn("step", padded_step(F.col("n_tokens"))))
     histogram = np.array(sorted((r["step"], r["count"]) for r in rows.groupBy("step").count().collect()), np.int64).reshape(-1, 2)
     some = histogram[histogram[:, 0] > 0]
     ends = ([0] if len(some) < len(histogram) else []) + boundaries(some[:, 0], some[:, 1], buckets)
