@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.catalog import QUERIES
 from checks.compare import compare, connect
+from checks.oracles import SQL
 from conftest import plan
 
 
@@ -13,7 +15,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -28,6 +31,6 @@ def no_slow_operator(df):
         assert word not in text, word
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, sf_dir, name):
     assert compare(spark, con, name, sf_dir, no_slow_operator).startswith("ok")
