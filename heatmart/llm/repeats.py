@@ -231,25 +231,30 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     with equal bytes are grouped, and all but the earliest are marked. What
     differs but shares an anchor is fetched as bytes and sorted column by
     column; crowded anchors are taken apart into windows instead, which are
-    grouped by hash, so no anchor fills a task.
+    grouped by hash, so no anchor fills a task. Counts are written before they
+    are joined back: beside a table, unlike beside an aggregate of the same
+    stage, Spark splits an anchor that many rows share.
     """
     runs = texts.mapInArrow(_runs, RUN)
-    again = runs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    again, _ = stored(runs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
     hits, _ = stored(runs.join(again, "h", "left_semi"))
     first = F.min(F.struct("id", "th", "pos", "n", "off")).alias("first")
     kinds, _ = stored(hits.groupBy("h", "ph").agg(first))
     copies = (hits.join(kinds, ["h", "ph"]).where("id <> first.id or th <> first.th or pos <> first.pos")
               .select("id", "th", F.col("pos").alias("start"), F.col("n").cast("long")))
-    mixed = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    mixed, at = stored(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), most=F.max("m"))
     wanted = (kinds.join(mixed, "h").groupBy("first.id", "first.th").agg(
         F.collect_list(F.struct("h", "first.pos", "first.n", "first.off", (F.col("m") > CROWD).alias("crowd"))).alias("wanted")))
     # Not stored: its shuffle of the texts is the one that the removal uses.
     pieces = texts.join(wanted, ["id", "th"]).select("id", "th", "text", "wanted").mapInArrow(_pieces, PIECE)
     judged = (pieces.where("bytes is not null").drop("windows").repartition("h").sortWithinPartitions("h")
               .mapInArrow(_judged, MARK))
+    if (at["most"] or 0) <= CROWD:
+        return copies.union(judged)
     windows = pieces.where("windows is not null").select("h", "id", "th", "pos", F.posexplode("windows").alias("i", "w")).select(
         "h", "w", "id", "th", (F.col("pos") + F.col("i")).alias("start"))
-    earliest = windows.groupBy("h", "w").agg(F.min(F.struct("id", "th", "start")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    earliest, _ = stored(windows.groupBy("h", "w").agg(
+        F.min(F.struct("id", "th", "start")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1"))
     crowded = (windows.join(earliest, ["h", "w"]).where("id <> first.id or th <> first.th or start <> first.start")
                .select("id", "th", "start", F.lit(1).cast("long").alias("n")))
     return copies.union(judged).union(crowded)
