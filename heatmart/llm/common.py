@@ -118,6 +118,11 @@ class Rolling:
         h = (total[end] - total[start]) * self.down[start]
         return mix(h + (end - start).astype(U64) * U64(0xD1B54A32D192ED03))
 
+    def windows(self, total: np.ndarray, length: int) -> np.ndarray:
+        """ranges() of all ranges of one length, in order."""
+        h = (total[length:] - total[:-length]) * self.down[:len(total) - length]
+        return mix(h + U64(length * 0xD1B54A32D192ED03 % 2 ** 64))
+
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

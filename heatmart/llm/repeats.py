@@ -46,9 +46,8 @@ def _anchored(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     if n <= 0:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
     total = _ROLL.sums(data)
-    places = np.arange(len(data) - ANCHOR + 1)
-    h = _ROLL.ranges(total, places, places + ANCHOR)
-    low = (h & ~_PLACE) | places.astype(U64)
+    h = _ROLL.windows(total, ANCHOR)
+    low = (h & ~_PLACE) | np.arange(len(h), dtype=U64)
     span, width = 1, REACH + 1
     while 2 * span <= width:
         low = np.minimum(low[:-span], low[span:])
@@ -60,7 +59,7 @@ def _anchored(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     has = ends - starts >= LENGTH
     np.add.at(inside, starts[has], 1)
     np.add.at(inside, ends[has] - LENGTH + 1, -1)
-    at = np.flatnonzero(np.cumsum(inside[:n]))
+    at = np.flatnonzero(np.cumsum(inside[:n], dtype=np.int8))
     if not len(at):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
     anchor = (low[at] & _PLACE).astype(np.int64)
@@ -82,6 +81,13 @@ def _segments(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             yield part, np.array([len(part)]), np.array([first]), np.array([at])
 
 
+def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchor's hash of each run, nothing else, for counting."""
+    for batch in batches:
+        for data, ends, *_ in _segments(batch.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(_anchored(data, ends)[3].view(np.int64))], ["h"])
+
+
 RUN = "h long, ph long, id long, th long, pos long, n int, off int"
 
 
@@ -236,7 +242,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     stage, Spark splits an anchor that many rows share.
     """
     runs = texts.mapInArrow(_runs, RUN)
-    again, _ = stored(runs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
+    again, _ = stored(texts.select("text").mapInArrow(_anchor_hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
     hits, _ = stored(runs.join(again, "h", "left_semi"))
     first = F.min(F.struct("id", "th", "pos", "n", "off")).alias("first")
     kinds, _ = stored(hits.groupBy("h", "ph").agg(first))
