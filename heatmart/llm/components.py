@@ -36,8 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Partitions reduce their edges to forests first. Then large stars link each
     node's greater neighbours to its smallest one, small stars the smaller
-    ones, until nothing changes. Minima are pre-aggregated and joined back, so
-    a node with very many neighbours never sits in one task.
+    ones, until nothing changes. Minima are pre-aggregated and written before
+    they are joined back, so Spark can split a node with very many neighbours.
     """
     spark = edges.sparkSession
     edges = (edges.select("a", "b").where("a is not null and b is not null and a <> b")
@@ -46,15 +46,16 @@ def components(edges: DataFrame) -> DataFrame:
     now, was = stored(edges, **checksum)
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least, one = stored(both.groupBy("a").agg(F.min("b").alias("m")))
         large = (both.join(least, "a").where("b > a")
                  .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least, two = stored(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (large.join(least, "a")
                  .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
                  .select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct())
         new, seen = stored(small, **checksum)
-        drop(spark, was["path"])
+        for done in (was, one, two):
+            drop(spark, done["path"])
         same = (seen["rows"], seen["sum"]) == (was["rows"], was["sum"])
         now, was = new, seen
         if same:

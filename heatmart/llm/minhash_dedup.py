@@ -85,10 +85,12 @@ def _postings(reps: DataFrame) -> DataFrame:
     """(key, id, pop): each signature's PREFIX rarest entries, as far as others have them too.
 
     Entries are ordered by frequency, so passages that many texts share stay
-    out of the prefix of all texts that have enough of their own.
+    out of the prefix of all texts that have enough of their own. Here and
+    below, aggregates are written before they are joined back: beside a table,
+    unlike beside an aggregate of the same stage, Spark splits a hot key.
     """
     every = reps.select("id", F.explode("sig").alias("key"))
-    common = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    common, _ = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     each = every.join(common, "key").groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("e"), F.sum("n").alias("pop"))
     rare = F.lit(PREFIX - COORDINATES) + F.size("e")
@@ -99,9 +101,9 @@ def _postings(reps: DataFrame) -> DataFrame:
 
 def _open(postings: DataFrame) -> DataFrame:
     """Postings that still hold several components, with their number of members m."""
-    state = postings.groupBy("key").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    return postings.join(state.where("lo < hi").select("key", "m"), "key")
+    state, _ = stored(postings.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select("key", "m"))
+    return postings.join(state, "key")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -120,7 +122,7 @@ def _starred(live: DataFrame, reps: DataFrame, texts: DataFrame, words: int, per
 
     Common coordinates are counted first; pairs with MATCHES are compared on full sets.
     """
-    center = live.groupBy("key").agg(F.min(F.struct((-F.col("pop")).alias("pop"), "id")).alias("c"))
+    center, _ = stored(live.groupBy("key").agg(F.min(F.struct((-F.col("pop")).alias("pop"), "id")).alias("c")))
     met = (live.join(center, "key").where("id <> c.id")
            .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
     sig = reps.select("id", "sig")
@@ -152,7 +154,7 @@ def _rest(live: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFr
 
     n, i = F.col("n"), F.col("i")
     each = sets.select("id", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    common, _ = stored(each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
     own = each.join(common, "s").groupBy("id", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("e"))
     # Shingles that nobody else has come first; they need no posting.
     alone = n - F.size("e")
@@ -161,10 +163,10 @@ def _rest(live: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFr
              .select("id", "comp", "n", (F.col("alone") + F.col("j")).alias("i"), F.col("e.s").alias("s")))
     index = posts.where(i <= n - least(n, n)).withColumn("k", size_class(n))
     index, _ = stored(index)
-    state = index.groupBy("s", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    state, _ = stored(index.groupBy("s", "k").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
     probe = (posts.withColumn("k", F.explode(F.sequence(size_class(F.greatest(n * (percent / 100), F.lit(1))), size_class(n))))
              .where(i <= n - least(n, F.pow(F.lit(CLASS), F.col("k")) - 1e-6)))
-    probe = probe.join(state, ["s", "k"]).where("lo <> comp or hi <> comp").drop("lo", "hi")
+    probe, _ = stored(probe.join(state, ["s", "k"]).where("lo <> comp or hi <> comp").drop("lo", "hi"))
     other = index.select("s", "k", *[F.col(c).alias(f"{c}2") for c in ("id", "comp", "n", "i")])
     left = F.least(n - i, F.col("n2") - F.col("i2"))
     met = (probe.join(other, ["s", "k"])
