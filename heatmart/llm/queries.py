@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from heatmart.llm import (
     bpe, cotraining, embedding_dedup, licenses, main_text, masked_lm, minhash_dedup, packing, repeats, syncmers)
 from heatmart.llm.common import table
+from heatmart.llm.oracles import SQL  # noqa: F401
 
 # Folder of the public vocabulary files, described in its README.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -62,4 +63,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_minhash_dedup, op3_syncmer_fingerprints, op4_suffix_dedup, op5_masked_lm, op6_license_scan,
         op7_main_text, op8_quality, op9_packing, op10_bpe)}
-SQL: dict[str, str] = {}
