@@ -22,13 +22,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df):
-    """All rows as tuples in a stable order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan(df):
-    """Text of the plan Spark would run."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heatmart.operators import analytics, dedup, health, quality, stats
-from conftest import plan, rows
+from support import plan, rows
 
 
 def one_column(spark, values):

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from checks.catalog import QUERIES
 from checks.compare import compare, connect
 from checks.oracles import SQL
-from conftest import plan
+from support import plan
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from heatmart.functions import numeric, text
 from heatmart.functions.dates import collection_window, is_weekend, month_label
-from conftest import rows
+from support import rows
 
 
 def apply(spark, function, values):

@@ -11,7 +11,7 @@ from heatmart import schemas
 from heatmart.functions.dates import between_days
 from heatmart.operators import append, dedup, runs
 from heatmart.sources import landing, runlog, sinks
-from conftest import plan, rows
+from support import plan, rows
 
 DAYS = ["2026-08-01", "2026-08-02", "2026-08-03"]
 VARIABLES = ["weather_code", "temperature_2m_mean", "temperature_2m_max"]

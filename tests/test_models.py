@@ -10,7 +10,7 @@ from heatmart.operators import resolve
 from heatmart.operators.scale import cut_lineage
 from heatmart.plans import marts, staging
 from heatmart.plans.build import Raw, build
-from conftest import plan, rows
+from support import plan, rows
 
 COMMUNES = [
     # code, name, department, region, department number, latitude, longitude, centroid, service

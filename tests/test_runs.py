@@ -10,7 +10,7 @@ from heatmart import job, schemas
 from heatmart.operators import resolve, scale
 from heatmart.plans import ingest
 from heatmart.sources import landing
-from conftest import rows
+from support import rows
 
 DAYS = ["2026-08-20", "2026-08-21"]
 AS_OF = date(2026, 9, 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from heatmart.operators.dedup import ascending
 from heatmart.streaming import incremental
-from conftest import rows
+from support import rows
 
 SCHEMA = "time timestamp, nom_poi string, temperature_maximale double, n int"
 
