@@ -13,7 +13,7 @@ from heatmart import schemas
 from heatmart.functions import dates, text
 from heatmart.operators import (
     analytics, append, dedup, health, quality, resolve, runs, scale, stats)
-from heatmart.plans import marts, staging
+from heatmart.plans import build, marts, staging
 from heatmart.sources import landing, raw as scan, sinks
 from heatmart.streaming import incremental
 
@@ -187,6 +187,17 @@ def s19_incremental_delta(spark, d):
     return sinks.delta(fresh, _stored_panel(spark, d), ["date", "code_insee"])
 
 
+@query
+def s19_incremental_fact(spark, d):
+    """The fact after a build of the readings before a day and an update with all of them."""
+    weather = A.raw_weather(spark, d)
+    others = [A.raw_communes(spark, d), A.raw_heat_health(spark, d), A.raw_winter(spark, d)]
+    root = f"{_stream_folder(spark)}/tables"
+    build.build(spark, build.Raw(weather.where("time < '1998-07-10'"), *others), root)
+    built = build.update(spark, build.Raw(weather, *others), root, date(1998, 6, 15))
+    return built["fct_daily"].drop("date_month")
+
+
 # ---- projections and predicates ---------------------------------------------
 
 
@@ -427,7 +438,8 @@ def a15_region_climate(spark, d):
 
 def built_panel(spark, d) -> DataFrame:
     """The wide frame built by the models from the raw shapes."""
-    communes = staging.stg_communes(A.raw_communes(spark, d))
+    # read twice, so stored as by a build
+    communes = scale.cut_lineage(staging.stg_communes(A.raw_communes(spark, d)))
     weather = staging.stg_weather(A.raw_weather(spark, d), communes)
     return marts.wide(marts.fct_daily(weather), communes)
 

@@ -773,6 +773,7 @@ SELECT {day('date')} AS date, year(date) AS annee, month(date) AS mois,
   {day("date_trunc('month', date)")} AS debut_mois, dayofweek(date) + 1 AS jour_semaine,
   dayofweek(date) IN (0, 6) AS est_weekend FROM days"""
 SQL["m_fct_daily"] = f"WITH {BUILT} SELECT * REPLACE ({day('date')} AS date) FROM fact"
+SQL["s19_incremental_fact"] = SQL["m_fct_daily"]
 SQL["m_wide"] = f"WITH {BUILT}, {WIDE} SELECT * REPLACE ({day('date')} AS date) FROM wide"
 
 # ---- streams ----------------------------------------------------------------------

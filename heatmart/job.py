@@ -1,12 +1,14 @@
 """Command line, for spark-submit: build the tables, check them, ingest, print a report.
 
   job.py ingest  --payloads DIR --locations DIR --raw-weather DIR --as-of 2026-09-01
+  job.py history --payloads DIR --locations DIR --raw-weather DIR --first DAY --last DAY
   job.py build   --weather DIR --communes DIR --heat DIR --winter DIR --root DIR
-  job.py check   --root DIR
+                 [--since 2026-07-01]
+  job.py check   --root DIR [--communes-over 350]
   job.py report  --root DIR --name heat_days_by_year [--out DIR] [--rows 100]
                  [--since 2015-01-01] [--from-year 2015] [--to-year 2025]
 
-Without --out a report prints its first rows and how many there are. Years and
+build --since stages only the months from that day on. Without --out a report prints its first rows and how many there are. Years and
 days are unbounded unless given.
 """
 
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from heatmart import schemas
 from heatmart.functions.dates import between_days
 from heatmart.operators import analytics, health, quality, stats
-from heatmart.operators.scale import cut_lineage
+from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import build, ingest, marts
 from heatmart.session import measured, session, sized_for
 
@@ -70,12 +72,19 @@ REPORTS: dict[str, Callable[[Tables, argparse.Namespace], DataFrame]] = {
 }
 
 
+@released()
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one command; 0 when it succeeded."""
-    if args.command == "ingest":
+    if args.command in ("ingest", "history"):
         landed = spark.read.schema("batch_id long, body string").json(args.payloads)
-        done = ingest.daily_weather(landed, spark.read.parquet(args.locations),
-                                    args.raw_weather, date.fromisoformat(args.as_of))
+        places = spark.read.parquet(args.locations)
+        if args.command == "ingest":
+            done = ingest.daily_weather(landed, places, args.raw_weather,
+                                        date.fromisoformat(args.as_of))
+        else:
+            done = ingest.history_weather(landed, places, args.raw_weather,
+                                          date.fromisoformat(args.first),
+                                          date.fromisoformat(args.last))
         print(f"received {done.received}, inserted {done.inserted}, skipped {done.skipped}, "
               f"unreadable {done.unreadable}, without location {done.unmatched}, {done.verdict}")
         return int(done.verdict == "refused")
@@ -83,11 +92,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         read = {"weather": schemas.RAW_WEATHER, "communes": schemas.RAW_COMMUNES,
                 "heat": schemas.RAW_HEAT_HEALTH, "winter": schemas.RAW_WINTER}
         raw = [spark.read.schema(s).parquet(getattr(args, n)) for n, s in read.items()]
-        build.build(spark, build.Raw(*raw), args.root)
+        if args.since:
+            build.update(spark, build.Raw(*raw), args.root, args.since)
+        else:
+            build.build(spark, build.Raw(*raw), args.root)
         return 0
     tables = build.load(spark, args.root)
     if args.command == "check":
-        found = build.check(tables).collect()
+        found = build.check(tables, args.communes_over).collect()
         for r in found:
             print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
         return int(any(r.status == "fail" for r in found))
@@ -106,6 +118,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="heatmart.job")
     commands = parser.add_subparsers(dest="command", required=True)
     options = {"ingest": ["payloads", "locations", "raw-weather", "as-of"],
+               "history": ["payloads", "locations", "raw-weather", "first", "last"],
                "build": ["weather", "communes", "heat", "winter", "root"],
                "check": ["root"], "report": ["root"]}
     for name, wanted in options.items():
@@ -116,7 +129,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     report = commands.choices["report"]
     report.add_argument("--out")
     report.add_argument("--rows", type=int, default=100, help="rows to print without --out")
-    report.add_argument("--since", type=date.fromisoformat)
+    for name in ("build", "report"):
+        commands.choices[name].add_argument("--since", type=date.fromisoformat)
+    commands.choices["check"].add_argument("--communes-over", type=int, default=350)
     report.add_argument("--from-year", type=int, default=1)
     report.add_argument("--to-year", type=int, default=9998)
     for command in commands.choices.values():

@@ -124,15 +124,23 @@ def fact_size(panel: DataFrame) -> DataFrame:
 
 @dataclass
 class Checks:
-    """What a model promises. Keys of ``unique`` are tuples of columns."""
+    """What a model promises.
+
+    Keys of ``unique`` are tuples of columns; ``references`` names a column's parent model.
+    """
 
     not_null: list[str] = field(default_factory=list)
     unique: list[tuple[str, ...]] = field(default_factory=list)
     ranges: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
     no_sentinel: list[str] = field(default_factory=list)
     more_than: dict[str, int] = field(default_factory=dict)
+    references: dict[str, str] = field(default_factory=dict)
 
 
+# Accepted ranges of the measures.
+RANGES = {"temperature_moyenne": (-30.0, 45.0), "humidite_moyenne": (0.0, 100.0),
+          "precipitations_totales": (0.0, None)}
+
 # The promises of the published models.
 DECLARED = {
     "stg_communes": Checks(not_null=["code_insee", "ville", "latitude", "longitude"],
@@ -140,12 +148,11 @@ DECLARED = {
     "stg_weather": Checks(not_null=["code_insee", "date", "temperature_moyenne", "ville"]),
     "dim_commune": Checks(not_null=["code_insee", "ville"], unique=[("code_insee",)]),
     "dim_date": Checks(not_null=["date", "annee", "mois"], unique=[("date",)]),
-    "fct_daily": Checks(not_null=["code_insee", "date"], unique=[("date", "code_insee")]),
+    "fct_daily": Checks(not_null=["code_insee", "date"], unique=[("date", "code_insee")],
+                        ranges=RANGES, no_sentinel=list(RANGES), more_than={"code_insee": 350},
+                        references={"code_insee": "dim_commune"}),
     "stg_heat_health": Checks(not_null=["annee"]),
 }
-# Accepted ranges of the measures.
-RANGES = {"temperature_moyenne": (-30.0, 45.0), "humidite_moyenne": (0.0, 100.0),
-          "precipitations_totales": (0.0, None)}
 
 
 def out_of_range(column: str, low: float | None, high: float | None) -> Column:
@@ -199,10 +206,12 @@ def sentinels(df: DataFrame, columns: list[str]) -> DataFrame:
     return to_rows(counted, "colonne", {c: {"nb_sentinelles": F.col(c)} for c in columns})
 
 
-def run_checks(model: str, df: DataFrame, checks: Checks) -> DataFrame:
+def run_checks(model: str, df: DataFrame, checks: Checks,
+               models: dict[str, DataFrame] | None = None) -> DataFrame:
     """All checks of a model: (model, column, check, violations, status).
 
-    Everything but uniqueness comes from a single aggregate over the table.
+    Everything but uniqueness and references comes from a single aggregate over
+    the table. ``models`` holds the parents of references.
     """
     counts: dict[tuple[str, str], Column] = {}
     for c in checks.not_null:
@@ -224,6 +233,11 @@ def run_checks(model: str, df: DataFrame, checks: Checks) -> DataFrame:
         parts.append(repeated_keys(df, list(keys)).agg(F.count("*").alias("violations"))
                      .select(F.lit(", ".join(keys)).alias("column"),
                              F.lit("unique").alias("check"), "violations"))
+    for c, parent in checks.references.items():
+        parts.append(orphans(df, models[parent], c)
+                     .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+                     .select(F.lit(c).alias("column"), F.lit("relationship").alias("check"),
+                             "violations"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 # Broadcast only below this measured size; beyond it the join shuffles and
 # adaptive execution splits hot keys.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Intermediate tables written in the innermost released() block of this thread.
+_WRITTEN: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("written", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,6 +39,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Delete the intermediate tables of a block, or of a decorated function, at its end.
+
+    Nothing that outlives the block may read from them: write results first.
+    """
+    written: list[tuple[SparkSession, str]] = []
+    outer = _WRITTEN.set(written)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(outer)
+        for spark, path in written:
+            remove(spark, path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df once as a table in the shared folder and go on from the files.
 
@@ -50,6 +76,8 @@ def stored_and_measured(df: DataFrame, **figures: Column) -> tuple[DataFrame, di
     task that runs twice can only raise it.
     """
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append((df.sparkSession, path))
     seen = Observation()
     watched = df.observe(seen, F.sum(row_bytes(df)).alias("bytes"),
                          *[c.alias(n) for n, c in figures.items()])

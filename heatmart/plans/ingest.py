@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from heatmart import schemas
 from heatmart.operators import append
 from heatmart.operators.dedup import ascending
-from heatmart.operators.scale import cut_lineage, exists
+from heatmart.operators.scale import cut_lineage, exists, released
 from heatmart.sources import landing, sinks
 
 
@@ -65,6 +65,7 @@ def _lost(landed: DataFrame, parsed: DataFrame, locations: DataFrame) -> tuple[i
     return landing.unreadable(landed).count(), landing.unmatched(parsed, locations).count()
 
 
+@released()
 def daily_weather(landed: DataFrame, locations: DataFrame, path: str, as_of: date,
                   lookback: int = 60, limit: float = 50.0, tolerated: int = 0) -> Outcome:
     """Daily run: keep unknown (day, code), refuse a batch lacking maxima, append.
@@ -91,6 +92,7 @@ def daily_weather(landed: DataFrame, locations: DataFrame, path: str, as_of: dat
     return outcome
 
 
+@released()
 def history_weather(landed: DataFrame, locations: DataFrame, path: str, first: date,
                     last: date, tolerated: int = 0) -> Outcome:
     """History run: complete days only, unknown (day, name), hash and load time stamped.
@@ -119,6 +121,7 @@ class Feed:
     key: list[str] | None = None
 
 
+@released()
 def health_feed(feed: Feed) -> Outcome:
     spark = feed.records.sparkSession
     fresh = landing.load_records(feed.records, stored_table(spark, feed.path),

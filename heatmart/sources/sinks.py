@@ -5,9 +5,11 @@ Plain Parquet has no concurrent writers' protocol: one writer per table.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from heatmart.operators.scale import cut_lineage, exists
+from heatmart.operators.scale import cut_lineage, exists, released
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -48,6 +50,15 @@ def rebuild_by_month(df: DataFrame, path: str, day: str = "date") -> None:
      .partitionBy("date_month").parquet(path))
 
 
+def rebuild_from(df: DataFrame, path: str, first: date, day: str = "date") -> None:
+    """Replace the months of df from that of ``first`` on; df holds all their rows.
+
+    Other months keep their files. df must not read ``path``.
+    """
+    _replace_months(df.where(F.col(day) >= F.lit(first.replace(day=1))), path, day)
+
+
+@released()
 def upsert_months(fresh: DataFrame, path: str, keys: list[str], day: str = "date") -> None:
     """Merge rows into a table partitioned by month; only the touched months are read and written.
 

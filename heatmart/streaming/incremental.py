@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from heatmart.functions.text import stored_code
 from heatmart.operators.dedup import first_per_key
-from heatmart.operators.scale import cut_lineage, exists
+from heatmart.operators.scale import cut_lineage, exists, released
 from heatmart.sources.sinks import with_month
 
 
@@ -57,6 +57,7 @@ def follow(stream: DataFrame, fact: str, report: str, checkpoint: str,
     One writer. Both steps depend on the batch and the stored table only, so a
     batch run again after a failure ends in the same state.
     """
+    @released()
     def step(batch: DataFrame, _: int) -> None:
         dated = with_month(batch.where("time is not null")
                            .withColumn("date", F.to_date("time"))

@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 
 from heatmart import job
-from heatmart.operators import quality, stats
+from heatmart.operators import quality, scale, stats
 from heatmart.plans import ingest
 from heatmart.sources import landing
 from heatmart.streaming import incremental
@@ -85,3 +85,25 @@ def test_stored_folder_without_files_is_no_first_load(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception, match="infer schema|INFER"):
         ingest.stored_table(spark, f"{tmp_path}/empty")
+
+
+def test_declared_checks_see_markers_strays_and_ranges(spark):
+    fact = spark.createDataFrame([("a", -999.0), ("b", 20.0), ("z", 50.0), (None, 1.0)], "code_insee string, temperature_moyenne double")
+    parent = spark.createDataFrame([("a",), ("b",)], "code_insee string")
+    checks = quality.Checks(ranges={"temperature_moyenne": (-30.0, 45.0)}, no_sentinel=["temperature_moyenne"],
+                            more_than={"code_insee": 3}, references={"code_insee": "parent"})
+    found = {r.check: (r.violations, r.status) for r in quality.run_checks("fact", fact, checks, {"parent": parent}).collect()}
+    assert found == {"range": (2, "fail"), "sentinel": (1, "fail"), "coverage": (1, "fail"), "relationship": (1, "fail")}
+    assert quality.run_checks("p", parent, quality.Checks(references={"code_insee": "p"}), {"p": parent}).first().violations == 0
+
+
+def test_intermediate_tables_go_with_their_block(spark):
+    with scale.released():
+        inner = scale.cut_lineage(spark.range(3))
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0]
+        assert inner.count() == 3 and scale.exists(spark, folder)
+    assert not scale.exists(spark, folder)
+    with pytest.raises(ValueError), scale.released():
+        folder = scale.cut_lineage(spark.range(3)).inputFiles()[0].rsplit("/", 1)[0]
+        raise ValueError
+    assert not scale.exists(spark, folder)

@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,7 @@ def test_command_line(spark, tmp_path, capsys):
     from checks import adapters
     from heatmart.sources.sinks import conform
     d = "/root/testdata/sf0.001"
+    kept = {p.name for p in Path(scale.shared_folder(spark).removeprefix("file:")).glob("cut-*")}
     shapes = {"weather": (adapters.raw_weather, schemas.RAW_WEATHER),
               "communes": (adapters.raw_communes, schemas.RAW_COMMUNES),
               "heat": (adapters.raw_heat_health, schemas.RAW_HEAT_HEALTH),
@@ -87,8 +89,26 @@ def test_command_line(spark, tmp_path, capsys):
         conform(make(spark, d), schema).write.parquet(f"{tmp_path}/{name}")
         argv += [f"--{name}", f"{tmp_path}/{name}"]
     assert job.run(spark, job.parse(argv)) == 0
-    assert job.run(spark, job.parse(["check", "--root", f"{tmp_path}/t"])) == 0
-    assert "pass dim_date.date unique: 0" in capsys.readouterr().out
+    check = ["check", "--root", f"{tmp_path}/t", "--communes-over"]
+    codes = spark.read.parquet(f"{tmp_path}/t/fct_daily").select("code_insee").distinct().count()
+    assert job.run(spark, job.parse([*check, str(codes - 1)])) == 0
+    said = capsys.readouterr().out
+    assert "pass dim_date.date unique: 0" in said
+    assert "pass fct_daily.code_insee relationship: 0" in said
+    assert job.run(spark, job.parse([*check, str(codes)])) == 1
+    assert "fail fct_daily.code_insee coverage: 1" in capsys.readouterr().out
+    def files(month):
+        return {(p, p.stat().st_mtime_ns)
+                for p in (tmp_path / "t" / "fct_daily").glob(f"date_month={month}*/*")}
+    before, later = files("1997"), files("1999")
+    fact = rows(spark.read.parquet(f"{tmp_path}/t/fct_daily").drop("inserted_at", "updated_at"))
+    assert job.run(spark, job.parse([*argv, "--since", "1998-06-15"])) == 0
+    assert before and later and files("1997") == before and not files("1999") & later
+    assert rows(spark.read.parquet(f"{tmp_path}/t/fct_daily")
+                .drop("inserted_at", "updated_at")) == fact
+    shared = Path(scale.shared_folder(spark).removeprefix("file:"))
+    assert job.run(spark, job.parse([*check, "0"])) == 0 and not {
+        p.name for p in shared.glob("cut-*")} - kept
     for name in job.REPORTS:
         out = f"{tmp_path}/r/{name}"
         job.run(spark, job.parse(["report", "--root", f"{tmp_path}/t", "--name", name,
