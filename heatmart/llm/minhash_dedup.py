@@ -12,12 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heatmart.llm.common import U64, byte_chunks, noise, shingle_hashes, stored
 from heatmart.llm.components import components
 
-# Coordinates of a signature. Two sets of similarity 0.85 agree on 30 of 48
-# except with probability 2e-5.
+# Coordinates of a signature, and the probability with which two sets of just
+# the asked similarity may agree on fewer of them than matches() says.
 COORDINATES = 48
-MATCHES = 30
-# Two signatures with MATCHES common entries share one among this many of each.
-PREFIX = COORDINATES - MATCHES + 1
+LOSS = 4e-5
 # Set sizes within this factor form a class.
 CLASS = 1.03
 
@@ -25,6 +23,21 @@ _XOR, _TIMES = noise(COORDINATES, 41), noise(COORDINATES, 43) | U64(1)
 _TAG = np.arange(COORDINATES, dtype=U64)
 
 
+def matches(percent: float) -> int:
+    """Coordinates that sets of this similarity have in common, except with probability LOSS.
+
+    30 of 48 for 85 (3.1e-5 have fewer), 26 for 80 (1.3e-5).
+    """
+    p, fewer = min(percent / 100, 1.0), 0.0
+    for m in range(COORDINATES):
+        fewer += math.comb(COORDINATES, m) * p ** m * (1 - p) ** (COORDINATES - m)
+        if fewer > LOSS:
+            if not m:
+                raise ValueError(f"{COORDINATES} coordinates are too few for {percent} percent")
+            return m
+    return COORDINATES
+
+
 def _signature(shingles: np.ndarray) -> np.ndarray:
     """Smallest value of each coordinate, the coordinate's number in the low six bits."""
     least = np.full(COORDINATES, U64(2 ** 64 - 1))
@@ -81,9 +94,11 @@ def shingle_sets(docs: DataFrame, words: int = 5) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _postings(reps: DataFrame) -> DataFrame:
-    """(key, id, pop): each signature's PREFIX rarest entries, as far as others have them too.
+def _postings(reps: DataFrame, least: int) -> DataFrame:
+    """(key, id, pop): each signature's rarest entries, as far as others have them too.
 
+    Two signatures with ``least`` common entries share one among the
+    COORDINATES - least + 1 rarest of each.
     Entries are ordered by frequency, so passages that many texts share stay
     out of the prefix of all texts that have enough of their own. Here and
     below, aggregates are written before they are joined back: beside a table,
@@ -93,7 +108,7 @@ def _postings(reps: DataFrame) -> DataFrame:
     common, _ = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     each = every.join(common, "key").groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("e"), F.sum("n").alias("pop"))
-    rare = F.lit(PREFIX - COORDINATES) + F.size("e")
+    rare = F.size("e") - (least - 1)
     return (each.where(rare > 0)
             .select("id", "pop", F.explode(F.slice("e", 1, F.greatest(rare, F.lit(1)))).alias("e"))
             .select(F.col("e.key").alias("key"), "id", "pop").distinct())
@@ -120,14 +135,14 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _starred(live: DataFrame, reps: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links of each posting's most shared signature with its other members.
 
-    Common coordinates are counted first; pairs with MATCHES are compared on full sets.
+    Common coordinates are counted first; pairs with enough are compared on full sets.
     """
     center, _ = stored(live.groupBy("key").agg(F.min(F.struct((-F.col("pop")).alias("pop"), "id")).alias("c")))
     met = (live.join(center, "key").where("id <> c.id")
            .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
     sig = reps.select("id", "sig")
     near, at = stored(met.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-                      .where(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES).select("a", "b").distinct())
+                      .where(F.size(F.array_intersect("sig_a", "sig_b")) >= matches(percent)).select("a", "b").distinct())
     ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     return _alike(near, shingle_sets(texts.join(ids, "id", "left_semi"), words), percent)
 
@@ -182,7 +197,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with equal shingle sets form a class named by its smallest id.
     Class signatures are posted under each (coordinate, value) of their prefix.
     In each posting the most shared signature meets all others; common
-    coordinates are counted, pairs with MATCHES of them are compared on full
+    coordinates are counted, pairs with matches(percent) of them are compared on full
     sets, and components are joined. Postings that then lie in one component
     are done; what is left in the others goes through an exact prefix join on
     full sets, so a large group of copies is never compared pair by pair.
@@ -195,7 +210,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_rows, _ = stored(sketches(docs, id_col, text_col, words))
     classes, _ = stored(all_rows.where("id is not null and k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
     reps = (all_rows.where("id is not null").join(classes, ["k1", "k2"]).where("id = rep").select("id", "sig"))
-    live, _ = stored(_postings(reps))
+    live, _ = stored(_postings(reps, matches(percent)))
     near, _ = stored(_starred(live, reps, texts, words, percent))
     found = components(near).withColumnRenamed("component_id", "comp")
     live = live.select("key", "id").join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))

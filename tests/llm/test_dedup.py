@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -82,6 +83,31 @@ def test_large_group_of_near_copies_with_stragglers(docs):
     check_texts(docs, rows)
 
 
+def test_isolated_pairs_at_the_limit_of_the_pipeline(spark, docs):
+    import corpus_pipeline
+
+    rows, expected, seen = [], set(), {}
+    for i in range(6000):
+        # 40 of 50 shingles in common; of every eighth pair 39 of 49.
+        common = " ".join(f"c{i}x{k}" for k in range(43 if i % 8 == 7 else 44))
+        pair = [(2 * i + j, common + "".join(f" t{i}x{j}x{k}" for k in range(5))) for j in range(2)]
+        a, b = (shingles(t) for _, t in pair)
+        assert all(seen.setdefault(s, i) == i for s in a | b)
+        near = 100 * len(a & b) >= 80 * len(a | b)
+        assert near == (i % 8 != 7)
+        expected |= {2 * i} if near else {2 * i, 2 * i + 1}
+        rows += pair
+    left = corpus_pipeline.near_duplicates(spark, docs(rows), "")
+    assert {r.doc_id for r in left.select("doc_id").collect()} == expected
+
+
+def test_needed_coordinates_follow_the_similarity():
+    assert [minhash_dedup.matches(p) for p in (80, 85, 100)] == [26, 30, 48]
+    for p in (50, 80, 85, 95):
+        fewer = sum(math.comb(48, k) * (p / 100) ** k * (1 - p / 100) ** (48 - k) for k in range(minhash_dedup.matches(p)))
+        assert fewer <= minhash_dedup.LOSS
+
+
 def test_common_passage_alone_links_nothing(docs):
     rng = random.Random(3)
     passage = " ".join(f"p{i}" for i in range(40))
