@@ -15,8 +15,9 @@ CLASSES, MEMBERS = 32, 64
 BUCKETS = CLASSES * MEMBERS
 SIDE = 2  # words seen on each side
 WIDTH, HIDDEN = 12, 32
-# Training looks at one position in so many, in every text.
-STRIDE = 16
+# Rounds of training and averaging. One round looks at one position in STRIDE,
+# the next at their right neighbours: together they look at every position.
+STRIDE = 2
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.004
@@ -93,7 +94,9 @@ class Net:
             back[rows] += p @ self.mem[k].T
         back *= 1 - h * h
         g.inner[:], g.inner_b[:] = x.T @ back, back.sum(0)
-        np.add.at(g.emb, context.ravel(), (back @ self.inner.T).reshape(-1, WIDTH))
+        at, each = context.ravel(), (back @ self.inner.T).reshape(-1, WIDTH)
+        for k in range(WIDTH):
+            g.emb[:, k] = np.bincount(at, each[:, k], BUCKETS + 1)
         return g.flat
 
 
@@ -123,14 +126,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(counts)], ["bucket", "n"])
 
 
-def _trained(flat: np.ndarray, rank: np.ndarray, turn: int):
-    """Train on every STRIDE-th position of a partition's texts; the resulting weights and the number of positions."""
+def _trained(flat: np.ndarray, rank: np.ndarray, turn: int, rounds: int = ROUNDS):
+    """Train on this turn's share of the positions of a partition's texts; the resulting weights and the number of positions."""
+    stride = max(min(STRIDE, rounds), 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Net(flat.copy())
         first, second, steps, seen = np.zeros(SIZE, np.float32), np.zeros(SIZE, np.float32), 0, 0
         for batch in batches:
             for _, _, words, at in _tokens(batch.column(0), rank):
-                places = np.arange((turn * 5) % STRIDE, len(words), STRIDE)
+                places = np.arange(turn % stride, len(words), stride)
                 places = places[np.argsort(noise(len(places), turn))]
                 context = _contexts(words, at, places)
                 for i in range(0, len(places), BATCH):
@@ -152,7 +157,8 @@ def _trained(flat: np.ndarray, rank: np.ndarray, turn: int):
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and the rank of each hash bucket, from all texts.
 
-    Bucket counts cover every word. In each round, every partition trains on
+    Bucket counts cover every word, and the rounds together train on every
+    word: fewer rounds than STRIDE look at more positions each. In each round, every partition trains on
     its share from the common weights; the results are averaged by Spark,
     weighted by positions, one row per weight. The driver receives the
     BUCKETS counts and SIZE weights, whatever the data. Results depend on how
@@ -168,7 +174,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
     rank[order] = np.arange(BUCKETS)
     flat = Net.start(counts[order]).flat
     for turn in range(rounds):
-        got = (texts.mapInArrow(_trained(flat, rank, turn), "at long, value double, n long").groupBy("at")
+        got = (texts.mapInArrow(_trained(flat, rank, turn, rounds), "at long, value double, n long").groupBy("at")
                .agg((F.sum("value") / F.sum("n")).alias("value")).toArrow())
         if got.num_rows:
             flat = flat.copy()

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,33 @@ def test_masked_scores_prefer_what_the_corpus_says(spark, docs, monkeypatch):
     assert masked_lm.scored(spark, docs([]), flat, rank).count() == 0
 
 
+def test_every_word_is_a_training_target(monkeypatch):
+    texts = [" ".join(f"w{i}x{k}" for k in range(i % 23)) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    rank, start = np.arange(masked_lm.BUCKETS), np.zeros(masked_lm.SIZE, np.float32)
+    seen = np.zeros(masked_lm.BUCKETS, np.int64)
+
+    def gradient(net, context, word):
+        seen[:] += np.bincount(word, minlength=masked_lm.BUCKETS)
+        return np.zeros(masked_lm.SIZE, np.float32)
+    monkeypatch.setattr(masked_lm.Net, "gradient", gradient)
+    for turn in range(masked_lm.ROUNDS):
+        list(masked_lm._trained(start, rank, turn)(iter([batch])))
+    words = next(masked_lm._tokens(batch.column(0), rank))[2]
+    assert (seen == np.bincount(words, minlength=masked_lm.BUCKETS)).all()
+
+
+def test_production_settings_learn_from_a_corpus(spark, docs):
+    model = masked_lm.train(docs(list(enumerate(sentences(12_000, 2))), 2))
+    rows = []
+    for i, good in enumerate(sentences(40, 99)):
+        mixed = good.split()
+        random.Random(i).shuffle(mixed)
+        rows += [(2 * i, good), (2 * i + 1, " ".join(mixed))]
+    mean = {r.doc_id: r.mean_log_prob for r in masked_lm.scored(spark, docs(rows), *model).collect()}
+    assert all(mean[2 * i] > mean[2 * i + 1] + 0.5 for i in range(40))
+
+
 def quality_rows(n, seed):
     rng = random.Random(seed)
     rows, labels = [], []
