@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatmart.llm.common import U64, byte_chunks, noise, word_hashes
+from heatmart.llm.common import U64, byte_chunks, noise, stored, word_hashes
 
-# Words are hashed into CLASSES * MEMBERS buckets; classes gather buckets of like frequency.
+# The network predicts CLASSES * MEMBERS buckets of words; classes gather buckets of like frequency.
+# Within its bucket, a word has the probability of its count in the corpus.
 CLASSES, MEMBERS = 32, 64
 BUCKETS = CLASSES * MEMBERS
 SIDE = 2  # words seen on each side
@@ -21,6 +23,11 @@ STRIDE = 2
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.004
+# Words that are more than one in so many are sent to the tasks that score; so
+# there are fewer than this. The counts of all others are joined by Spark.
+FREQUENT = 65536
+# What every word, and all unseen words of a bucket together, count besides their occurrences.
+UNSEEN = 0.5
 
 SHAPES = {"emb": (BUCKETS + 1, WIDTH), "inner": (2 * SIDE * WIDTH, HIDDEN), "inner_b": (HIDDEN,),
           "cls": (HIDDEN, CLASSES), "cls_b": (CLASSES,), "mem": (CLASSES, HIDDEN, MEMBERS), "mem_b": (CLASSES, MEMBERS)}
@@ -100,10 +107,34 @@ class Net:
         return g.flat
 
 
-def _tokens(column: pa.Array, rank: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Chunks of texts: rows, buckets of all words by rank, each text's first word."""
+@dataclass
+class Vocabulary:
+    """Rank of each hash bucket, counts of all words, and what scoring needs of them.
+
+    ``table`` has (word, n) of every word, by its 64-bit hash; ``common`` and
+    ``times`` hold those of the frequent ones, by rising hash, ``total`` the
+    sum of each bucket, by rank, with UNSEEN for each of its words and once for
+    those it has not seen.
+    """
+
+    rank: np.ndarray
+    table: DataFrame
+    common: np.ndarray
+    times: np.ndarray
+    total: np.ndarray
+    least: float
+
+
+def _hashes(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Chunks of texts: rows, hashes of all words, each text's first word."""
     for first, end, data, offsets in byte_chunks(column):
         h, at = word_hashes(data, offsets)
+        yield first, end, h, at
+
+
+def _tokens(column: pa.Array, rank: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Chunks of texts: rows, buckets of all words by rank, each text's first word."""
+    for first, end, h, at in _hashes(column):
         yield first, end, rank[(h % U64(BUCKETS)).astype(np.int64)], at
 
 
@@ -119,11 +150,29 @@ def _contexts(words: np.ndarray, at: np.ndarray, places: np.ndarray) -> np.ndarr
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for _, _, words, _ in _tokens(batch.column(0), np.arange(BUCKETS)):
-            counts += np.bincount(words, minlength=BUCKETS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(counts)], ["bucket", "n"])
+        for _, _, h, _ in _hashes(batch.column(0)):
+            word, n = np.unique(h, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word.view(np.int64)), pa.array((word % U64(BUCKETS)).astype(np.int32)), pa.array(n.astype(np.int64))],
+                ["word", "bucket", "n"])
+
+
+def vocabulary(texts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The words of a table of one text column, and the number of words of each bucket by rank."""
+    table, _ = stored(texts.mapInArrow(_counted, "word long, bucket int, n long").groupBy("word", "bucket").agg(F.sum("n").alias("n")))
+    counts, kinds = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for r in table.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        counts[r["bucket"]], kinds[r["bucket"]] = r["n"], r["words"]
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(BUCKETS, np.int64)
+    rank[order] = np.arange(BUCKETS)
+    least = counts.sum() / FREQUENT
+    often = table.where(F.col("n") > least).select("word", "n").toArrow()
+    word, n = (often.column(c).to_numpy() for c in ("word", "n"))
+    rising = np.argsort(word)
+    total = (counts + UNSEEN * (kinds + 1))[order]
+    return Vocabulary(rank, table.select("word", "n"), word[rising], n[rising], total, least), counts[order]
 
 
 def _trained(flat: np.ndarray, rank: np.ndarray, turn: int, rounds: int = ROUNDS):
@@ -154,58 +203,75 @@ def _trained(flat: np.ndarray, rank: np.ndarray, turn: int, rounds: int = ROUNDS
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and the rank of each hash bucket, from all texts.
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, Vocabulary]:
+    """Weights and vocabulary, from all texts.
 
-    Bucket counts cover every word, and the rounds together train on every
-    word: fewer rounds than STRIDE look at more positions each. In each round, every partition trains on
-    its share from the common weights; the results are averaged by Spark,
-    weighted by positions, one row per weight. The driver receives the
-    BUCKETS counts and SIZE weights, whatever the data. Results depend on how
-    the table is split into partitions. No words at all leave the start
+    Every different word is counted, in a stored table that grows with the
+    corpus; the rounds together train on every word: fewer rounds than STRIDE
+    look at more positions each. In each round, every partition trains on its
+    share from the common weights; the results are averaged by Spark, weighted
+    by positions, one row per weight. The driver receives BUCKETS sums, fewer
+    than FREQUENT words and SIZE weights, whatever the data. Results depend on
+    how the table is split into partitions. No words at all leave the start
     weights.
     """
     texts = docs.select(F.col(text_col).cast("string"))
-    counts = np.zeros(BUCKETS)
-    for r in texts.mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] = r["n"]
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(BUCKETS, np.int64)
-    rank[order] = np.arange(BUCKETS)
-    flat = Net.start(counts[order]).flat
+    words, counts = vocabulary(texts)
+    rank, flat = words.rank, Net.start(counts).flat
     for turn in range(rounds):
         got = (texts.mapInArrow(_trained(flat, rank, turn, rounds), "at long, value double, n long").groupBy("at")
                .agg((F.sum("value") / F.sum("n")).alias("value")).toArrow())
         if got.num_rows:
             flat = flat.copy()
             flat[got.column("at").to_numpy()] = got.column("value").to_numpy().astype(np.float32)
-    return flat, rank
+    return flat, words
 
 
-def scored(spark: SparkSession, docs: DataFrame, flat: np.ndarray, rank: np.ndarray, id_col: str = "doc_id",
+def scored(spark: SparkSession, docs: DataFrame, flat: np.ndarray, words: Vocabulary, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_words, log_prob (sum over all words), mean_log_prob.
 
-    Every word of the whole text is predicted from its neighbours. NULL and
-    empty texts have no words, a sum of 0 and no mean.
+    Every word of the whole text is predicted from its neighbours: its bucket
+    by the network, the word within the bucket by (n + UNSEEN) of its count n
+    over the bucket's total, where n is 0 for a word the corpus has not. The
+    counts of frequent words go to the tasks, other words are joined with
+    theirs by Spark. NULL and empty texts have no words, a sum of 0 and no mean.
     """
-    model = spark.sparkContext.broadcast((flat, rank))
+    model = spark.sparkContext.broadcast((flat, words.rank, words.common, words.times, words.total))
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     kind = source.dtypes[0][1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, ranks = model.value
+        weights, rank, common, times, total = model.value
         net = Net(weights)
+        share = np.log(times + UNSEEN)
         for batch in batches:
-            for first, end, words, at in _tokens(batch.column(1), ranks):
-                p = np.empty(len(words))
-                for i in range(0, len(words), 16384):
-                    places = np.arange(i, min(i + 16384, len(words)))
-                    p[places] = net.log_prob(_contexts(words, at, places), words[places])
+            for first, end, h, at in _hashes(batch.column(1)):
+                own = rank[(h % U64(BUCKETS)).astype(np.int64)]
+                p = np.empty(len(own))
+                for i in range(0, len(own), 16384):
+                    places = np.arange(i, min(i + 16384, len(own)))
+                    p[places] = net.log_prob(_contexts(own, at, places), own[places])
+                p -= np.log(total)[own]
+                known = h.view(np.int64)
+                known_at = np.minimum(np.searchsorted(common, known), max(len(common) - 1, 0))
+                often = common[known_at] == known if len(common) else np.zeros(len(known), bool)
+                p[often] += share[known_at[often]]
                 n = np.diff(at)
-                total = np.diff(np.concatenate([[0.0], np.cumsum(p)])[at])
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(n), pa.array(total), mean],
-                                                 [id_col, "n_words", "log_prob", "mean_log_prob"])
+                sums = np.diff(np.concatenate([[0.0], np.cumsum(p)])[at])
+                # The other words of each text, to be joined with their counts.
+                left = np.concatenate([[0], np.cumsum(~often)])[at]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, end - first), pa.array(n), pa.array(sums),
+                     pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(known[~often]))],
+                    [id_col, "n_words", "__sum", "__rare"])
 
-    return source.mapInArrow(run, f"`{id_col}` {kind}, n_words long, log_prob double, mean_log_prob double")
+    each = source.mapInArrow(run, f"`{id_col}` {kind}, n_words long, __sum double, __rare array<long>")
+    each, _ = stored(each.withColumn("__row", F.monotonically_increasing_id()))
+    rare = each.select("__row", F.explode("__rare").alias("word")).groupBy("__row", "word").agg(F.count(F.lit(1)).alias("times"))
+    counts = words.table.where(F.col("n") <= words.least)
+    share = F.log(F.coalesce("n", F.lit(0)) + F.lit(UNSEEN)) * F.col("times")
+    rest = rare.join(counts, "word", "left").groupBy("__row").agg(F.sum(share).alias("__rest"))
+    total = F.col("__sum") + F.coalesce("__rest", F.lit(0.0))
+    return each.drop("__rare").join(rest, "__row", "left").select(id_col, "n_words", total.alias("log_prob")).withColumn(
+        "mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heatmart.llm import cotraining, masked_lm, packing
+from heatmart.llm.common import word_hashes
 
 
 def sentences(n, seed):
@@ -75,6 +77,34 @@ def test_production_settings_learn_from_a_corpus(spark, docs):
     assert all(mean[2 * i] > mean[2 * i + 1] + 0.5 for i in range(40))
 
 
+def test_words_of_one_bucket_differ_by_their_counts(spark, docs, monkeypatch):
+    def hashed(ws):
+        return word_hashes(np.frombuffer(" ".join(ws).encode(), np.uint8), np.array([0, len(" ".join(ws))]))[0]
+    pool = [f"j{i}" for i in range(20_000)]
+    the, *others = hashed(["the", *pool]) % masked_lm.U64(masked_lm.BUCKETS)
+    rare, junk = [w for w, b in zip(pool, others) if b == the][:2]
+    corpus = sentences(60, 4)
+    corpus[0] += " " + rare
+    counts = Counter(w for t in corpus for w in t.split())
+    texts = [f"a {w} sees ." for w in ("the", rare, junk)] + [sentences(1, 5)[0] + " " + junk]
+    for frequent in (masked_lm.FREQUENT, 4):
+        monkeypatch.setattr(masked_lm, "FREQUENT", frequent)
+        flat, words = masked_lm.train(docs(list(enumerate(corpus))))
+        assert words.table.count() == len(counts) and len(words.common) < frequent
+        got = {r.doc_id: r for r in masked_lm.scored(spark, docs(list(enumerate(texts))), flat, words).collect()}
+        assert got[0].log_prob > got[1].log_prob > got[2].log_prob
+        net, kinds = masked_lm.Net(flat), list(counts)
+        bucket = words.rank[(hashed(kinds) % masked_lm.U64(masked_lm.BUCKETS)).astype(np.int64)]
+        for i, t in enumerate(texts):
+            own = words.rank[(hashed(t.split()) % masked_lm.U64(masked_lm.BUCKETS)).astype(np.int64)]
+            places = np.arange(len(own))
+            expected = net.log_prob(masked_lm._contexts(own, np.array([0, len(own)]), places), own).astype(float)
+            for k, w in enumerate(t.split()):
+                peers = [counts[x] for x, b in zip(kinds, bucket) if b == own[k]]
+                expected[k] += np.log((counts[w] + 0.5) / (sum(peers) + 0.5 * (len(peers) + 1)))
+            assert got[i].log_prob == pytest.approx(expected.sum(), rel=1e-5)
+
+
 def quality_rows(n, seed):
     rng = random.Random(seed)
     rows, labels = [], []
