@@ -15,7 +15,7 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|[^<]+|<", re.S | re.I)
-_NAMED = re.compile(r"\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,8 +32,13 @@ FURNITURE = frozenset(
     "contentinfo header masthead topbar toolbar cookie cookies consent gdpr notice notices alert popup modal overlay "
     "dialog newsletter subscribe subscription signup login register search searchbox form share sharing social related "
     "recommended recommendations widget widgets teaser skip toc hidden".split())
-READERS = frozenset("comment comments commentlist disqus reply replies respond discussion reviews guestbook".split())
+READERS = frozenset("comment comments commentlist disqus guestbook".split())
 TEXT = frozenset("article content main post story entry body text page wrapper container".split())
+# These may as well name a section of a text.
+TALK = frozenset("reply replies respond discussion reviews".split())
+# Words that go with those in a name of furniture, as in "ad-box-2"; other words make it another name.
+BESIDE = frozenset("box block bar top bottom left right inner outer site list item items area panel unit slot group link links "
+                   "button buttons icon icons global primary secondary col column row section".split())
 # An open element of the first kind ends where one of the second begins.
 _LISTS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -41,38 +46,53 @@ _LISTS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"d
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "size", "linked", "commas", "score", "para", "lost")
+    __slots__ = ("tag", "up", "kids", "size", "linked", "commas", "score", "para", "lost", "named")
 
     def __init__(self, tag: str, up: "Node | None") -> None:
         self.tag, self.up, self.kids = tag, up, []
         self.size = self.linked = self.commas = 0
         self.score, self.para = 0.0, False
         self.lost = up is not None and up.lost
+        self.named = False
 
 
-def _furniture(tag: str, attrs: str, in_text: bool) -> bool:
-    """Whether an element is furniture by its tag, name, role or style."""
-    if tag in NEVER or tag == "header" and not in_text:
-        return True
+def _furniture(tag: str, attrs: str, in_text: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture for certain, by tag or as hidden or readers' part, and whether by its name.
+
+    A name counts when all its words belong to furniture. Headings, paragraphs
+    and the like within an article are text whatever they are called.
+    """
+    if tag in NEVER and tag != "form":
+        return True, False
+    named = tag == "form" or tag == "header" and not in_text
     if not attrs or tag in ("html", "body"):
-        return False
+        return False, named
     parts: set[str] = set()
+    names: list[set[str]] = []
     for name, value in _NAMED.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True, False
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        else:
-            parts.update(p.lower() for p in _NAME_PART.findall(value))
-    if parts & READERS:
-        return True
-    return bool(parts & FURNITURE) and not parts & TEXT and tag not in ("article", "main")
+                return True, False
+        elif name in ("class", "id", "role", "itemprop"):
+            for one in value.split():
+                own = {p.lower() for p in _NAME_PART.findall(one) if not p.isdigit()}
+                names.append(own)
+                parts |= own
+    if in_text and tag in PARAGRAPH:
+        return False, named
+    known = FURNITURE | READERS | TALK | BESIDE
+    if any(n & READERS and n <= known for n in names):
+        return True, False
+    marks = FURNITURE if in_text else FURNITURE | TALK
+    marked = any(n & marks and n <= known for n in names)
+    return False, named or marked and not parts & TEXT and tag not in ("article", "main")
 
 
 def parse(page: str) -> list[Node]:
-    """The page's elements in order, parents first, without furniture."""
+    """The page's elements in order, parents first, without those that are furniture for certain."""
     root = Node("#root", None)
     nodes, now = [root], root
     for m in _TOKEN.finditer(page):
@@ -116,7 +136,8 @@ def parse(page: str) -> list[Node]:
             in_text = at.tag in ("article", "main")
             at = at.up
         node = Node(tag, now)
-        node.lost = node.lost or _furniture(tag, m["attrs"], in_text)
+        if not node.lost:
+            node.lost, node.named = _furniture(tag, m["attrs"], in_text)
         if not node.lost:
             now.kids.append(node)
             nodes.append(node)
@@ -126,6 +147,9 @@ def parse(page: str) -> list[Node]:
 
 def _measure(nodes: list[Node]) -> None:
     """Sizes from the leaves up, then points from the paragraphs up."""
+    for n in nodes:
+        n.size = n.linked = n.commas = 0
+        n.score, n.para = 0.0, False
     for n in reversed(nodes):
         para = False
         for k in n.kids:
@@ -159,6 +183,39 @@ def _measure(nodes: list[Node]) -> None:
             n.score *= 1 - n.linked / n.size
 
 
+def _named_gone(nodes: list[Node]) -> list[Node]:
+    """Without the elements that are furniture by name, save those that hold the page's text.
+
+    If all articles lie in such elements, or there is none, the elements around
+    the best-scoring container stay.
+    """
+    if not any(n.named for n in nodes):
+        return nodes
+    inside, article = set(), set()
+    for n in nodes:
+        if n.named or n.up in inside:
+            inside.add(n)
+        if n.tag in ("article", "main") or n.up in article:
+            article.add(n)
+    if article <= inside:
+        _measure(nodes)
+        boxes = [n for n in nodes if n.tag not in INLINE and n.tag not in PARAGRAPH and n.size and n.score > 0
+                 and (n in article or not article)]
+        at = max(boxes, key=lambda n: n.score, default=None)
+        while at is not None:
+            at.named = False
+            at = at.up
+    gone, left = set(), []
+    for n in nodes:
+        if n.named or n.up in gone:
+            gone.add(n)
+        else:
+            left.append(n)
+    for n in {n.up for n in gone} - gone:
+        n.kids = [k for k in n.kids if isinstance(k, str) or k not in gone]
+    return left
+
+
 def _chosen(nodes: list[Node]) -> list[Node]:
     """The best container, widened to the article it lies in, and the siblings that go with it."""
     boxes = [n for n in nodes if n.tag not in INLINE and n.tag not in PARAGRAPH and n.size and n.score > 0]
@@ -181,14 +238,14 @@ def _chosen(nodes: list[Node]) -> list[Node]:
         share = k.linked / k.size if k.size else 1.0
         if k is best or (k.tag == best.tag == "article" or k.tag not in ("article", "main")) and k.size and (
                 k.score >= max(10, best.score / 5) and share < 0.5
-                or k.tag in PARAGRAPH and (k.size > 80 and share < 0.25)):
+                or k.tag in PARAGRAPH and share < 0.25):
             out.append(k)
     return out
 
 
 def extract(page: str) -> str:
     """Main text of one page: blocks in page order, one per line."""
-    nodes = parse(page)
+    nodes = _named_gone(parse(page))
     _measure(nodes)
     blocks: list[str] = []
     parts: list[str] = []

@@ -108,6 +108,27 @@ def test_main_text_of_page(name):
     assert main_text.extract(page) == text
 
 
+BODY = "<p>Long text, with commas, and words, which go on for more than a line of it.</p>" * 2
+LINES = "\n".join(["Long text, with commas, and words, which go on for more than a line of it."] * 2)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='overflow-hidden'><article>{BODY}</article></div>", LINES),
+    (f"<div class=has-sidebar><article>{BODY}</article><div class=sidebar>More</div></div>", LINES),
+    (f"<div class=widget><article>{BODY}</article></div>", LINES),
+    (f"<form id=f><main>{BODY}</main></form>", LINES),
+    (f"<div class=related><article><p>Card</p></article></div><article>{BODY}</article>", LINES),
+    (f"<div class=notice><div>{BODY}</div></div><div class=menu><a href=1>One</a></div>", LINES),
+    (f"<article>{BODY}<h2 id=related-work>Related work</h2><h2 class=notice>Note</h2></article>", LINES + "\nRelated work\nNote"),
+    (f"<article>{BODY}<section id=discussion><p>We saw.</p></section></article>", LINES + "\nWe saw."),
+    (f"<article>{BODY}<p title='the hidden cost'>Cost <a href='/hidden/x'>here</a>, it is low.</p></article>", LINES + "\nCost here, it is low."),
+    (f"<article>{BODY}<p data-hidden=1>Shown</p><p hidden>Not</p><div class='ad-box-2'>Buy</div></article>", LINES + "\nShown"),
+    (f"<body><h1>Title</h1><div>{BODY}</div><p>Short end.</p></body>", "Title\n" + LINES + "\nShort end."),
+])
+def test_main_text_keeps_what_only_sounds_like_furniture(page, text):
+    assert main_text.extract(page) == text
+
+
 def test_pages_null_empty_repeated_and_long(spark):
     long = "<article>" + "<p>word, word</p>" * 20_000 + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", PAGES["plain"][0]), (3, "u", PAGES["plain"][0]), (None, "u", long), (5, "u", "<div>" * 3000 + "deep")]
