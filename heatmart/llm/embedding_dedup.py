@@ -83,23 +83,25 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows = rows.withColumn("key", F.when(F.col("fit"), key))
     classes = rows.where("fit").groupBy("label", "key").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"), F.first(F.size("vector")).alias("dim"))
-    classes, _ = stored(classes)
+    # An id of several vectors names several classes: numbers tell those apart.
+    classes, _ = stored(classes.withColumn("class", F.monotonically_increasing_id()))
     counts = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).alias("shards"))
-    # An id of several vectors would name several classes: number those apart.
     dealt = classes.join(counts, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("key"), "shards"))
     kind = dict(classes.dtypes)["label"]
-    graphs, _ = stored(dealt.select("label", "dim", "shards", "shard", "rep", "vector").groupBy("label", "dim", "shard").applyInPandas(
+    graphs, _ = stored(dealt.select("label", "dim", "shards", "shard", F.col("class").alias("rep"), "vector").groupBy("label", "dim", "shard").applyInPandas(
         _graph, f"label {kind}, dim int, shards long, shard long, graph binary, exact binary"))
     asking = graphs.select("label", "dim", F.col("graph").alias("other"), F.col("exact").alias("other_exact"),
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
     links, _ = stored(graphs.join(asking, ["label", "dim", "shard"]).select("graph", "exact", "other", "other_exact")
                       .mapInArrow(_asked(cosine), "a long, b long").distinct())
     both = links.union(links.select("b", "a"))
-    sizes = classes.groupBy(F.col("rep").alias("b")).agg(F.sum("copies").alias("copies"))
-    linked = both.join(sizes, "b").groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("linked"))
-    joined = components(links.union(_tied(rows, classes)))
-    of = rows.join(classes.select("label", "key", "rep", "copies"), ["label", "key"], "left")
-    of = of.join(linked, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
+    sizes = classes.select(F.col("class").alias("b"), "copies")
+    linked = both.join(sizes, "b").groupBy(F.col("a").alias("class")).agg(F.sum("copies").alias("linked"))
+    named = (links.join(classes.select(F.col("class").alias("a"), F.col("rep").alias("rep_a")), "a")
+             .join(classes.select(F.col("class").alias("b"), F.col("rep").alias("rep_b")), "b").select("rep_a", "rep_b"))
+    joined = components(named.toDF("a", "b").union(_tied(rows, classes)))
+    of = rows.join(classes.select("label", "key", "class", "rep", "copies"), ["label", "key"], "left")
+    of = of.join(linked, "class", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "rep", "id"))
     n_links = F.when(F.col("fit"), F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long")
     return of.select("id", n_links.alias("n_links"), component.alias("component_id")).select(

@@ -163,6 +163,16 @@ def test_near_vectors_against_all_pairs(spark):
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_ids_of_several_vectors_keep_their_links_apart(spark):
+    def at(angle):
+        return [float(np.cos(angle)), float(np.sin(angle))]
+    # Id 1 has two near vectors and one far off, which has a partner of its own; in label 1 it has none.
+    rows = [(1, at(0.0), 0), (1, at(0.1), 0), (1, at(1.5), 0), (2, at(1.55), 0), (3, at(2.5), 0), (1, at(2.5), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_vectors(frame).collect())
+    assert got == [(1, 0, 1), (1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def expected_removal(rows):
     seen, out = set(), {}
     for i, t in sorted(rows, key=lambda r: r[0]):
