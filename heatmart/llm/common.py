@@ -130,13 +130,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each maximal run of other bytes than white space, and each text's first word.
 
-    The third array has one entry more than there are texts.
+    The third array has one entry more than there are texts. ``space`` names the bytes between words.
     """
     gap = np.ones(len(data) + 2, bool)
-    gap[1:-1] = SPACE[data]
+    gap[1:-1] = space[data]
     inside = ~gap
     edge = offsets[1:-1]
     edge = edge[(edge > 0) & (edge < len(data))]
@@ -149,6 +149,16 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_array(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE,
+               fold: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """The words themselves as an Arrow array, ``fold`` applied to each byte, and each text's first word."""
+    starts, ends, first = words(data, offsets, space)
+    inside = data[~space[data]]
+    ends = np.concatenate([[0], np.cumsum(ends - starts)])
+    inside = inside if fold is None else fold[inside]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(inside)]), first
+
+
 WORDS = Rolling(11)
 
 

@@ -114,3 +114,26 @@ SELECT doc_id, CAST(h.id AS BIGINT) AS template, license, max(part) AS containme
        CAST(count(*) FILTER (WHERE part >= {licenses.CONTAINED}) AS BIGINT) AS n_places
 FROM held h JOIN known k ON k.id = h.id
 GROUP BY nr, doc_id, h.id, license HAVING max(part) >= {licenses.CONTAINED}"""
+
+_ITEM_WORDS = """regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+SQL["op12_decontamination"] = f"""
+WITH items AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS s
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS nr, doc_id, {_ITEM_WORDS} AS w FROM documents),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+    SELECT nr, i, size, array_to_string(w[i:i + size - 1], ' ') AS s
+    FROM (SELECT nr, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)),
+hits AS (SELECT p.nr, p.i, p.size, item_id FROM places p JOIN windows v ON v.s = p.s AND v.size = p.size),
+hit AS (SELECT nr, count(DISTINCT k) AS n FROM (SELECT nr, unnest(range(i, i + size)) AS k FROM hits) GROUP BY nr),
+named AS (
+    SELECT nr, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT nr, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY nr)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hit h ON h.nr = d.nr LEFT JOIN named m ON m.nr = d.nr"""

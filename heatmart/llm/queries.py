@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heatmart.llm import (
-    bpe, cotraining, embedding_dedup, licenses, main_text, masked_lm, minhash_dedup, packing, repeats, syncmers)
+    bpe, contamination, cotraining, embedding_dedup, licenses, main_text, masked_lm, minhash_dedup, packing, repeats,
+    syncmers)
 from heatmart.llm.common import table
 from heatmart.llm.oracles import SQL  # noqa: F401
 
@@ -59,7 +60,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item"]), lambda i: i.isNotNull())))
+    return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_minhash_dedup, op3_syncmer_fingerprints, op4_suffix_dedup, op5_masked_lm, op6_license_scan,
-        op7_main_text, op8_quality, op9_packing, op10_bpe)}
+        op7_main_text, op8_quality, op9_packing, op10_bpe, op12_decontamination)}
