@@ -115,6 +115,26 @@ SELECT doc_id, CAST(h.id AS BIGINT) AS template, license, max(part) AS containme
 FROM held h JOIN known k ON k.id = h.id
 GROUP BY nr, doc_id, h.id, license HAVING max(part) >= {licenses.CONTAINED}"""
 
+SQL["op11_hard_negatives"] = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM rows a JOIN rows r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
 _ITEM_WORDS = """regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heatmart.llm import (
-    bpe, contamination, cotraining, embedding_dedup, licenses, main_text, masked_lm, minhash_dedup, packing, repeats,
-    syncmers)
+    bpe, contamination, cotraining, embedding_dedup, hard_negatives, licenses, main_text,
+    masked_lm, minhash_dedup, packing, repeats, syncmers)
 from heatmart.llm.common import table
 from heatmart.llm.oracles import SQL  # noqa: F401
 
@@ -60,6 +60,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(
+        "forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), F.expr("transform(embedding, x -> floor(256 * double(x)))").alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item"]), lambda i: i.isNotNull())))
@@ -70,4 +78,5 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_minhash_dedup, op3_syncmer_fingerprints, op4_suffix_dedup, op5_masked_lm, op6_license_scan,
-        op7_main_text, op8_quality, op9_packing, op10_bpe, op12_decontamination)}
+        op7_main_text, op8_quality, op9_packing, op10_bpe, op11_hard_negatives,
+        op12_decontamination)}
