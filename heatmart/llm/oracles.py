@@ -157,3 +157,46 @@ named AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(m.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN hit h ON h.nr = d.nr LEFT JOIN named m ON m.nr = d.nr"""
+
+# The checksum of a number's digits, bit by bit; a run of period q shows as a row of words equal to those q before.
+SQL["op13_periodic_runs"] = """
+WITH RECURSIVE digits AS (
+    SELECT row_number() OVER () AS nr, doc_id, CAST(doc_id AS VARCHAR) AS d,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+checksum(nr, d, k, crc) AS (
+    SELECT nr, d, 0, CAST(4294967295 AS BIGINT) FROM digits WHERE d IS NOT NULL
+    UNION ALL
+    SELECT nr, d, k + 1, CASE WHEN k % 9 = 0 THEN xor(crc, CAST(ascii(substr(d, CAST(k // 9 + 1 AS BIGINT), 1)) AS BIGINT))
+                              WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END
+    FROM checksum WHERE k < 9 * length(d)),
+hashed AS (SELECT nr, xor(crc, 4294967295) AS h FROM checksum WHERE k = 9 * length(d)),
+loops AS (
+    SELECT d.nr, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS looped, h // 10 AS g,
+           CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a
+    FROM digits d LEFT JOIN hashed ON hashed.nr = d.nr),
+words AS (
+    SELECT nr, i, CASE WHEN coalesce(looped, FALSE) AND i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE w[i + 1] END AS word
+    FROM (SELECT nr, w, n, looped, g, a, unnest(range(n)) AS i FROM loops)),
+alike AS (
+    SELECT x.nr, x.i, x.i - y.i AS q, x.i - row_number() OVER (PARTITION BY x.nr, x.i - y.i ORDER BY x.i) AS island
+    FROM words x JOIN words y ON x.nr = y.nr AND x.word = y.word AND y.i < x.i
+    JOIN loops l ON l.nr = x.nr AND 3 * (x.i - y.i) <= l.n),
+stretches AS (
+    SELECT nr, q, min(i) - q AS start, max(i) + 1 - min(i) + q AS length FROM alike GROUP BY nr, q, island),
+runs AS (
+    SELECT nr, start, length, min(q) AS period FROM stretches WHERE length >= greatest(24, 3 * q) GROUP BY nr, start, length),
+best AS (
+    SELECT * FROM runs
+    QUALIFY row_number() OVER (PARTITION BY nr ORDER BY CAST(length AS HUGEINT) * 1000000000000 // period DESC, start, period) = 1),
+listed AS (
+    SELECT nr, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY nr),
+dropped AS (SELECT DISTINCT nr, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT w.nr, string_agg(word, ' ' ORDER BY w.i) AS words
+    FROM words w ANTI JOIN dropped d ON d.nr = w.nr AND d.i = w.i GROUP BY w.nr)
+SELECT doc_id, CAST(coalesce(r.n, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM loops l LEFT JOIN listed r ON r.nr = l.nr LEFT JOIN best b ON b.nr = l.nr LEFT JOIN kept k ON k.nr = l.nr"""

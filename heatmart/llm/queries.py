@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heatmart.llm import (
     bpe, contamination, cotraining, embedding_dedup, hard_negatives, licenses, main_text,
-    masked_lm, minhash_dedup, packing, repeats, syncmers)
+    masked_lm, minhash_dedup, packing, periodic_runs, repeats, syncmers)
 from heatmart.llm.common import table
 from heatmart.llm.oracles import SQL  # noqa: F401
 
@@ -75,8 +75,37 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), where a tenth of the texts goes on as a loop from some word on, both chosen by the id's checksum.
+
+    Those texts get single blanks; NULL ids and texts without words stay.
+    """
+    texts = docs.select("doc_id", F.col("text").alias("own"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    looped = texts.where("h % 10 = 0 and rlike(own, '[^ \\t-\\r]')").selectExpr(
+        "doc_id", "h div 10 as g", "regexp_extract_all(own, '[^ \\t-\\r]+', 0) as w").selectExpr(
+        "doc_id", "g", "w", "int(g % size(w)) as a").selectExpr(
+        "doc_id", "w", "a", "int(1 + (size(w) - a) div (3 + g % 8)) as p").selectExpr(
+        "doc_id", "array_join(transform(w, (x, i) -> if(i < a, x, w[a + (i - a) % p])), ' ') as text")
+    rest = texts.where("not coalesce(h % 10 = 0 and rlike(own, '[^ \\t-\\r]'), false)").select("doc_id", F.col("own").alias("text"))
+    return looped.union(rest)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(table(spark, sf_dir, "documents")))
+    # length / period compared without division: words of a text fit 31 bits
+    best = F.expr("""array_sort(runs, (x, y) -> case
+        when x.length * y.period <> y.length * x.period then int(signum(y.length * x.period - x.length * y.period))
+        when x.start <> y.start then int(signum(x.start - y.start)) else int(signum(x.period - y.period)) end)""")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    found = found.withColumn("best", F.get(best, F.lit(0)))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_embedding_dedup, op2_minhash_dedup, op3_syncmer_fingerprints, op4_suffix_dedup, op5_masked_lm, op6_license_scan,
         op7_main_text, op8_quality, op9_packing, op10_bpe, op11_hard_negatives,
-        op12_decontamination)}
+        op12_decontamination, op13_periodic_runs)}
