@@ -33,6 +33,8 @@ GRAM = 8
 FIRST = 16
 # Boundaries of a tile.
 TILE = 8
+# Words of tiles that a task solves, some seconds of work.
+DEALT = 1 << 18
 
 FOUND = "kind int, key long, id {id}, n_words long, words string, scale long, start long, first long, last long, symbols array<int>"
 _GRAM = noise(GRAM, 41) | np.uint64(1)
@@ -276,9 +278,10 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_type = dict(docs.dtypes)[id_col]
     docs = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
                        F.col(text_col).cast("string").alias("text"))
-    found, _ = stored(_searched(docs, id_type))
+    found, seen = stored(_searched(docs, id_type), dealt=F.sum(F.size("symbols")))
     tiles = found.where("kind = 1").select("key", "scale", "start", "first", "last", "symbols")
-    runs = _stitched(_fragments(tiles.repartition("key", "scale", "first")))
+    # few bytes but much work: a stated number of partitions, which adaptive execution leaves as it is
+    runs = _stitched(_fragments(tiles.repartition(int(seen["dealt"] or 0) // DEALT + 1, "key", "scale", "first")))
     lists = runs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "length", "period"))).alias("runs"))
     # by start, then period: two runs of one start differ in period, and the longer one may have either
     ordered = F.array_sort("runs", lambda x, y: F.when(x["start"] != y["start"], F.signum(x["start"] - y["start"])).otherwise(
