@@ -12,9 +12,9 @@ from checks import adapters as A
 from heatmart import schemas
 from heatmart.functions import dates, text
 from heatmart.operators import (
-    analytics, append, dedup, health, quality, resolve, runs, scale, stats)
+    analytics, append, dedup, health, quality, resolve, runs, scale, states, stats)
 from heatmart.plans import build, marts, staging
-from heatmart.sources import landing, raw as scan, sinks
+from heatmart.sources import landing, raw as scan, sinks, versions
 from heatmart.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +198,41 @@ def s19_incremental_fact(spark, d):
     return built["fct_daily"].drop("date_month")
 
 
+def _merged_late(spark, d) -> tuple[dict[str, DataFrame], str]:
+    """A build of the shorter sunshine, then two merges that bring every month late and repeated readings."""
+    weather = A.raw_weather(spark, d)
+    others = [A.raw_communes(spark, d), A.raw_heat_health(spark, d), A.raw_winter(spark, d)]
+    root = f"{_stream_folder(spark)}/tables"
+    early = F.col("sunshine_duration") < 25_000
+    build.build(spark, build.Raw(weather.where(early), *others), root)
+    build.merge(spark, weather.where(~early & F.col("temperature_2m_max").isNull()), root)
+    # readings stored before come once more
+    return build.merge(spark, weather.where(~early | (F.col("sunshine_duration") < 10_000)), root), root
+
+
+@query
+def s19_late_fact(spark, d):
+    return _merged_late(spark, d)[0]["fct_daily"].drop("date_month")
+
+
+@query
+def s19_late_department_years(spark, d):
+    """Department-years from monthly states that late and replaced readings were merged into."""
+    table = build.monthly_states(spark, _merged_late(spark, d)[1])
+    return states.department_year(table).join(states.department_summer(table), ["annee", "departement"], "left")
+
+
+@query
+def s19_state_heat_days(spark, d):
+    """Heat days per year from the states of a build updated from a day on."""
+    weather = A.raw_weather(spark, d)
+    others = [A.raw_communes(spark, d), A.raw_heat_health(spark, d), A.raw_winter(spark, d)]
+    root = f"{_stream_folder(spark)}/tables"
+    build.build(spark, build.Raw(weather.where("time < '1998-07-10'"), *others), root)
+    build.update(spark, build.Raw(weather, *others), root, date(1998, 6, 15))
+    return states.heat_days_by_year(build.monthly_states(spark, root))
+
+
 # ---- projections and predicates ---------------------------------------------
 
 
@@ -776,5 +811,32 @@ def t2_stream_append(spark, d):
     folder = _stream_folder(spark)
     incremental.follow(_event_stream(spark, d), f"{folder}/fact", f"{folder}/report",
                        f"{folder}/state", dedup.ascending(["event_id"])).awaitTermination()
-    return spark.read.parquet(f"{folder}/report").select(
+    return versions.read(spark, f"{folder}/report").select(
         "date_month", "jours_sup_30", "jours_sup_35", "jours_sup_40")
+
+
+def _best_stream(spark, d) -> str:
+    """Follows the events as readings with many copies per (day, place); the folder."""
+    schema = A.table(spark, d, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+              .selectExpr("cast(ts as timestamp) as time", "to_date(ts) as date", "cast(user_id as string) as code_insee",
+                          "case when event_type <> 'error' then value end as temperature_max",
+                          "case when event_type <> 'click' then value + 1 end as temperature_ressentie_max",
+                          "event_type", "event_id"))
+    folder = _stream_folder(spark)
+    incremental.follow_best(stream, f"{folder}/fact", f"{folder}/report", f"{folder}/state", ["event_id"],
+                            dated=True).awaitTermination()
+    return folder
+
+
+@query
+def t1_stream_best(spark, d):
+    """The best reading per (day, place) after the stream, as the batch choice has it."""
+    return spark.read.parquet(f"{_best_stream(spark, d)}/fact").drop("time", "date_month")
+
+
+@query
+def t2_stream_best_report(spark, d):
+    """Monthly hot days of the best readings, from the report the stream kept."""
+    return versions.read(spark, f"{_best_stream(spark, d)}/report").select(
+        "date_month", "lignes", *[f"jours_sup_{t}" for t in states.HOT])

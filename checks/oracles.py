@@ -786,3 +786,20 @@ SQL["t2_stream_append"] = f"""WITH first AS (
 SELECT {day("date_trunc('month', date)")} AS date_month,
   count(*) FILTER (value > 30) AS jours_sup_30, count(*) FILTER (value > 35) AS jours_sup_35,
   count(*) FILTER (value > 40) AS jours_sup_40 FROM first GROUP BY 1"""
+
+# ---- late readings, states and best readings ------------------------------------------
+
+SQL["s19_late_fact"] = SQL["m_fct_daily"]
+SQL["s19_state_heat_days"] = SQL["a16_heat_days_year"]
+SQL["s19_late_department_years"] = f"""WITH {BUILT}, {WIDE}, panel AS (SELECT * FROM wide), {_ANNUAL}, {_SUMMER}
+SELECT a.*, s.temp_moyenne_ete, s.temp_max_moyenne_ete
+FROM annual a LEFT JOIN summer s ON s.annee = a.annee AND s.departement = a.departement"""
+SQL["t1_stream_best"] = SQL["w2_weather_dedup"]
+SQL["t2_stream_best_report"] = f"""WITH {EVENTS},
+best AS (
+  SELECT * FROM readings
+  QUALIFY row_number() OVER (PARTITION BY readings.date, code_insee ORDER BY
+    temperature_max IS NULL, temperature_ressentie_max IS NULL, event_id) = 1)
+SELECT {day("date_trunc('month', date)")} AS date_month, count(*) AS lignes,
+  count(*) FILTER (temperature_max > 30) AS jours_sup_30, count(*) FILTER (temperature_max > 35) AS jours_sup_35,
+  count(*) FILTER (temperature_max > 40) AS jours_sup_40 FROM best GROUP BY 1"""

@@ -4,11 +4,13 @@
   job.py history --payloads DIR --locations DIR --raw-weather DIR --first DAY --last DAY
   job.py build   --weather DIR --communes DIR --heat DIR --winter DIR --root DIR
                  [--since 2026-07-01]
+  job.py merge   --weather DIR --root DIR
   job.py check   --root DIR [--communes-over 350]
   job.py report  --root DIR --name heat_days_by_year [--out DIR] [--rows 100]
-                 [--since 2015-01-01] [--from-year 2015] [--to-year 2025]
+                 [--since 2015-01-01] [--from-year 2015] [--to-year 2025] [--states]
 
-build --since stages only the months from that day on. Without --out a report prints its first rows and how many there are. Years and
+build --since stages only the months from that day on; merge takes readings of any days, late and repeated ones
+included. report --states reads the monthly states instead of the fact, where the report has such a form. Without --out a report prints its first rows and how many there are. Years and
 days are unbounded unless given.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from heatmart import schemas
 from heatmart.functions.dates import between_days
-from heatmart.operators import analytics, health, quality, stats
+from heatmart.operators import analytics, health, quality, states, stats
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import build, ingest, marts
 from heatmart.session import measured, session, sized_for
@@ -71,6 +73,15 @@ REPORTS: dict[str, Callable[[Tables, argparse.Namespace], DataFrame]] = {
         t["stg_communes"], t["stg_heat_health"], "departement", "departement_nom"),
 }
 
+# Reports that the monthly states answer.
+STATE_REPORTS: dict[str, Callable[[DataFrame, argparse.Namespace], DataFrame]] = {
+    "seasonality": lambda t, o: states.seasonality(t),
+    "yearly_trend": lambda t, o: states.yearly_trend(t),
+    "linear_trend": lambda t, o: analytics.linear_trend(states.yearly_trend(t), o.to_year + 1),
+    "heat_days_by_year": lambda t, o: states.heat_days_by_year(t),
+    "heat_days_by_month": lambda t, o: states.heat_days_by_month(t),
+}
+
 
 @released()
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -97,13 +108,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         else:
             build.build(spark, build.Raw(*raw), args.root)
         return 0
+    if args.command == "merge":
+        build.merge(spark, spark.read.schema(schemas.RAW_WEATHER).parquet(args.weather), args.root)
+        return 0
     tables = build.load(spark, args.root)
     if args.command == "check":
         found = build.check(tables, args.communes_over).collect()
         for r in found:
             print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
         return int(any(r.status == "fail" for r in found))
-    result = REPORTS[args.name](tables, args)
+    if args.states:
+        result = STATE_REPORTS[args.name](build.monthly_states(spark, args.root), args)
+    else:
+        result = REPORTS[args.name](tables, args)
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
@@ -120,7 +137,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     options = {"ingest": ["payloads", "locations", "raw-weather", "as-of"],
                "history": ["payloads", "locations", "raw-weather", "first", "last"],
                "build": ["weather", "communes", "heat", "winter", "root"],
-               "check": ["root"], "report": ["root"]}
+               "merge": ["weather", "root"], "check": ["root"], "report": ["root"]}
     for name, wanted in options.items():
         command = commands.add_parser(name)
         for option in wanted:
@@ -132,12 +149,16 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     for name in ("build", "report"):
         commands.choices[name].add_argument("--since", type=date.fromisoformat)
     commands.choices["check"].add_argument("--communes-over", type=int, default=350)
+    report.add_argument("--states", action="store_true")
     report.add_argument("--from-year", type=int, default=1)
     report.add_argument("--to-year", type=int, default=9998)
     for command in commands.choices.values():
         command.add_argument("--input-gb", type=int, default=0,
                              help="size of the input, if it should not be measured")
-    return parser.parse_args(argv)
+    chosen = parser.parse_args(argv)
+    if getattr(chosen, "states", False) and (chosen.name not in STATE_REPORTS or chosen.since):
+        parser.error("--states answers " + ", ".join(sorted(STATE_REPORTS)) + ", over all days")
+    return chosen
 
 
 if __name__ == "__main__":

@@ -27,12 +27,17 @@ def one_per_commune(communes: DataFrame, key: str = "code_insee") -> DataFrame:
     return first_per_key(communes, [key], ascending(rest))
 
 
+def best_order(ties: list[str], maximum: str = "temperature_max",
+               felt: str = "temperature_ressentie_max") -> list[Column]:
+    """Better readings first: a present maximum, then a present felt maximum."""
+    return [F.col(maximum).isNull(), F.col(felt).isNull()] + ascending(ties)
+
+
 def best_reading(readings: DataFrame, keys: list[str], ties: list[str],
                  maximum: str = "temperature_max",
                  felt: str = "temperature_ressentie_max") -> DataFrame:
-    """One reading per key: a present maximum first, then a present felt maximum."""
-    order = [F.col(maximum).isNull(), F.col(felt).isNull()]
-    return first_per_key(readings, keys, order + ascending(ties))
+    """One reading per key, the best one."""
+    return first_per_key(readings, keys, best_order(ties, maximum, felt))
 
 
 def latest_per_key(df: DataFrame, keys: list[str], loaded: str, ties: list[str]) -> DataFrame:

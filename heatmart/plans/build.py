@@ -7,12 +7,19 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from heatmart.operators import states
 from heatmart.operators.quality import DECLARED, run_checks
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import marts, staging
+from heatmart.sources import changes, versions
 from heatmart.sources.sinks import rebuild, rebuild_by_month, rebuild_from
 
 
+# Folder of the monthly states, published version by version.
+STATES = "states"
+KEY = ["date", "code_insee"]
+
+
 @dataclass
 class Raw:
     weather: DataFrame
@@ -43,7 +50,8 @@ def build(spark: SparkSession, raw: Raw, root: str) -> dict[str, DataFrame]:
     keep("stg_heat_health", staging.stg_heat_health(raw.heat_health))
     keep("stg_winter", staging.stg_winter(raw.winter))
     weather = keep("stg_weather", staging.stg_weather(raw.weather, dimension), rebuild_by_month)
-    keep("fct_daily", marts.fct_daily(weather), rebuild_by_month)
+    fact = keep("fct_daily", marts.fct_daily(weather), rebuild_by_month)
+    versions.publish(states.states(marts.wide(fact, communes)), f"{root.rstrip('/')}/{STATES}")
     return stored
 
 
@@ -67,9 +75,64 @@ def update(spark: SparkSession, raw: Raw, root: str, since: date) -> dict[str, D
     rebuild_from(staging.stg_weather(fresh, stored["dim_commune"]), f"{at}/stg_weather", first)
     months = spark.read.parquet(f"{at}/stg_weather").where(F.col("date_month") >= F.lit(first))
     rebuild_from(marts.fct_daily(months), f"{at}/fct_daily", first)
+    done = load(spark, at)
+    touched = states.states(marts.wide(done["fct_daily"].where(F.col("date_month") >= F.lit(first)), done["stg_communes"]))
+    earlier = versions.read(spark, f"{at}/{STATES}").where(F.col("date_month") < F.lit(first))
+    versions.publish(earlier.unionByName(touched), f"{at}/{STATES}")
+    return done
+
+
+@released()
+def merge(spark: SparkSession, weather: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Merge raw readings of any days, late and repeated ones included, into the tables under ``root``.
+
+    The same tables and states as a full rebuild with these readings added, as
+    long as the commune list is that of the last build. Each (day, commune)
+    keeps the better of its stored and new reading. Of the large tables only
+    the months of the readings are read, and only months in which something
+    changes are written; the states get the changes alone. A merge that broke
+    off is finished by the next one.
+    """
+    at = root.rstrip("/")
+    communes = spark.read.parquet(f"{at}/stg_communes")
+    known = spark.read.parquet(f"{at}/dim_date")
+    # days of readings that match no commune count as well; first, so no broken merge can lose them
+    fresh = cut_lineage(marts.dim_date(weather).join(known, "date", "left_anti"))
+    if not fresh.isEmpty():
+        rebuild(cut_lineage(known.unionByName(fresh)).sortWithinPartitions("date"), f"{at}/dim_date")
+
+    def find() -> DataFrame:
+        places = spark.read.parquet(f"{at}/dim_commune")
+        staged = cut_lineage(changes.dated(staging.stg_weather(weather, places)))
+        stored = changes.stored_months(spark, f"{at}/stg_weather", changes.touched_months(staged))
+        measures = [c for c in staged.columns if c in staging.MEASURED]
+        return changes.best_changes(staged, stored, KEY, staging.best_order([*measures, "numero_departement"]))
+
+    def fact(rows: DataFrame) -> DataFrame:
+        return marts.fct_daily(rows.drop("inserted_at"))
+
+    def counted(rows: DataFrame, tag: str) -> None:
+        if versions.current(spark, f"{at}/{STATES}")[1] == tag:
+            return
+        signed = fact(rows.where("sign = 1")).withColumn("sign", F.lit(1)).unionByName(
+            fact(rows.where("sign = -1")).withColumn("sign", F.lit(-1)))
+        panel = marts.wide(spark.read.parquet(f"{at}/fct_daily"), communes)
+        total = states.merged(versions.read(spark, f"{at}/{STATES}"), cut_lineage(states.deltas(marts.wide(signed, communes))),
+                              lambda groups: states.of_groups(panel, groups))
+        versions.publish(total, f"{at}/{STATES}", tag)
+
+    changes.carry_out(spark, f"{at}/changes", find, [
+        lambda rows, _: changes.put(rows, f"{at}/stg_weather", KEY),
+        lambda rows, _: changes.put(fact(rows.where("sign = 1")).withColumn("sign", F.lit(1)), f"{at}/fct_daily", KEY),
+        counted])
     return load(spark, at)
 
 
+def monthly_states(spark: SparkSession, root: str) -> DataFrame:
+    """The states that the last build, update or merge published, for the reports of operators.states."""
+    return versions.read(spark, f"{root.rstrip('/')}/{STATES}")
+
+
 def check(stored: dict[str, DataFrame], communes_over: int | None = None) -> DataFrame:
     """Declared checks of every built table: (model, column, check, violations, status).
 

@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from heatmart import schemas
 from heatmart.functions.text import staging_code
-from heatmart.operators.dedup import best_reading, one_per_commune
+from heatmart.operators.dedup import best_order, best_reading, one_per_commune
 from heatmart.operators.resolve import resolve_best
 from heatmart.operators.scale import BROADCAST_BYTES
 from heatmart.sources import raw as scan
 
 
+# Measures of a staged reading, all that may be there.
+MEASURED = ["code_meteo", *schemas.MEASURES.values(), *schemas.EXTRA_MEASURES.values()]
+
+
 def stamped(df: DataFrame, *columns: str) -> DataFrame:
     """Add load-time columns; current_timestamp() is one value per query."""
     return df.withColumns({c: F.current_timestamp() for c in columns})

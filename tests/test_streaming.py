@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from heatmart.operators.dedup import ascending
+from heatmart.sources import versions
 from heatmart.streaming import incremental
 from support import rows
 
@@ -32,7 +33,7 @@ def test_follow_appends_once_and_survives_a_replay(spark, tmp_path):
         incremental.follow(stream, f"{tmp_path}/fact", f"{tmp_path}/report", f"{tmp_path}/{state}",
                            ascending(["n"])).awaitTermination()
         return (spark.read.parquet(f"{tmp_path}/fact").count(),
-                rows(spark.read.parquet(f"{tmp_path}/report").select(
+                rows(versions.read(spark, f"{tmp_path}/report").select(
                     F.month("date_month"), "jours_sup_30", "jours_sup_35")))
 
     land(spark, f"{tmp_path}/in", [(datetime(2026, 7, 1), "1034", 31.0, 1),
