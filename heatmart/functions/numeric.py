@@ -22,14 +22,6 @@ def no_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def correlation(x: str, y: str) -> Column:
-    """Correlation of two columns without missing values; NULL where undefined.
-
-    corr() raises on a constant column under ANSI.
-    """
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-
-
 def pearson(x: Column, y: Column) -> Column:
     """Correlation over the rows where both sides are present; NULL where undefined."""
     x, y = no_nan(x), no_nan(y)

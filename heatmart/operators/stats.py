@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
-from heatmart.functions.numeric import correlation, no_nan, round_to
+from heatmart.functions.numeric import no_nan, round_to
 from heatmart.operators.scale import cut_lineage
 from heatmart.operators.shape import melt, to_rows
 
@@ -22,24 +22,41 @@ DRAWN = ["temperature_moyenne", "temperature_maximale", "humidite_moyenne",
 def correlation_matrix(df: DataFrame, columns: list[str] = CORRELATED) -> DataFrame:
     """Pearson correlation of every pair of columns, over rows where both are present.
 
-    A row fans out into its column pairs and is reduced in the same task, so
-    one pass is enough and a few numbers per pair reach the shuffle. One wide
-    aggregate over all pairs is too long to compile and runs far slower. An
-    undefined correlation is NULL.
+    Rows are grouped by which columns they lack. Within such a pattern every
+    pair is complete, so one pass gives sums and products of each, and at most
+    two to the number of columns rows come back. Sums are taken from a value
+    near the mean, where products lose no digits. An undefined correlation is
+    NULL. Starts the pass when called.
     """
-    values = df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    cells = [F.struct(F.lit(at).alias("pair"), F.col(columns[i]).alias("x"),
-                      F.col(columns[j]).alias("y")) for at, (i, j) in enumerate(pairs)]
-    measured = (values.select(F.inline(F.array(*cells))).where("x is not null and y is not null")
-                .groupBy("pair").agg(correlation("x", "y").alias("r")))
-    grid = df.sparkSession.createDataFrame(
-        [(pairs.index((min(i, j), max(i, j))), a, b)
-         for i, a in enumerate(columns) for j, b in enumerate(columns)],
-        "pair int, variable_1 string, variable_2 string")
-    itself = (F.col("variable_1") == F.col("variable_2")) & F.col("r").isNotNull()
-    return grid.join(measured, "pair", "left").select(
-        "variable_1", "variable_2", F.when(itself, 1.0).otherwise(F.col("r")).alias("r"))
+    k = len(columns)
+    values = df.select(*[no_nan(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)])
+    # any value will do as origin, the nearer to the mean the better
+    near = values.limit(1000).agg(*[F.coalesce(F.avg(F.when(F.abs(c) < math.inf, F.col(c))), F.lit(0.0)) for c in values.columns]).first()
+    pattern = sum((F.col(c).isNull().cast("int") * (1 << i) for i, c in enumerate(values.columns)), F.lit(0))
+    moved = values.select(pattern.alias("pattern"), *[F.coalesce(F.col(c) - F.lit(o), F.lit(0.0)).alias(c)
+                                                      for c, o in zip(values.columns, near)])
+    pairs = list(combinations_with_replacement(range(k), 2))
+    found = moved.groupBy("pattern").agg(
+        F.count("*").alias("n"), *[F.sum(f"v{i}").alias(f"s{i}") for i in range(k)],
+        *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")).alias(f"p{i}_{j}") for i, j in pairs]).collect()
+
+    def correlated(i: int, j: int) -> float | None:
+        both = [r for r in found if not r["pattern"] & (1 << i | 1 << j)]
+        n = sum(r["n"] for r in both)
+        if n < 2:
+            return None
+        def total(name: str) -> float:
+            return sum(r[name] for r in both)
+        x, y = total(f"s{i}"), total(f"s{j}")
+        spread = [total(f"p{a}_{a}") - t * t / n for a, t in ((i, x), (j, y))]
+        # what cancels down to the last digits is a constant column
+        if any(not v > 1e-14 * total(f"p{a}_{a}") for a, v in zip((i, j), spread)):
+            return None
+        r = (total(f"p{i}_{j}") - x * y / n) / math.sqrt(spread[0]) / math.sqrt(spread[1])
+        return 1.0 if i == j and math.isfinite(r) else r if math.isfinite(r) else None
+
+    grid = [(columns[i], columns[j], correlated(min(i, j), max(i, j))) for i in range(k) for j in range(k)]
+    return df.sparkSession.createDataFrame(grid, "variable_1 string, variable_2 string, r double")
 
 
 def histograms(df: DataFrame, columns: list[str] = DRAWN, bins: int = 60) -> DataFrame:
@@ -77,52 +94,118 @@ def between(low: float, high: float, part: float) -> float:
     return low + (high - low) * part if math.isfinite(high - low) else low * (1 - part) + high * part
 
 
+def _brackets(ends: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Ranges in ascending order, overlapping ones joined."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(ends):
+        if out and lo <= out[-1][1]:
+            out[-1] = out[-1][0], max(hi, out[-1][1])
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _located(df: DataFrame, columns: list[str], ranges: dict[int, list[tuple[float, float]]]) -> tuple[DataFrame, dict]:
+    """(cell, value, copies) of the values inside the ranges, written down; and the number of values of each cell.
+
+    A column's cells count up its line: an even one lies before, between or
+    after its ranges, an odd one is a range. Values outside of them are only
+    counted, in the task that reads them.
+    """
+    slots, step = [], 2 * max(map(len, ranges.values())) + 1
+    for slot, own in ranges.items():
+        v = no_nan(F.col(columns[slot]).cast("double"))
+        place = F.lit(2 * len(own))
+        for i, (lo, hi) in reversed(list(enumerate(own))):
+            place = F.when(v < lo, 2 * i).when(v <= hi, 2 * i + 1).otherwise(place)
+        # zero added: one zero for both signs
+        slots.append(F.struct((F.lit(slot * step) + place).alias("cell"),
+                              F.when(place % 2 == 1, v + 0.0).alias("value"), v.isNotNull().alias("there")))
+    cells = df.select(F.inline(F.array(*slots))).where("there").groupBy("cell", "value").agg(F.count("*").alias("copies"))
+    found = cut_lineage(cells)
+    counts = {(r["cell"] // step, r["cell"] % step): r["n"] for r in found.groupBy("cell").agg(F.sum("copies").alias("n")).collect()}
+    return found.where("value is not null").withColumn("slot", F.floor(F.col("cell") / step).cast("int")), counts
+
+
 def percentiles(df: DataFrame, columns: list[str], shares: list[float],
-                fan_out: int = 4096) -> DataFrame:
+                fan_out: int = 4096, accuracy: int = 10_000) -> DataFrame:
     """Exact percentiles with linear interpolation: (variable, share, value).
 
-    percentile() gathers all distinct values of a column in one task. Here
-    equal values are first counted across the cluster; every wanted rank is
-    then narrowed down: count ``fan_out`` equal slices of its current range,
-    step into the slice holding the rank, until that holds one value. Only
-    the bounds of that slice, one row per rank, come back to the driver.
+    percentile() gathers all distinct values of a column in one task. Here a
+    first pass makes mergeable sketches, which bracket each rank to some
+    ``accuracy``-th parts of the values. A second pass counts what lies below
+    each bracket and writes down, with their numbers, only the values inside.
+    From that small table each rank is narrowed down: count ``fan_out`` equal
+    slices of its current range, step into the slice holding the rank, until
+    that holds one value. Only bounds, a few rows per rank, come back to the
+    driver. Should a sketch miss a rank, its column is counted whole.
     """
     spark = df.sparkSession
-    counted = cut_lineage(melt(df, columns).groupBy("slot", "value")
-                          .agg(F.count("*").alias("copies")))
-    finite = F.when(F.abs("value") < math.inf, F.col("value"))
-    extent = {r["slot"]: r for r in counted.groupBy("slot").agg(
-        F.sum("copies").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
-        F.coalesce(F.sum(F.when(F.col("value") == -math.inf, F.col("copies"))), F.lit(0)).alias("below"),
-        F.coalesce(F.sum(F.when(F.col("value") == math.inf, F.col("copies"))), F.lit(0)).alias("above"),
-    ).collect()}
+    around = sorted({min(max(s + e * 3 / accuracy, 0.0), 1.0) for s in shares for e in (-1, 1)})
+    values = [no_nan(F.col(c).cast("double")) for c in columns]
+    sketch = df.agg(*[a for i, v in enumerate(values) for a in (
+        F.count(v).alias(f"n{i}"), F.percentile_approx(v, around, accuracy).alias(f"a{i}"))]).first()
+    size = {i: sketch[f"n{i}"] for i in range(len(columns)) if sketch[f"n{i}"]}
 
     def neighbours(slot: int, share: float) -> tuple[int, int, float]:
-        at = share * (extent[slot]["n"] - 1)
+        at = share * (size[slot] - 1)
         return math.floor(at), math.ceil(at), at - math.floor(at)
 
-    def started(row: Row, rank: int) -> tuple[float, float, int]:
-        """Infinite values are ranked by their number, finite ones searched."""
-        if rank < row["below"]:
-            return -math.inf, -math.inf, 0
-        if rank >= row["n"] - row["above"]:
-            return math.inf, math.inf, row["n"] - row["above"]
-        return row["lo"], row["hi"], row["below"]
-
-    # range that still holds each (slot, rank): lowest value, highest value, values below it
-    held = {(slot, rank): started(row, rank) for slot, row in extent.items()
-            for share in shares for rank in neighbours(slot, share)[:2]}
+    def bracket(slot: int, share: float) -> tuple[float, float]:
+        lo, hi = (sketch[f"a{slot}"][around.index(min(max(share + e * 3 / accuracy, 0.0), 1.0))] for e in (-1, 1))
+        return (-math.inf if share <= 3 / accuracy else lo), (math.inf if share >= 1 - 3 / accuracy else hi)
+
+    ranges = {slot: _brackets([bracket(slot, s) for s in shares]) for slot in size}
+    wanted_ranks = {(slot, rank) for slot in size for s in shares for rank in neighbours(slot, s)[:2]}
+    while ranges:
+        counted, counts = _located(df, columns, ranges)
+        found_in: dict[tuple[int, int], tuple[int, int]] = {}
+        for slot, rank in wanted_ranks:
+            before = 0
+            for place in range(2 * len(ranges[slot]) + 1):
+                here = counts.get((slot, place), 0)
+                if rank < before + here:
+                    found_in[slot, rank] = place, before
+                    break
+                before += here
+        missed = {slot for (slot, _), (place, _) in found_in.items() if place % 2 == 0}
+        if not missed:
+            break
+        ranges.update({slot: [(-math.inf, math.inf)] for slot in missed})
+
+    held: dict[tuple[int, int], tuple[float, float, int]] = {}
+    if ranges:
+        finite = F.when(F.abs("value") < math.inf, F.col("value"))
+        step = 2 * max(map(len, ranges.values())) + 1
+        extent = {r["cell"]: r for r in counted.groupBy("cell").agg(
+            F.sum("copies").alias("n"), F.min(finite).alias("lo"), F.max(finite).alias("hi"),
+            F.coalesce(F.sum(F.when(F.col("value") == -math.inf, F.col("copies"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(F.col("value") == math.inf, F.col("copies"))), F.lit(0)).alias("above"),
+        ).collect()}
+
+        def started(slot: int, rank: int) -> tuple[float, float, int]:
+            """Infinite values are ranked by their number, finite ones searched."""
+            place, before = found_in[slot, rank]
+            row = extent[slot * step + place]
+            if rank < before + row["below"]:
+                return -math.inf, -math.inf, before
+            if rank >= before + row["n"] - row["above"]:
+                return math.inf, math.inf, before + row["n"] - row["above"]
+            return row["lo"], row["hi"], before + row["below"]
+
+        # range that still holds each (slot, rank): lowest value, highest value, values below it
+        held = {(slot, rank): started(slot, rank) for slot, rank in wanted_ranks}
     while True:
-        ranges = sorted({(slot, *r) for (slot, _), r in held.items() if r[0] < r[1]})
-        if not ranges:
+        open_ = sorted({(slot, *r) for (slot, _), r in held.items() if r[0] < r[1]})
+        if not open_:
             break
         asked = spark.createDataFrame(
-            [(i, s, lo, hi) for i, (s, lo, hi, _) in enumerate(ranges)],
+            [(i, s, lo, hi) for i, (s, lo, hi, _) in enumerate(open_)],
             "range int, slot int, lo double, hi double")
         wanted = spark.createDataFrame(
-            [(ranges.index((s, *r)), r[2], rank) for (s, rank), r in held.items() if r[0] < r[1]],
+            [(open_.index((s, *r)), r[2], rank) for (s, rank), r in held.items() if r[0] < r[1]],
             "range int, before long, rank long")
-        inside = counted.join(F.broadcast(asked), "slot").where(
+        inside = counted.drop("cell").join(F.broadcast(asked), "slot").where(
             F.col("value").between(F.col("lo"), F.col("hi")))
         # halves, where the whole width would overflow
         wide = F.col("hi") / 2 - F.col("lo") / 2 > 8e307
@@ -149,7 +232,7 @@ def percentiles(df: DataFrame, columns: list[str], shares: list[float],
     for slot, variable in enumerate(columns):
         for share in shares:
             value = None
-            if slot in extent:
+            if slot in size:
                 low, high, part = neighbours(slot, share)
                 value = held[slot, low][0]
                 value = between(value, held[slot, high][0], part)

@@ -25,11 +25,14 @@ def touched_months(df: DataFrame) -> list:
     return [r[0] for r in df.select("date_month").where("date_month is not null").distinct().collect()]
 
 
+def in_months(table: DataFrame, months: list) -> DataFrame:
+    """A table's partitions of these months; their literals reach the file listing."""
+    return table.where(F.col("date_month").isin(months) if months else F.lit(False))
+
+
 def stored_months(spark: SparkSession, path: str, months: list) -> DataFrame | None:
-    """Rows of some months of the table at path; their literals reach the file listing."""
-    if not exists(spark, path):
-        return None
-    return spark.read.parquet(path).where(F.col("date_month").isin(months) if months else F.lit(False))
+    """Rows of some months of the table at path, if there is one."""
+    return in_months(spark.read.parquet(path), months) if exists(spark, path) else None
 
 
 def best_changes(fresh: DataFrame, stored: DataFrame | None, keys: list[str], order: list[Column]) -> DataFrame:

@@ -12,6 +12,7 @@ from heatmart.operators import states
 from heatmart.operators.dedup import best_order
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.sources import changes, versions
+from heatmart.sources.changes import in_months  # noqa: F401
 from heatmart.sources.sinks import with_month
 
 KEYS = ["date", "code_insee"]

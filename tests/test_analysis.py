@@ -35,6 +35,28 @@ def test_percentiles_are_exact(spark, values, fan_out):
     assert got == pytest.approx({s: linear(values, s) for s in shares}, rel=1e-12, abs=1e-15)
 
 
+def test_percentiles_of_many_values_store_few(spark, monkeypatch):
+    df = spark.range(200_000).selectExpr(
+        "double((id * 7919) % 200000) / 7 as a", "if(id % 3 = 0, null, double(id % 5)) as b",
+        "case when id < 90000 then double('-infinity') when id < 150000 then 1.5D else double('infinity') end as c")
+    kept = []
+    whole = stats.cut_lineage
+    monkeypatch.setattr(stats, "cut_lineage", lambda d: kept.append(whole(d)) or kept[-1])
+    got = {(r.variable, r.share): r.value for r in stats.percentiles(df, ["a", "b", "c"], [0.25, 0.5, 0.999], accuracy=1000).collect()}
+    for s in (0.25, 0.5, 0.999):
+        assert got["a", s] == pytest.approx(linear([i / 7 for i in range(200_000)], s), rel=1e-12)
+    assert [got["b", s] for s in (0.25, 0.5, 0.999)] == [1.0, 2.0, 4.0]
+    assert [got["c", s] for s in (0.25, 0.5, 0.999)] == [float("-inf"), 1.5, float("inf")]
+    assert len(kept) == 1 and kept[0].where("value is not null").count() < 5000
+
+
+def test_percentiles_survive_sketches_that_miss(spark, monkeypatch):
+    df = one_column(spark, [float(i) for i in range(500)])
+    monkeypatch.setattr(stats.F, "percentile_approx", lambda v, around, accuracy: F.array(*[F.max(F.lit(7.0)) for _ in around]))
+    got = {r.share: r.value for r in stats.percentiles(df, ["v"], [0.25, 0.5]).collect()}
+    assert got == {0.25: 124.75, 0.5: 249.5}
+
+
 def test_percentiles_of_nothing(spark):
     assert stats.percentiles(one_column(spark, [None]), ["v"], [0.5]).first().value is None
 
@@ -60,6 +82,20 @@ def test_correlation_matrix_handles_degenerate_columns(spark):
     assert got["c", "c"] is None and got["a", "c"] is None and got["d", "a"] is None
 
 
+def test_correlations_by_pattern_of_missing_values(spark):
+    r = random.Random(11)
+    cells = [[None if r.random() < 0.3 else base + r.gauss(0, 1) for base in (0.0, 1e6, -3e8)] for _ in range(400)]
+    cells = [(x, None if x is None or y is None else y + x, z) for x, y, z in cells]
+    df = spark.createDataFrame(cells, "a double, b double, c double")
+    matrix = stats.correlation_matrix(df, ["a", "b", "c"])
+    got = {(x.variable_1, x.variable_2): x.r for x in matrix.collect()}
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            both = [(c[i], c[j]) for c in cells if c[i] is not None and c[j] is not None]
+            assert got[x, y] == pytest.approx(statistics.correlation(*zip(*both)), abs=1e-9)
+    assert got["a", "b"] > 0.5
+
+
 PANEL = "date date, departement string, region string, ville string, code_insee string," \
         " temperature_moyenne double, temperature_minimale double, temperature_maximale double," \
         " humidite_moyenne double, precipitations_totales double"
