@@ -12,7 +12,7 @@ from checks import adapters as A
 from heatmart import schemas
 from heatmart.functions import dates, text
 from heatmart.operators import (
-    analytics, append, dedup, health, quality, resolve, runs, scale, states, stats)
+    analytics, append, dedup, health, presence, quality, resolve, runs, scale, states, stats)
 from heatmart.plans import build, marts, staging
 from heatmart.sources import landing, raw as scan, sinks, versions
 from heatmart.streaming import incremental
@@ -198,21 +198,22 @@ def s19_incremental_fact(spark, d):
     return built["fct_daily"].drop("date_month")
 
 
-def _merged_late(spark, d) -> tuple[dict[str, DataFrame], str]:
-    """A build of the shorter sunshine, then two merges that bring every month late and repeated readings."""
+def _merged_late(spark, d, merges: int = 1) -> tuple[dict[str, DataFrame], str]:
+    """A build of the shorter sunshine, then merges that bring every month late and repeated readings."""
     weather = A.raw_weather(spark, d)
     others = [A.raw_communes(spark, d), A.raw_heat_health(spark, d), A.raw_winter(spark, d)]
     root = f"{_stream_folder(spark)}/tables"
     early = F.col("sunshine_duration") < 25_000
     build.build(spark, build.Raw(weather.where(early), *others), root)
-    build.merge(spark, weather.where(~early & F.col("temperature_2m_max").isNull()), root)
+    if merges > 1:
+        build.merge(spark, weather.where(~early & F.col("temperature_2m_max").isNull()), root)
     # readings stored before come once more
     return build.merge(spark, weather.where(~early | (F.col("sunshine_duration") < 10_000)), root), root
 
 
 @query
 def s19_late_fact(spark, d):
-    return _merged_late(spark, d)[0]["fct_daily"].drop("date_month")
+    return _merged_late(spark, d, 2)[0]["fct_daily"].drop("date_month")
 
 
 @query
@@ -222,6 +223,12 @@ def s19_late_department_years(spark, d):
     return states.department_year(table).join(states.department_summer(table), ["annee", "departement"], "left")
 
 
+@query
+def s19_late_coverage(spark, d):
+    """Size and extent from the days' bitmaps that late and repeated readings were merged into."""
+    return presence.coverage(*build.daily_presence(spark, _merged_late(spark, d)[1]))
+
+
 @query
 def s19_state_heat_days(spark, d):
     """Heat days per year from the states of a build updated from a day on."""
@@ -427,6 +434,32 @@ def a8_incomplete_days(spark, d):
     return quality.incomplete_days(A.daily_panel(spark, d), 6)
 
 
+def _presence(spark, d) -> tuple[DataFrame, DataFrame]:
+    panel = A.daily_panel(spark, d)
+    places = presence.numbered_places(panel)
+    return scale.cut_lineage(presence.presence(panel, places)), places
+
+
+@query
+def a1_coverage_bitmaps(spark, d):
+    return presence.coverage(*_presence(spark, d))
+
+
+@query
+def a6_key_uniqueness_bitmaps(spark, d):
+    return presence.key_uniqueness(_presence(spark, d)[0])
+
+
+@query
+def a7_continuity_bitmaps(spark, d):
+    return presence.continuity(_presence(spark, d)[0])
+
+
+@query
+def a8_incomplete_days_bitmaps(spark, d):
+    return presence.incomplete_days(_presence(spark, d)[0], 6)
+
+
 @query
 def a9_name_variants(spark, d):
     events = A.table(spark, d, "events").selectExpr(

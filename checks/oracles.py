@@ -803,3 +803,10 @@ best AS (
 SELECT {day("date_trunc('month', date)")} AS date_month, count(*) AS lignes,
   count(*) FILTER (temperature_max > 30) AS jours_sup_30, count(*) FILTER (temperature_max > 35) AS jours_sup_35,
   count(*) FILTER (temperature_max > 40) AS jours_sup_40 FROM best GROUP BY 1"""
+for _name in ("a1_coverage", "a6_key_uniqueness", "a7_continuity", "a8_incomplete_days"):
+    SQL[f"{_name}_bitmaps"] = SQL[_name]
+SQL["s19_late_coverage"] = f"""WITH {BUILT}, {WIDE}
+SELECT count(*) AS total_lignes, count(DISTINCT ville) AS nb_communes,
+  count(DISTINCT code_insee) AS nb_codes_insee, count(DISTINCT departement) AS nb_departements,
+  count(DISTINCT region) AS nb_regions, {day('min(date)')} AS date_min,
+  {day('max(date)')} AS date_max, count(DISTINCT date) AS nb_jours FROM wide"""

@@ -10,7 +10,8 @@
                  [--since 2015-01-01] [--from-year 2015] [--to-year 2025] [--states]
 
 build --since stages only the months from that day on; merge takes readings of any days, late and repeated ones
-included. report --states reads the monthly states instead of the fact, where the report has such a form. Without --out a report prints its first rows and how many there are. Years and
+included. report --states reads the monthly states or the days' bitmaps instead of the fact, where the report has such a
+form. Without --out a report prints its first rows and how many there are. Years and
 days are unbounded unless given.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from heatmart import schemas
 from heatmart.functions.dates import between_days
-from heatmart.operators import analytics, health, quality, states, stats
+from heatmart.operators import analytics, health, presence, quality, states, stats
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import build, ingest, marts
 from heatmart.session import measured, session, sized_for
@@ -73,7 +74,7 @@ REPORTS: dict[str, Callable[[Tables, argparse.Namespace], DataFrame]] = {
         t["stg_communes"], t["stg_heat_health"], "departement", "departement_nom"),
 }
 
-# Reports that the monthly states answer.
+# Reports that the monthly states answer, and those that the days' bitmaps do.
 STATE_REPORTS: dict[str, Callable[[DataFrame, argparse.Namespace], DataFrame]] = {
     "seasonality": lambda t, o: states.seasonality(t),
     "yearly_trend": lambda t, o: states.yearly_trend(t),
@@ -81,6 +82,12 @@ STATE_REPORTS: dict[str, Callable[[DataFrame, argparse.Namespace], DataFrame]] =
     "heat_days_by_year": lambda t, o: states.heat_days_by_year(t),
     "heat_days_by_month": lambda t, o: states.heat_days_by_month(t),
 }
+PRESENCE_REPORTS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "coverage": presence.coverage,
+    "key_uniqueness": lambda d, _: presence.key_uniqueness(d),
+    "incomplete_days": lambda d, _: presence.incomplete_days(d),
+    "continuity": lambda d, _: presence.continuity(d),
+}
 
 
 @released()
@@ -117,7 +124,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         for r in found:
             print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
         return int(any(r.status == "fail" for r in found))
-    if args.states:
+    if args.states and args.name in PRESENCE_REPORTS:
+        result = PRESENCE_REPORTS[args.name](*build.daily_presence(spark, args.root))
+    elif args.states:
         result = STATE_REPORTS[args.name](build.monthly_states(spark, args.root), args)
     else:
         result = REPORTS[args.name](tables, args)
@@ -156,8 +165,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         command.add_argument("--input-gb", type=int, default=0,
                              help="size of the input, if it should not be measured")
     chosen = parser.parse_args(argv)
-    if getattr(chosen, "states", False) and (chosen.name not in STATE_REPORTS or chosen.since):
-        parser.error("--states answers " + ", ".join(sorted(STATE_REPORTS)) + ", over all days")
+    if getattr(chosen, "states", False) and (
+            chosen.name not in {**STATE_REPORTS, **PRESENCE_REPORTS} or chosen.since):
+        parser.error("--states answers " + ", ".join(sorted({**STATE_REPORTS, **PRESENCE_REPORTS})) + ", over all days")
     return chosen
 
 

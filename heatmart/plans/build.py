@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatmart.operators import states
+from heatmart.operators import presence, states
 from heatmart.operators.quality import DECLARED, run_checks
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import marts, staging
@@ -15,8 +15,8 @@ from heatmart.sources import changes, versions
 from heatmart.sources.sinks import rebuild, rebuild_by_month, rebuild_from
 
 
-# Folder of the monthly states, published version by version.
-STATES = "states"
+# Folders of the monthly states and of the days' bitmaps, published version by version; and of the numbers of places.
+STATES, PRESENCE, PLACES = "states", "presence", "places"
 KEY = ["date", "code_insee"]
 
 
@@ -51,7 +51,11 @@ def build(spark: SparkSession, raw: Raw, root: str) -> dict[str, DataFrame]:
     keep("stg_winter", staging.stg_winter(raw.winter))
     weather = keep("stg_weather", staging.stg_weather(raw.weather, dimension), rebuild_by_month)
     fact = keep("fct_daily", marts.fct_daily(weather), rebuild_by_month)
-    versions.publish(states.states(marts.wide(fact, communes)), f"{root.rstrip('/')}/{STATES}")
+    at = root.rstrip("/")
+    panel = marts.wide(fact, communes)
+    versions.publish(states.states(panel), f"{at}/{STATES}")
+    rebuild(presence.numbered_places(communes), f"{at}/{PLACES}")
+    versions.publish(presence.presence(panel, spark.read.parquet(f"{at}/{PLACES}")), f"{at}/{PRESENCE}")
     return stored
 
 
@@ -76,9 +80,11 @@ def update(spark: SparkSession, raw: Raw, root: str, since: date) -> dict[str, D
     months = spark.read.parquet(f"{at}/stg_weather").where(F.col("date_month") >= F.lit(first))
     rebuild_from(marts.fct_daily(months), f"{at}/fct_daily", first)
     done = load(spark, at)
-    touched = states.states(marts.wide(done["fct_daily"].where(F.col("date_month") >= F.lit(first)), done["stg_communes"]))
+    panel = marts.wide(done["fct_daily"].where(F.col("date_month") >= F.lit(first)), done["stg_communes"])
     earlier = versions.read(spark, f"{at}/{STATES}").where(F.col("date_month") < F.lit(first))
-    versions.publish(earlier.unionByName(touched), f"{at}/{STATES}")
+    versions.publish(earlier.unionByName(states.states(panel)), f"{at}/{STATES}")
+    days = presence.presence(panel, spark.read.parquet(f"{at}/{PLACES}"))
+    versions.publish(versions.read(spark, f"{at}/{PRESENCE}").where(F.col("date") < F.lit(first)).unionByName(days), f"{at}/{PRESENCE}")
     return done
 
 
@@ -111,20 +117,28 @@ def merge(spark: SparkSession, weather: DataFrame, root: str) -> dict[str, DataF
     def fact(rows: DataFrame) -> DataFrame:
         return marts.fct_daily(rows.drop("inserted_at"))
 
+    def signed(rows: DataFrame) -> DataFrame:
+        """Wide rows that come into the fact and that leave it."""
+        parts = [fact(rows.where(F.col("sign") == s)).withColumn("sign", F.lit(s)) for s in (1, -1)]
+        return marts.wide(parts[0].unionByName(parts[1]), communes)
+
     def counted(rows: DataFrame, tag: str) -> None:
-        if versions.current(spark, f"{at}/{STATES}")[1] == tag:
-            return
-        signed = fact(rows.where("sign = 1")).withColumn("sign", F.lit(1)).unionByName(
-            fact(rows.where("sign = -1")).withColumn("sign", F.lit(-1)))
-        panel = marts.wide(spark.read.parquet(f"{at}/fct_daily"), communes)
-        total = states.merged(versions.read(spark, f"{at}/{STATES}"), cut_lineage(states.deltas(marts.wide(signed, communes))),
-                              lambda groups: states.of_groups(panel, groups))
-        versions.publish(total, f"{at}/{STATES}", tag)
+        folder, last = versions.current(spark, f"{at}/{STATES}")
+        if last != tag:
+            panel = marts.wide(spark.read.parquet(f"{at}/fct_daily"), communes)
+            versions.publish(states.merged(spark.read.parquet(folder), cut_lineage(states.deltas(signed(rows))),
+                                           lambda groups: states.of_groups(panel, groups)), f"{at}/{STATES}", tag)
+
+    def present(rows: DataFrame, tag: str) -> None:
+        folder, last = versions.current(spark, f"{at}/{PRESENCE}")
+        if last != tag:
+            added = presence.presence(signed(rows), spark.read.parquet(f"{at}/{PLACES}"))
+            versions.publish(presence.merged(spark.read.parquet(folder), added), f"{at}/{PRESENCE}", tag)
 
     changes.carry_out(spark, f"{at}/changes", find, [
         lambda rows, _: changes.put(rows, f"{at}/stg_weather", KEY),
         lambda rows, _: changes.put(fact(rows.where("sign = 1")).withColumn("sign", F.lit(1)), f"{at}/fct_daily", KEY),
-        counted])
+        counted, present])
     return load(spark, at)
 
 
@@ -154,3 +168,9 @@ def load(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     names = ["stg_communes", "dim_commune", "dim_region", "dim_date", "stg_heat_health",
              "stg_winter", "stg_weather", "fct_daily"]
     return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
+
+
+def daily_presence(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The days' bitmaps of the last build, update or merge, and the numbered places, for operators.presence."""
+    at = root.rstrip("/")
+    return versions.read(spark, f"{at}/{PRESENCE}"), spark.read.parquet(f"{at}/{PLACES}")

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from checks import adapters
 from heatmart import job, schemas
-from heatmart.operators import analytics, dedup, health, states
+from heatmart.operators import analytics, dedup, health, presence, quality, states
 from heatmart.plans import build, marts
 from heatmart.sources import changes, versions
 from heatmart.sources.sinks import conform, rebuild_by_month
 from heatmart.streaming import incremental
-from support import rows
+from support import plan, rows
 
 SMALL = "/root/testdata/sf0.001"
 PANEL = ("date date, code_insee string, departement string, region string, temperature_moyenne double,"
@@ -83,6 +83,27 @@ def test_versions_outlive_a_broken_writer(spark, tmp_path):
     assert versions.read(spark, path).count() == 7 and len(list((tmp_path / "t").iterdir())) == 2
 
 
+def test_presence_equals_counting_distinct(spark):
+    r = random.Random(6)
+    towns = ["x", "y", None] + [f"t{i}" for i in range(70_000)]
+    items = [(r.choice([None, date(2020, 1, 1) + timedelta(days=r.randrange(50))]), f"{i % 40_000:05d}", towns[r.randrange(3) if i % 3 else i % 70_000],
+              r.choice(["Ain", None]), r.choice(["R", "S", None])) for i in range(90_000)]
+    panel = spark.createDataFrame(items, "date date, code_insee string, ville string, departement string, region string")
+    places = presence.numbered_places(panel)
+    assert places.count() == panel.select(*presence.PLACE).distinct().count()
+    days = presence.presence(panel, places)
+    half = panel.where("code_insee < '20000'"), panel.where("code_insee >= '20000'")
+    both = presence.merged(*[presence.presence(h, places) for h in half])
+    for table in (days.cache(), both.cache()):
+        assert rows(presence.coverage(table, places)) == rows(quality.coverage(panel))
+        assert rows(presence.key_uniqueness(table)) == rows(quality.key_uniqueness(panel))
+        assert rows(presence.incomplete_days(table, 700)) == rows(quality.incomplete_days(panel, 700))
+        assert rows(presence.continuity(table)) == rows(quality.continuity(panel))
+    none = presence.presence(panel.where("false"), places)
+    assert rows(presence.coverage(none, places)) == rows(quality.coverage(panel.where("false")))
+    assert rows(presence.key_uniqueness(none)) == rows(quality.key_uniqueness(panel.where("false")))
+
+
 FACT = "date date, code_insee string, temperature_max double, temperature_ressentie_max double, n int"
 
 
@@ -160,6 +181,11 @@ def test_a_merge_that_breaks_off_ends_as_a_full_build(spark, raw, tmp_path, monk
     out = f"{tmp_path}/r"
     job.run(spark, job.parse(["report", "--root", f"{tmp_path}/late", "--name", "heat_days_by_year", "--states", "--out", out]))
     panel = marts.wide(spark.read.parquet(f"{tmp_path}/full/fct_daily"), spark.read.parquet(f"{tmp_path}/full/stg_communes"))
+    days, places = build.daily_presence(spark, f"{tmp_path}/late")
+    assert rows(presence.coverage(days, places)) == rows(quality.coverage(panel))
+    assert rows(presence.incomplete_days(days, 3)) == rows(quality.incomplete_days(panel, 3))
+    for part in (presence.coverage(days, places), presence.key_uniqueness(days), presence.incomplete_days(days)):
+        assert "Expand" not in plan(part)
     assert rows(spark.read.parquet(out)) == rows(analytics.heat_days_by_year(panel))
 
 
