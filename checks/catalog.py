@@ -14,7 +14,7 @@ from heatmart.functions import dates, text
 from heatmart.operators import (
     analytics, append, dedup, health, presence, quality, resolve, runs, scale, states, stats)
 from heatmart.plans import build, marts, staging
-from heatmart.sources import landing, raw as scan, sinks, versions
+from heatmart.sources import landing, raw as scan, runlog, sinks, versions
 from heatmart.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +168,39 @@ def s13_schema_conform(spark, d):
     return sinks.conform(loose, schemas.RAW_WEATHER)
 
 
+@query
+def s14_json_append(spark, d):
+    """Readings appended twice as JSON lines, read back under the stored schema."""
+    path = f"{_stream_folder(spark)}/json"
+    readings = A.raw_weather(spark, d)
+    for part in (readings.where("sunshine_duration < 25000"), readings.where("not sunshine_duration < 25000")):
+        sinks.append(part, path, schemas.RAW_WEATHER, "json")
+    return spark.read.schema(schemas.RAW_WEATHER).json(path).drop("row_hash", "insere_a")
+
+
+@query
+def s18_step_metrics(spark, d):
+    """Steps of a metrics object per event, some without a name of their own."""
+    texts = A.table(spark, d, "events").selectExpr("""to_json(map(
+        event_type, named_struct('step', event_type, 'emissions_kg_co2', value / 1000, 'duration_seconds', value,
+                                 'status', 'ok'),
+        'event ' || event_id, named_struct('step', cast(null as string), 'emissions_kg_co2', cast(null as double),
+                                           'duration_seconds', value + 1, 'status', 'late'))) as value""")
+    return runlog.parse_steps(texts)
+
+
+@query
+def s18_emissions_log(spark, d):
+    """An emissions log written as CSV, read under its schema."""
+    columns = {"timestamp": "date_format(ts, 'yyyy-MM-dd HH:mm:ss')", "run_id": "cast(event_id as string)",
+               "project_name": "event_type", "emissions": "value / 1000", "duration": "value"}
+    log = A.table(spark, d, "events").selectExpr(*[
+        f"{columns.get(f.name, 'cast(null as string)')} as {f.name}" for f in schemas.EMISSIONS_LOG.fields])
+    path = f"{_stream_folder(spark)}/csv"
+    log.write.option("header", True).csv(path)
+    return runlog.read_emissions(spark, path).select(*columns)
+
+
 @query
 def s17_inventory(spark, d):
     names = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -391,6 +424,17 @@ def j9_record_hash_dedup(spark, d):
     return kept.select(F.sha2("text", 256).alias("text_sha"), "lang", "source")
 
 
+@query
+def j10_health_enrichment(spark, d):
+    """Readings whose department is right, unknown or missing, enriched by code or else by town name."""
+    readings = scan.weather(A.raw_weather(spark, d)).where("nom_poi is not null").selectExpr(
+        "to_date(time) as date", "nom_poi as code_insee", "ville",
+        "case when weather_code < 40 then numero_departement when weather_code < 70 then 'XX' end as numero_departement",
+        "temperature_2m_max as temperature_max", "apparent_temperature_max as temperature_ressentie_max", "reading_id")
+    return health.enriched(readings, staging.stg_communes(A.raw_communes(spark, d)),
+                           scan.heat_health(A.raw_heat_health(spark, d)), ["reading_id"])
+
+
 # ---- aggregates --------------------------------------------------------------
 
 

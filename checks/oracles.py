@@ -810,3 +810,43 @@ SELECT count(*) AS total_lignes, count(DISTINCT ville) AS nb_communes,
   count(DISTINCT code_insee) AS nb_codes_insee, count(DISTINCT departement) AS nb_departements,
   count(DISTINCT region) AS nb_regions, {day('min(date)')} AS date_min,
   {day('max(date)')} AS date_max, count(DISTINCT date) AS nb_jours FROM wide"""
+
+# ---- health by code or name, appended lines, run logs ------------------------------------
+
+SQL["j10_health_enrichment"] = f"""WITH {RAW_WEATHER}, {RAW_COMMUNES}, {LISTED}, {COMMUNES}, {RAW_HEALTH}, {HEALTH},
+taken AS (
+  SELECT CAST(time AS DATE) AS date, nom_poi AS code_insee, ville,
+    CASE WHEN weather_code < 40 THEN numero_departement WHEN weather_code < 70 THEN 'XX' END AS numero_departement,
+    temperature_2m_max AS temperature_max, apparent_temperature_max AS temperature_ressentie_max, reading_id
+  FROM raw_weather WHERE time IS NOT NULL AND nom_poi IS NOT NULL),
+recorded AS (
+  SELECT year(annee) AS annee, {padded('departement_code', 2)} AS departement_code, nb_jours_canicule FROM health),
+own AS (
+  SELECT t.*, r.departement_code AS own_code FROM taken t
+  LEFT JOIN (SELECT DISTINCT departement_code FROM recorded) r ON r.departement_code = {padded('t.numero_departement', 2)}),
+named AS (
+  SELECT DISTINCT {fold('ville')} AS name_key, {padded('numero_departement', 2)} AS departement_code FROM communes
+  WHERE {padded('numero_departement', 2)} IN (SELECT departement_code FROM recorded)),
+placed AS (
+  SELECT o.* EXCLUDE (own_code), coalesce(own_code, n.departement_code) AS departement_code
+  FROM own o LEFT JOIN named n ON own_code IS NULL AND n.name_key = {fold('o.ville')}),
+crossed AS (
+  SELECT p.*, r.nb_jours_canicule FROM placed p
+  LEFT JOIN recorded r ON r.departement_code = p.departement_code AND r.annee = year(p.date))
+SELECT * REPLACE ({day('crossed.date')} AS date) FROM crossed
+QUALIFY row_number() OVER (PARTITION BY crossed.date, code_insee ORDER BY
+  temperature_max IS NULL, temperature_ressentie_max IS NULL, reading_id, departement_code NULLS LAST,
+  nb_jours_canicule NULLS LAST) = 1"""
+_KEPT = [f.name for f in schemas.RAW_WEATHER.fields if f.name not in ("row_hash", "insere_a")]
+_GIVEN = ("time nom_poi ville latitude_poi longitude_poi numero_departement weather_code temperature_2m_mean "
+          "temperature_2m_min temperature_2m_max apparent_temperature_mean apparent_temperature_max "
+          "relative_humidity_2m_mean precipitation_sum rain_sum wind_speed_10m_mean wind_speed_10m_max "
+          "wind_gusts_10m_max pressure_msl_mean sunshine_duration").split()
+SQL["s14_json_append"] = f"WITH {RAW_WEATHER} SELECT " + ", ".join(
+    f"{STAMP} AS time" if c == "time" else c if c in _GIVEN else f"CAST(NULL AS DOUBLE) AS {c}" for c in _KEPT) + " FROM raw_weather"
+SQL["s18_step_metrics"] = """
+SELECT event_type AS step, value / 1000 AS emissions_kg_co2, value AS duration_seconds, 'ok' AS status FROM events
+UNION ALL SELECT 'event ' || event_id, NULL, value + 1, 'late' FROM events"""
+SQL["s18_emissions_log"] = """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, CAST(event_id AS VARCHAR) AS run_id, event_type AS project_name,
+  value / 1000 AS emissions, value AS duration FROM events"""

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heatmart.functions.numeric import pearson, round_to
+from heatmart.functions.text import fold_name, pad_department
+from heatmart.operators.dedup import best_reading
+from heatmart.operators.scale import spread_nulls
 
 
 def _annual() -> dict:
@@ -71,6 +74,47 @@ def weather_health(panel: DataFrame, health: DataFrame) -> DataFrame:
     ).orderBy(F.desc("annee"), "departement")
 
 
+def reading_departments(readings: DataFrame, communes: DataFrame, health: DataFrame) -> DataFrame:
+    """(numero_departement, ville, departement_code) of each distinct pair on readings.
+
+    The department's code decides if the health table has it. Otherwise, and
+    only then, the folded town name is looked up among the communes, and
+    those of its departments that the health table has are taken: none,
+    one, or, for a name several communes bear, more.
+    """
+    known = health.select(pad_department(F.col("departement_code")).alias("departement_code")).where(
+        "departement_code is not null").distinct()
+    named = communes.select(fold_name(F.col("ville")).alias("name_key"),
+                            pad_department(F.col("numero_departement")).alias("departement_code")).distinct()
+    named = named.join(known, "departement_code").where("name_key <> ''")
+    pairs = readings.select("numero_departement", "ville").distinct()
+    by = ["numero_departement", "ville"]
+    own = spread_nulls(pad_department(F.col("numero_departement")), F.col("ville"))
+    first = pairs.join(known, own == F.col("departement_code"), "left")
+    name = spread_nulls(F.when(F.col("departement_code").isNull(), fold_name(F.col("ville"))), *by)
+    second = first.select(*by, F.col("departement_code").alias("own_code"), name.alias("key")).join(named, F.col("key") == F.col("name_key"), "left")
+    return second.select(*by, F.coalesce("own_code", "departement_code").alias("departement_code"))
+
+
+def enriched(readings: DataFrame, communes: DataFrame, health: DataFrame, ties: list[str]) -> DataFrame:
+    """Readings with department code and heat-wave days of their year, one per (date, code_insee).
+
+    Departments are found for distinct (department, town) pairs, not for
+    readings, see reading_departments(). A reading whose department is not
+    found, or has no record of the year, stays without. Of what a shared name
+    multiplied, and of repeated readings, the best one is kept, the smallest
+    department code last among the ties.
+    """
+    found = reading_departments(readings, communes, health).select(
+        F.col("numero_departement").alias("_number"), F.col("ville").alias("_town"), "departement_code")
+    same = F.col("numero_departement").eqNullSafe(F.col("_number")) & F.col("ville").eqNullSafe(F.col("_town"))
+    placed = readings.join(found, same).drop("_number", "_town").withColumn("annee", F.year("date"))
+    recorded = health.select(F.year("annee").alias("annee"), pad_department(F.col("departement_code")).alias("departement_code"),
+                             "nb_jours_canicule")
+    both = placed.join(recorded, ["departement_code", "annee"], "left").drop("annee")
+    return best_reading(both, ["date", "code_insee"], [*ties, "departement_code", "nb_jours_canicule"])
+
+
 def health_correlations(crossed: DataFrame) -> DataFrame:
     """Correlation of summer heat and of hot days with recorded heat-wave days."""
     days = F.col("nb_jours_canicule").cast("double")

@@ -222,3 +222,22 @@ def test_analyses_ignore_partitioning(spark, sf_dir):
     for report in (analytics.yearly_trend, analytics.heat_days_by_year, quality.coverage,
                    health.department_year):
         assert rows(report(df)) == rows(report(mixed))
+
+
+def test_enrichment_by_code_then_by_name(spark):
+    communes = spark.createDataFrame([("Saint-Denis", "11"), ("SAINT DENIS", "22"), ("Belley", "1"), ("Nulle", None), ("Loin", "77")],
+                                     "ville string, numero_departement string")
+    years = spark.createDataFrame([(date(2020, 1, 1), "01", 3.0), (date(2020, 1, 1), "11", 4.0), (date(2020, 1, 1), "22", 5.0),
+                                   (date(2021, 1, 1), "2A", 6.0), (date(2020, 1, 1), None, 7.0)],
+                                  "annee date, departement_code string, nb_jours_canicule double")
+    d = date(2020, 7, 1)
+    readings = spark.createDataFrame(
+        [(d, "a", "Saint-Denis", "1", 30.0, None, 1), (d, "b", "saint denis", "99", 30.0, None, 2), (d, "c", "Belley", None, 30.0, None, 3),
+         (d, "d", "Nulle", None, 30.0, None, 4), (d, "e", None, None, 30.0, None, 5), (d, "f", "Loin", "77", 30.0, None, 6),
+         (d, "g", "Belley", "2A", 30.0, None, 7), (d, "a", "Belley", "22", None, None, 0)],
+        "date date, code_insee string, ville string, numero_departement string, temperature_max double,"
+        " temperature_ressentie_max double, n int")
+    got = health.enriched(readings, communes, years, ["n"])
+    assert rows(got.select("code_insee", "n", "departement_code", "nb_jours_canicule")) == [
+        ("a", 1, "01", 3.0), ("b", 2, "11", 4.0), ("c", 3, "01", 3.0), ("d", 4, None, None), ("e", 5, None, None),
+        ("f", 6, None, None), ("g", 7, "2A", None)]
