@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -61,6 +62,17 @@ def templates(spark: SparkSession, texts: Sequence[tuple[str, str]] = TEMPLATES)
     return rows.withColumn("words", F.size(tokens(F.col("notice")))).withColumn("shingles", F.array_distinct(shingles(tokens(F.col("notice")))))
 
 
+def crowded(words: int, different: int) -> int:
+    """Shingles of a notice that some window holds, wherever a run holds CONTAINED of its different ones.
+
+    A run of a quarter more words falls into pieces that each lie within one
+    window; one of them has at least the average.
+    """
+    piece = WINDOW - STEP + 1 - SHINGLE + 1
+    pieces = -(-max(math.ceil(words * 1.25) - SHINGLE + 1, 1) // piece)
+    return max(math.ceil(math.ceil(CONTAINED * different - 1e-9) / pieces), 1)
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  texts: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One row per input row and notice found: id, template, license, containment, n_places.
@@ -70,36 +82,53 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that any run holds, n_places the number of first words of such runs.
 
     Windows of a text and of the templates meet by equal MinHash values in any
-    of BANDS bands. A window without any shingle of any template cannot meet
-    one, so signatures are worked out for the others only; whole texts are
-    read. NULL and empty texts have no notices; a NULL id is reported as it
-    is; equal rows are reported alike, each for itself.
+    of BANDS bands. A run that holds enough of a notice has a window with
+    crowded() shingles of it, so signatures are worked out for windows with as
+    many shingles of any template; whole texts are read. Only those windows
+    and the places of template shingles are kept of a text. NULL and empty
+    texts have no notices; a NULL id is reported as it is; equal rows are
+    reported alike, each for itself; without rows there are no notices. Other
+    columns may have any names.
     """
     spark = docs.sparkSession
     known = templates(spark, texts)
     # The templates' shingles come from a list in the code: a bounded set.
-    listed = sorted({s for r in known.select("shingles").collect() for s in r[0]})
+    lists = known.select("words", "shingles").collect()
+    listed = sorted({s for r in lists for s in r["shingles"]})
+    need = min((crowded(r["words"], len(r["shingles"])) for r in lists), default=1)
+    size = WINDOW - SHINGLE + 1
     rows = docs.select(F.col(id_col).alias("id"), shingles(tokens(F.col(text_col).cast("string"))).alias("s"))
     hit = F.filter(F.transform(F.col("s"), lambda x, i: F.when(x.isin(listed), i)), lambda i: i.isNotNull())
-    rows = rows.select("id", "s", hit.alias("hit")).where(F.size("hit") > 0)
-    # Only texts with such shingles go on, with the stretches around them.
-    rows, _ = stored(rows.withColumn("row", F.monotonically_increasing_id()))
-    first = F.array_distinct(F.flatten(F.transform(F.col("hit"), lambda i: F.filter(
-        F.array(F.floor(i / STEP) - 1, F.floor(i / STEP)), lambda w: w >= 0))))
-    size = WINDOW - SHINGLE + 1
-    cut = F.slice(F.col("s"), (F.col("w") * STEP + 1).cast("int"), size)
-    seen = (rows.select("row", "s", F.explode(first).alias("w")).select("row", F.explode(bands(cut)).alias("b")))
+    rows = rows.select("id", "s", hit.alias("hit")).where(F.size("hit") >= need)
+
+    def around(i: Column, j: Column) -> Column:
+        """Windows that hold this hit and the next ones, ``need`` in all."""
+        last = F.get(F.col("hit"), j + (need - 1))
+        lo = F.greatest(F.ceil((last - size + 1) / STEP), F.lit(0)).cast("int")
+        hi = F.floor(i / STEP).cast("int")
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    windows = F.array_distinct(F.flatten(F.transform("hit", around)))
+    rows = rows.withColumn("w", windows).where(F.size("w") > 0)
+    # of the texts only stretches around hits go on
+    rows, _ = stored(rows.select(
+        "id", F.monotonically_increasing_id().alias("row"),
+        F.transform("hit", lambda i: F.struct(i.alias("i"), F.get(F.col("s"), i).alias("s"))).alias("hits"),
+        F.transform("w", lambda w: F.slice(F.col("s"), w * STEP + 1, size)).alias("cuts")))
+    seen = rows.select("row", F.explode("cuts").alias("cut")).select("row", F.explode(bands(F.col("cut"))).alias("b"))
     stretch = WINDOW - STEP + 1 - SHINGLE + 1
     of_template = known.select("template", F.col("shingles").alias("s")).select("template", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("s") - stretch + 1, F.lit(1))), lambda i: F.slice(F.col("s"), i, stretch))).alias("cut"))
     posted = of_template.select("template", F.explode(bands(F.col("cut"))).alias("b")).distinct()
     met = seen.join(posted, "b").select("row", "template").distinct()
-    pairs = rows.join(met, "row").join(F.broadcast(known.select("template", "license", "words", F.col("shingles").alias("t"))), "template")
-    # Runs that start at a shingle of the template hold as much as any other.
+    pairs = rows.select("row", "id", "hits").join(met, "row").join(
+        F.broadcast(known.select("template", "license", "words", F.col("shingles").alias("t"))), "template")
+    # Runs that start at a shingle of the template hold as much as any other, and as many hits as they are long at most.
     span = (F.ceil(F.col("words") * 1.25) - SHINGLE + 1).cast("int")
-    starts = F.filter(F.col("hit"), lambda i: F.array_contains(F.col("t"), F.get(F.col("s"), i)))
-    held = F.transform(starts, lambda i: F.size(F.array_intersect(F.slice(F.col("s"), i + 1, span), F.col("t"))) / F.size("t"))
-    found = pairs.select("id", "template", "license", held.alias("held")).select(
+    mine = F.filter("hits", lambda h: F.array_contains(F.col("t"), h["s"]))
+    held = F.transform("mine", lambda x, j: F.size(F.array_distinct(F.transform(F.filter(
+        F.slice(F.col("mine"), j + 1, span), lambda y: y["i"] < x["i"] + span), lambda y: y["s"]))) / F.size("t"))
+    found = pairs.withColumn("mine", mine).select("id", "template", "license", held.alias("held")).select(
         "id", "template", "license", F.array_max("held").alias("containment"),
         F.size(F.filter("held", lambda x: x >= CONTAINED)).cast("long").alias("n_places"))
     return found.where(F.col("containment") >= CONTAINED).select(
