@@ -120,7 +120,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of_template = known.select("template", F.col("shingles").alias("s")).select("template", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("s") - stretch + 1, F.lit(1))), lambda i: F.slice(F.col("s"), i, stretch))).alias("cut"))
     posted = of_template.select("template", F.explode(bands(F.col("cut"))).alias("b")).distinct()
-    met = seen.join(posted, "b").select("row", "template").distinct()
+    # the notices of the list, a few values per word: small, so the windows' values are looked up where they are made
+    met = seen.join(F.broadcast(posted), "b").select("row", "template").distinct()
     pairs = rows.select("row", "id", "hits").join(met, "row").join(
         F.broadcast(known.select("template", "license", "words", F.col("shingles").alias("t"))), "template")
     # Runs that start at a shingle of the template hold as much as any other, and as many hits as they are long at most.
