@@ -99,7 +99,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     size = WINDOW - SHINGLE + 1
     rows = docs.select(F.col(id_col).alias("id"), shingles(tokens(F.col(text_col).cast("string"))).alias("s"))
     hit = F.filter(F.transform(F.col("s"), lambda x, i: F.when(x.isin(listed), i)), lambda i: i.isNotNull())
-    rows = rows.select("id", "s", hit.alias("hit")).where(F.size("hit") >= need)
+    # the row number also keeps the filters above from working the hits out a second time
+    rows = rows.select("id", F.monotonically_increasing_id().alias("row"), "s", hit.alias("hit")).where(F.size("hit") >= need)
 
     def around(i: Column, j: Column) -> Column:
         """Windows that hold this hit and the next ones, ``need`` in all."""
@@ -112,7 +113,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("w", windows).where(F.size("w") > 0)
     # of the texts only stretches around hits go on
     rows, _ = stored(rows.select(
-        "id", F.monotonically_increasing_id().alias("row"),
+        "id", "row",
         F.transform("hit", lambda i: F.struct(i.alias("i"), F.get(F.col("s"), i).alias("s"))).alias("hits"),
         F.transform("w", lambda w: F.slice(F.col("s"), w * STEP + 1, size)).alias("cuts")))
     seen = rows.select("row", F.explode("cuts").alias("cut")).select("row", F.explode(bands(F.col("cut"))).alias("b"))
