@@ -4,27 +4,31 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+# Values end at their quote, unquoted ones at white space; what opens a quote and never closes it ends with the tag.
+_ATTRS = r"(?>=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?|[^>=])*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|xmp)(?=[\s/>]){_ATTRS}(?:>|\Z).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|[^<]+|<", re.S | re.I)
-_NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_NAMED = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
-                   "s samp small span strike strong sub sup time tt u var wbr".split())
+                   "s samp small span strike strong sub sup time tt u var wbr "
+                   "math semantics mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover".split())
 PARAGRAPH = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption".split())
 # Never part of a text, whatever they are called.
 NEVER = frozenset("nav footer aside form button select option input menu dialog object applet audio video canvas map "
-                  "head script style noscript template iframe svg math".split())
+                  "head script style noscript template iframe svg annotation".split())
 # Words in class, id or role that mark furniture, and those that mark the text itself.
 FURNITURE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner nav navbar "
@@ -34,6 +38,10 @@ FURNITURE = frozenset(
     "recommended recommendations widget widgets teaser skip toc hidden".split())
 READERS = frozenset("comment comments commentlist disqus guestbook".split())
 TEXT = frozenset("article content main post story entry body text page wrapper container".split())
+# A name of one of these and words like those below is the readers' part; of several comments, also with a word for the text.
+AROUND = frozenset("user users reader readers visitor visitors body thread threads text content wrapper container".split())
+# Furniture that a word for text beside it doesn't excuse, as in "cookie-consent-text".
+SURELY = frozenset("cookie cookies consent gdpr newsletter advert adverts advertisement advertising".split())
 # These may as well name a section of a text.
 TALK = frozenset("reply replies respond discussion reviews".split())
 # Words that go with those in a name of furniture, as in "ad-box-2"; other words make it another name.
@@ -44,16 +52,21 @@ _LISTS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"d
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
 
+_KNOWN = FURNITURE | READERS | TALK | BESIDE
+
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "size", "linked", "commas", "score", "para", "lost", "named")
+    __slots__ = ("tag", "up", "kids", "size", "linked", "commas", "score", "here", "near", "far", "para", "lost", "named",
+                 "in_text", "quoted")
 
     def __init__(self, tag: str, up: "Node | None") -> None:
         self.tag, self.up, self.kids = tag, up, []
         self.size = self.linked = self.commas = 0
-        self.score, self.para = 0.0, False
+        self.score = self.here = self.near = self.far = 0.0
+        self.para = self.named = False
         self.lost = up is not None and up.lost
-        self.named = False
+        self.in_text = up is not None and (up.in_text or up.tag in ("article", "main"))
+        self.quoted = up is not None and (up.quoted or up.tag == "blockquote")
 
 
 def _furniture(tag: str, attrs: str, in_text: bool) -> tuple[bool, bool]:
@@ -83,11 +96,12 @@ def _furniture(tag: str, attrs: str, in_text: bool) -> tuple[bool, bool]:
                 parts |= own
     if in_text and tag in PARAGRAPH:
         return False, named
-    known = FURNITURE | READERS | TALK | BESIDE
-    if any(n & READERS and n <= known for n in names):
+    if any(n & READERS and n <= (_KNOWN | AROUND | TEXT if n & READERS != {"comment"} else _KNOWN | AROUND) for n in names):
         return True, False
+    if any(n & SURELY and n <= _KNOWN | AROUND for n in names):
+        return False, True
     marks = FURNITURE if in_text else FURNITURE | TALK
-    marked = any(n & marks and n <= known for n in names)
+    marked = any(n & marks and n <= _KNOWN for n in names)
     return False, named or marked and not parts & TEXT and tag not in ("article", "main")
 
 
@@ -95,6 +109,16 @@ def parse(page: str) -> list[Node]:
     """The page's elements in order, parents first, without those that are furniture for certain."""
     root = Node("#root", None)
     nodes, now = [root], root
+    # how many elements of each tag are open: an end tag or list item that has nothing to end walks nowhere
+    opened: Counter[str] = Counter()
+
+    def leave(to: Node) -> Node:
+        at = now
+        while at is not to:
+            opened[at.tag] -= 1
+            at = at.up
+        return to
+
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
         if tag is None:
@@ -104,52 +128,54 @@ def parse(page: str) -> list[Node]:
             continue
         tag = tag.lower()
         if m["end"]:
-            at = now
+            at = now if opened[tag] else root
             while at.up is not None and at.tag != tag:
                 if tag in INLINE and at.tag not in INLINE:
                     at = root
                     break
                 at = at.up
             if at.up is not None:
-                now = at.up
+                now = leave(at.up)
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
                 now.kids.append(" " if tag == "br" else Node("hr", now))
             continue
         if tag not in INLINE:
+            ends = at = now
             if tag in _LISTS:
-                ends, within = _LISTS[tag]
-                at = now
-                while at.up is not None and at.tag not in within:
-                    if at.tag in ends:
-                        now = at.up
+                ended, within = _LISTS[tag]
+                while at.up is not None and at.tag not in within and any(opened[t] for t in ended):
+                    if at.tag in ended:
+                        ends = at.up
                     at = at.up
             else:
-                at = now
                 while at.up is not None and (at.tag in INLINE or at.tag == "p"):
                     if at.tag == "p":
-                        now = at.up
+                        ends = at.up
                     at = at.up
-        in_text, at = False, now
-        while at.up is not None and not in_text:
-            in_text = at.tag in ("article", "main")
-            at = at.up
+            now = leave(ends)
         node = Node(tag, now)
-        if not node.lost:
-            node.lost, node.named = _furniture(tag, m["attrs"], in_text)
+        if not node.lost and not (tag == "footer" and node.quoted):
+            node.lost, node.named = _furniture(tag, m["attrs"], node.in_text)
         if not node.lost:
             now.kids.append(node)
             nodes.append(node)
+        opened[tag] += 1
         now = node
     return nodes
 
 
 def _measure(nodes: list[Node]) -> None:
-    """Sizes from the leaves up, then points from the paragraphs up."""
+    """Sizes and points from the leaves up, each element once.
+
+    A paragraph's points count whole for its box, half for the box around it,
+    then a sixth, and by a third less with each level further out.
+    """
     for n in nodes:
         n.size = n.linked = n.commas = 0
-        n.score, n.para = 0.0, False
+        n.here = n.near = n.far = 0.0
+        n.para = False
     for n in reversed(nodes):
         para = False
         for k in n.kids:
@@ -161,26 +187,21 @@ def _measure(nodes: list[Node]) -> None:
                 n.size += k.size
                 n.linked += k.linked
                 n.commas += k.commas
+                n.near += k.here
+                n.far += k.near / 6 + k.far * 2 / 3
                 para = para or k.para
         if n.tag == "a":
             n.linked = n.size
         n.para = para or n.tag in PARAGRAPH and n.size > 0
-        if not n.size or para:
-            continue
         # The innermost paragraphs count, and loose text counts for its own box.
-        if n.tag in PARAGRAPH:
-            at = n.up
-        elif n.tag not in INLINE and any(isinstance(k, str) and k.strip() for k in n.kids):
-            at = n
-        else:
-            continue
-        points, level = 1 + n.commas + min(n.size / 100, 3), 0
-        while at is not None:
-            at.score += points / (1, 2)[level] if level < 2 else points / (3 * level)
-            at, level = at.up, level + 1
-    for n in nodes:
-        if n.size:
-            n.score *= 1 - n.linked / n.size
+        if n.size and not para:
+            points = 1 + n.commas + min(n.size / 100, 3)
+            if n.tag in PARAGRAPH:
+                if n.up is not None:
+                    n.up.here += points
+            elif n.tag not in INLINE and any(isinstance(k, str) and k.strip() for k in n.kids):
+                n.here += points
+        n.score = (n.here + n.near / 2 + n.far) * (1 - n.linked / n.size if n.size else 1)
 
 
 def _named_gone(nodes: list[Node]) -> list[Node]:
@@ -217,10 +238,26 @@ def _named_gone(nodes: list[Node]) -> list[Node]:
 
 
 def _chosen(nodes: list[Node]) -> list[Node]:
-    """The best container, widened to the article it lies in, and the siblings that go with it."""
+    """The best container, widened to the article it lies in, and the siblings that go with it.
+
+    A page with a main part, or with one article, has its container there
+    whatever outweighs it, unless that part is links or has no paragraph; of
+    what stands beside it, only headings, paragraphs and the like go with it.
+    """
     boxes = [n for n in nodes if n.tag not in INLINE and n.tag not in PARAGRAPH and n.size and n.score > 0]
     if not boxes:
         return []
+    alone = False
+    for tag in ("main", "article"):
+        parts = [n for n in nodes if n.tag == tag and n.para and n.score > 0 and n.linked < n.size / 2]
+        parts = [n for n in parts if not n.in_text or tag == "main"]
+        if len(parts) == 1:
+            inside = {parts[0]}
+            for n in nodes:
+                if n.up in inside:
+                    inside.add(n)
+            boxes, alone = [n for n in boxes if n in inside], True
+            break
     best = max(boxes, key=lambda n: n.score)
     at, article = best, None
     while at is not None:
@@ -237,7 +274,7 @@ def _chosen(nodes: list[Node]) -> list[Node]:
             continue
         share = k.linked / k.size if k.size else 1.0
         if k is best or (k.tag == best.tag == "article" or k.tag not in ("article", "main")) and k.size and (
-                k.score >= max(10, best.score / 5) and share < 0.5
+                not alone and k.score >= max(10, best.score / 5) and share < 0.5
                 or k.tag in PARAGRAPH and share < 0.25):
             out.append(k)
     return out
@@ -277,9 +314,10 @@ def extract(page: str) -> str:
 def main_text(pages: DataFrame, html_col: str = "html", id_cols: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """One row per page: the id columns, text and n_chars (code points).
 
-    NULL, empty and text-free pages give an empty text. Rows are worked on
-    where they are, without a shuffle; equal rows give equal results. Columns
-    other than the id columns are left out.
+    NULL, empty and text-free pages give an empty text, an empty table gives an
+    empty result. Rows are worked on where they are, without a shuffle; equal
+    rows give equal results, a NULL id is kept. Long pages take time in
+    proportion to their length. Columns other than the id columns are left out.
     """
     source = pages.select(*id_cols, pages[html_col].cast("string").alias("__html"))
     schema = ", ".join(f"`{n}` {t}" for n, t in source.drop("__html").dtypes) + ", text string, n_chars long"

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,11 +130,47 @@ def test_main_text_keeps_what_only_sounds_like_furniture(page, text):
     assert main_text.extract(page) == text
 
 
+CHAT = "<p>I, for one, think, as ever, that this, all of it, is, well, what it is, and more.</p>" * 9
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article>{BODY}</article><div id='user-comments'>{CHAT}</div>", LINES),
+    (f"<article>{BODY}</article><div class='cookie-consent-text'>{CHAT}</div>", LINES),
+    (f"<article>{BODY}</article><div class=unheard-of>{CHAT}</div>", LINES),
+    (f"<main><div>{BODY}</div></main><div class=unheard-of>{CHAT}</div>", LINES),
+    (f"<article>{BODY}<div class='comment-body'>{CHAT}</div><div id=user-comments><p>Hm.</p></div>"
+     f"<section class=article-comments>{CHAT}</section></article>", LINES),
+    (f"<article>{BODY}<section class=comment-on-rates><p>Rates rose.</p></section></article>", LINES + "\nRates rose."),
+    (f"<div><p>x <a href=1>a</a></p></div><div>{CHAT}</div><article><a href=2>Read on</a></article>",
+     "\n".join([CHAT[3:].split("</p>")[0]] * 9)),
+    (f"<article>{BODY}<p><a href=/it's>link</a></p><p>I don't know > that</p></article>", LINES + "\nlink\nI don't know > that"),
+    (f'<article>{BODY}<p title="abc>Open</p></article>', LINES + "\nOpen"),
+    (f"<article>{BODY}<p a = 'x>y' b=\"'>\" c>Closed</p></article>", LINES + "\nClosed"),
+    (f"<article>{BODY}<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p></article>", LINES + "\nLet x=2 hold."),
+    (f"<article>{BODY}<blockquote><p>So it is.</p><footer>A reader</footer></blockquote><footer>(c)</footer></article>",
+     LINES + "\nSo it is.\nA reader"),
+])
+def test_main_text_isnt_lost_to_its_surroundings(page, text):
+    assert main_text.extract(page) == text
+
+
+@pytest.mark.parametrize("open_tag", ["<div>", "<div><p>", "<ul><li>", "<b>", "<span></i>", "<div></x>", "<p a='", "<p a=b"])
+def test_main_text_takes_linear_time(open_tag):
+    start = time.process_time()
+    main_text.extract(open_tag * 30_000 + "<p>Deep, text</p>")
+    assert time.process_time() - start < 5
+
+
+def test_main_text_of_deep_pages():
+    assert main_text.extract("<div>" * 100_000 + "<p>Deep, text</p>") == "Deep, text"
+
+
 def test_pages_null_empty_repeated_and_long(spark):
     long = "<article>" + "<p>word, word</p>" * 20_000 + "</article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", PAGES["plain"][0]), (3, "u", PAGES["plain"][0]), (None, "u", long), (5, "u", "<div>" * 3000 + "deep")]
     got = main_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(9))).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 20_000 * 11 - 1), (1, 0), (2, 0), (3, 13), (3, 13), (5, 4)]
+    assert main_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
 def test_encoding_equals_the_library(docs):
