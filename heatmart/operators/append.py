@@ -1,4 +1,9 @@
-"""Idempotent appends: what of a new batch is not stored yet."""
+"""Idempotent appends: what of a new batch is not stored yet.
+
+Stored keys that the batch cannot hold go before the shuffle (operators.membership), so
+what is shuffled grows with the batch, not with the stored window. The batch is read
+twice: give it stored, or cheap to read.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heatmart.functions.dates import since_days
 from heatmart.functions.text import midnight_text, reading_hash, stored_code
 from heatmart.operators.dedup import ascending, first_per_key
+from heatmart.operators.membership import may_hold
 
 
 def _key_texts(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
@@ -25,7 +31,7 @@ def _key_texts(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
 def _unknown(df: DataFrame, known: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """First row of each key that ``known`` lacks."""
     keyed, names = _key_texts(df, key)
-    stored = _key_texts(known, key)[0].select(*names).distinct()
+    stored = may_hold(_key_texts(known, key)[0].select(*names), keyed, names).distinct()
     return first_per_key(keyed, names, order).join(stored, names, "left_anti").drop(*names)
 
 
@@ -60,8 +66,8 @@ def ingest_counts(batch: DataFrame, stored: DataFrame, as_of: date | None = None
     """Received, new and skipped readings of a run, from per-key counts."""
     keyed, names = _key_texts(_keyed(batch), KEY)
     copies = keyed.groupBy(*names).agg(F.count("*").alias("copies"))
-    known = (_key_texts(stored_keys(stored, as_of, lookback), KEY)[0].select(*names).distinct()
-             .withColumn("_known", F.lit(True)))
+    known = _key_texts(stored_keys(stored, as_of, lookback), KEY)[0].select(*names)
+    known = may_hold(known, keyed, names).distinct().withColumn("_known", F.lit(True))
     return copies.join(known, names, "left").agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("received"),
         F.count_if(F.col("_known").isNull()).alias("inserted"),
@@ -81,7 +87,9 @@ def new_by_hash(batch: DataFrame, stored: DataFrame, first: date | None = None,
     if last is not None:
         stored = stored.where(day <= F.lit(last))
     known = stored.select(midnight_text(F.col("time")).alias("_time"),
-                          F.col("nom_poi").alias("_name")).distinct()
+                          F.col("nom_poi").alias("_name"))
+    keys = batch.select(midnight_text(F.col("time")).alias("_time"), F.col("nom_poi").alias("_name"))
+    known = may_hold(known, keys, ["_time", "_name"]).distinct()
     same = (midnight_text(F.col("time")) == F.col("_time")) & (F.col("nom_poi") == F.col("_name"))
     return (batch.join(known, same, "left_anti")
             .withColumn("row_hash", reading_hash(F.col("time"), F.col("nom_poi"))))
@@ -105,8 +113,8 @@ def missing_keys(locations: DataFrame, stored: DataFrame, first: date, last: dat
     """(day, code) of the window that are not stored."""
     known = (stored.where(F.to_date("time").between(F.lit(first), F.lit(last)))
              .select(F.to_date("time").alias("date"),
-                     stored_code(F.col("nom_poi")).alias("code_insee")).distinct())
-    return expected_keys(locations, first, last).join(known, ["date", "code_insee"], "left_anti")
+                     stored_code(F.col("nom_poi")).alias("code_insee")))
+    return expected_keys(locations, first, last).join(known.distinct(), ["date", "code_insee"], "left_anti")
 
 
 def batch_gate(batch: DataFrame, column: str = "temperature_2m_max",
