@@ -12,7 +12,7 @@ from checks import adapters as A
 from heatmart import schemas
 from heatmart.functions import dates, text
 from heatmart.operators import (
-    analytics, append, dedup, health, presence, quality, resolve, runs, scale, states, stats)
+    analytics, append, dedup, gate, health, presence, quality, resolve, runs, scale, states, stats)
 from heatmart.plans import build, marts, staging
 from heatmart.sources import landing, raw as scan, runlog, sinks, versions
 from heatmart.streaming import incremental
@@ -807,6 +807,30 @@ def q_declared_checks(spark, d):
     return quality.run_checks("fct_daily", fact, checks)
 
 
+def _written_fact(spark, d) -> tuple[DataFrame, str]:
+    """The fact written with its checks: their answers, and the folder of the rows that fail."""
+    folder = _stream_folder(spark)
+    communes = staging.stg_communes(A.raw_communes(spark, d))
+    checks = quality.Checks(
+        not_null=quality.DECLARED["fct_daily"].not_null + ["temperature_max"],
+        unique=quality.DECLARED["fct_daily"].unique, ranges=quality.RANGES,
+        no_sentinel=["pression_moyenne"], more_than={"code_insee": 350})
+    found = gate.write_checked(marts.fct_daily(staging.stg_weather(A.raw_weather(spark, d), communes)),
+                               "fct_daily", checks, f"{folder}/fact", f"{folder}/quarantine")
+    return found, f"{folder}/quarantine"
+
+
+@query
+def q_checked_write(spark, d):
+    return _written_fact(spark, d)[0]
+
+
+@query
+def q_quarantine(spark, d):
+    return spark.read.parquet(_written_fact(spark, d)[1]).select(
+        "date", "code_insee", "temperature_max", F.array_join("reasons", ", ").alias("reasons"))
+
+
 # ---- models ------------------------------------------------------------------
 
 

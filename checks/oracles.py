@@ -750,6 +750,17 @@ SQL["q_declared_checks"] = f"WITH {BUILT} " + " UNION ALL ".join(
        _check("fct_daily", "(SELECT date, code_insee FROM fact GROUP BY ALL HAVING count(*) > 1)",
               "date, code_insee", "unique", "count(*)")])
 
+SQL["q_checked_write"] = SQL["q_declared_checks"]
+SQL["q_quarantine"] = f"""WITH {BUILT}, told AS (SELECT *, concat_ws(', ',
+  CASE WHEN code_insee IS NULL THEN 'code_insee not_null' END,
+  CASE WHEN date IS NULL THEN 'date not_null' END,
+  CASE WHEN temperature_max IS NULL THEN 'temperature_max not_null' END,
+  CASE WHEN temperature_moyenne NOT BETWEEN -30 AND 45 THEN 'temperature_moyenne range' END,
+  CASE WHEN humidite_moyenne NOT BETWEEN 0 AND 100 THEN 'humidite_moyenne range' END,
+  CASE WHEN precipitations_totales < 0 THEN 'precipitations_totales range' END,
+  CASE WHEN pression_moyenne IN (-999, -9999) THEN 'pression_moyenne sentinel' END) AS reasons FROM fact)
+SELECT {day('date')} AS date, code_insee, temperature_max, reasons FROM told WHERE reasons <> ''"""
+
 # ---- models ----------------------------------------------------------------------
 
 SQL["m_stg_communes"] = f"WITH {RAW_COMMUNES}, {LISTED}, {COMMUNES} SELECT * FROM communes"

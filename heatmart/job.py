@@ -3,13 +3,13 @@
   job.py ingest  --payloads DIR --locations DIR --raw-weather DIR --as-of 2026-09-01
   job.py history --payloads DIR --locations DIR --raw-weather DIR --first DAY --last DAY
   job.py build   --weather DIR --communes DIR --heat DIR --winter DIR --root DIR
-                 [--since 2026-07-01]
+                 [--since 2026-07-01 | --checked]
   job.py merge   --weather DIR --root DIR
   job.py check   --root DIR [--communes-over 350]
   job.py report  --root DIR --name heat_days_by_year [--out DIR] [--rows 100]
                  [--since 2015-01-01] [--from-year 2015] [--to-year 2025] [--states]
 
-build --since stages only the months from that day on; merge takes readings of any days, late and repeated ones
+build --since stages only the months from that day on; --checked answers the checks while the tables are written; merge takes readings of any days, late and repeated ones
 included. report --states reads the monthly states or the days' bitmaps instead of the fact, where the report has such a
 form. Without --out a report prints its first rows and how many there are. Years and
 days are unbounded unless given.
@@ -113,17 +113,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         if args.since:
             build.update(spark, build.Raw(*raw), args.root, args.since)
         else:
-            build.build(spark, build.Raw(*raw), args.root)
-        return 0
+            build.build(spark, build.Raw(*raw), args.root, args.checked)
+        return tell(build.answered(spark, args.root)) if args.checked else 0
     if args.command == "merge":
         build.merge(spark, spark.read.schema(schemas.RAW_WEATHER).parquet(args.weather), args.root)
         return 0
     tables = build.load(spark, args.root)
     if args.command == "check":
-        found = build.check(tables, args.communes_over).collect()
-        for r in found:
-            print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
-        return int(any(r.status == "fail" for r in found))
+        return tell(build.check(tables, args.communes_over))
     if args.states and args.name in PRESENCE_REPORTS:
         result = PRESENCE_REPORTS[args.name](*build.daily_presence(spark, args.root))
     elif args.states:
@@ -140,6 +137,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def tell(answers) -> int:
+    """Print the answers of checks, some dozens; 1 if any failed."""
+    found = answers.collect()
+    for r in found:
+        print(f"{r.status} {r.model}.{r.column} {r.check}: {r.violations}")
+    return int(any(r.status == "fail" for r in found))
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="heatmart.job")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -157,6 +162,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     report.add_argument("--rows", type=int, default=100, help="rows to print without --out")
     for name in ("build", "report"):
         commands.choices[name].add_argument("--since", type=date.fromisoformat)
+    commands.choices["build"].add_argument("--checked", action="store_true")
     commands.choices["check"].add_argument("--communes-over", type=int, default=350)
     report.add_argument("--states", action="store_true")
     report.add_argument("--from-year", type=int, default=1)
@@ -165,6 +171,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         command.add_argument("--input-gb", type=int, default=0,
                              help="size of the input, if it should not be measured")
     chosen = parser.parse_args(argv)
+    if getattr(chosen, "checked", False) and chosen.since:
+        parser.error("--checked goes with a full build; check reads the tables of any")
     if getattr(chosen, "states", False) and (
             chosen.name not in {**STATE_REPORTS, **PRESENCE_REPORTS} or chosen.since):
         parser.error("--states answers " + ", ".join(sorted({**STATE_REPORTS, **PRESENCE_REPORTS})) + ", over all days")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heatmart.operators import presence, states
+from heatmart.operators import gate, presence, states
 from heatmart.operators.quality import DECLARED, run_checks
 from heatmart.operators.scale import cut_lineage, released
 from heatmart.plans import marts, staging
@@ -15,6 +16,8 @@ from heatmart.sources import changes, versions
 from heatmart.sources.sinks import rebuild, rebuild_by_month, rebuild_from
 
 
+# Folders of the checks answered while building, and of the rows that failed them, by model.
+CHECKS, QUARANTINE = "checks", "quarantine"
 # Folders of the monthly states and of the days' bitmaps, published version by version; and of the numbers of places.
 STATES, PRESENCE, PLACES = "states", "presence", "places"
 KEY = ["date", "code_insee"]
@@ -29,17 +32,24 @@ class Raw:
 
 
 @released()
-def build(spark: SparkSession, raw: Raw, root: str) -> dict[str, DataFrame]:
+def build(spark: SparkSession, raw: Raw, root: str, checked: bool = False) -> dict[str, DataFrame]:
     """Full rebuild under ``root``; returns the stored tables by name.
 
     A stored table has a known size, so Catalyst decides itself whether to
-    broadcast it, and a lost executor never leads back to the raw data.
+    broadcast it, and a lost executor never leads back to the raw data. With
+    ``checked`` the declared checks are answered while the tables are written
+    (see answered()), and rows that fail are copied aside.
     """
     stored: dict[str, DataFrame] = {}
+    answers: list[DataFrame] = []
 
     def keep(name: str, df: DataFrame, write=rebuild) -> DataFrame:
         path = f"{root.rstrip('/')}/{name}"
-        write(df, path)
+        if checked and name in DECLARED:
+            answers.append(gate.write_checked(df, name, DECLARED[name], path,
+                                              f"{root.rstrip('/')}/{QUARANTINE}/{name}", write, stored))
+        else:
+            write(df, path)
         stored[name] = spark.read.parquet(path)
         return stored[name]
 
@@ -56,9 +66,16 @@ def build(spark: SparkSession, raw: Raw, root: str) -> dict[str, DataFrame]:
     versions.publish(states.states(panel), f"{at}/{STATES}")
     rebuild(presence.numbered_places(communes), f"{at}/{PLACES}")
     versions.publish(presence.presence(panel, spark.read.parquet(f"{at}/{PLACES}")), f"{at}/{PRESENCE}")
+    if checked:
+        rebuild(reduce(DataFrame.unionByName, answers).coalesce(1), f"{at}/{CHECKS}")
     return stored
 
 
+def answered(spark: SparkSession, root: str) -> DataFrame:
+    """What check() tells, as the last checked build found it, without reading its tables again."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{CHECKS}")
+
+
 @released()
 def update(spark: SparkSession, raw: Raw, root: str, since: date) -> dict[str, DataFrame]:
     """Incremental build under ``root``: readings are staged anew from the month of ``since`` on.
