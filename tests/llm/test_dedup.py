@@ -8,7 +8,7 @@ import re
 
 import numpy as np
 
-from heatmart.llm import embedding_dedup, minhash_dedup, repeats
+from heatmart.llm import common, embedding_dedup, minhash_dedup, repeats
 from heatmart.llm.components import components
 from heatmart.llm.hnsw import Graph
 
@@ -71,6 +71,32 @@ def test_near_texts_with_edits_copies_and_edge_cases(docs):
     check_texts(docs, rows)
 
 
+def thue_morse(letters, doublings):
+    word = letters[0]
+    for _ in range(doublings):
+        word += word.translate(str.maketrans(letters, letters[::-1]))
+    return word
+
+
+def test_mixed_hashes_tell_words_apart():
+    rng = random.Random(6)
+    some = ["".join(rng.choice("abAB\0é") for _ in range(rng.randrange(1, 28))) for _ in range(3000)]
+    some += [thue_morse(p, n) for p in ("ab", "ba") for n in range(1, 14)] + ["x" * n for n in range(1, 70)]
+    some += ["a" * 8 + "b" * 8, "b" * 8 + "a" * 8, "a" * 16, "a" * 8 + "\0" * 8]
+    texts = [" ".join(some[:50]), "", *some[50:], " "]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    hashes, first = common.mixed_word_hashes(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    low = [w.encode().lower() for w in some]
+    assert len(hashes) == len(low) and first[1] == first[2] == 50
+    assert len(set(hashes.tolist())) == len(set(low)) == len(set(zip(low, hashes.tolist())))
+    assert [len(x) for x in common.mixed_word_hashes(np.zeros(0, np.uint8), np.zeros(2, np.int64))] == [0, 2]
+
+
+def test_mirrored_words_of_few_letters_are_not_copies(docs):
+    check_texts(docs, [(1, thue_morse("ab", 10)), (2, thue_morse("ba", 10)), (3, thue_morse("ab", 10).upper())])
+
+
 def test_large_group_of_near_copies_with_stragglers(docs):
     rng = random.Random(2)
     base = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
