@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import adapters
 from heatmart.operators import gate, quality
+from heatmart.plans import build
 from heatmart.sources.sinks import rebuild_by_month
 from support import rows
 
@@ -57,3 +59,11 @@ def test_values_observed_never_exceed_the_distinct_ones(spark):
     seen = spark.range(200_000).select((F.col("id") % 500).alias("k")).agg(gate._at_least("k").alias("n")).first().n
     assert 480 <= seen <= 500
     assert spark.createDataFrame([(None,)], "k string").agg(gate._at_least("k")).first()[0] == 0
+
+
+def test_checked_build_answers_what_check_reads(spark, tmp_path):
+    d = "/root/testdata/sf0.001"
+    raw = build.Raw(adapters.raw_weather(spark, d), adapters.raw_communes(spark, d),
+                    adapters.raw_heat_health(spark, d), adapters.raw_winter(spark, d))
+    stored = build.build(spark, raw, str(tmp_path), checked=True)
+    assert rows(build.answered(spark, str(tmp_path))) == rows(build.check(stored))
