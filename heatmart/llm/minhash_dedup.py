@@ -13,9 +13,12 @@ from heatmart.llm.common import U64, byte_chunks, noise, shingle_hashes, stored
 from heatmart.llm.components import components
 
 # Coordinates of a signature, and the probability with which two sets of just
-# the asked similarity may agree on fewer of them than matches() says.
+# the asked similarity may agree on fewer of them than matches() says. Pairs
+# that agree on fewer meet all the same and are compared on full sets, except
+# with probability UNSEEN.
 COORDINATES = 48
 LOSS = 4e-5
+UNSEEN = 1e-12
 # Set sizes within this factor form a class.
 CLASS = 1.03
 
@@ -23,15 +26,15 @@ _XOR, _TIMES = noise(COORDINATES, 41), noise(COORDINATES, 43) | U64(1)
 _TAG = np.arange(COORDINATES, dtype=U64)
 
 
-def matches(percent: float) -> int:
-    """Coordinates that sets of this similarity have in common, except with probability LOSS.
+def matches(percent: float, loss: float = LOSS) -> int:
+    """Coordinates that sets of this similarity have in common, except with probability ``loss``.
 
-    30 of 48 for 85 (3.1e-5 have fewer), 26 for 80 (1.3e-5).
+    30 of 48 for 85 (3.1e-5 have fewer), 26 for 80 (1.3e-5); with UNSEEN 20 and 16.
     """
     p, fewer = min(percent / 100, 1.0), 0.0
     for m in range(COORDINATES):
         fewer += math.comb(COORDINATES, m) * p ** m * (1 - p) ** (COORDINATES - m)
-        if fewer > LOSS:
+        if fewer > loss:
             if not m:
                 raise ValueError(f"{COORDINATES} coordinates are too few for {percent} percent")
             return m
@@ -195,12 +198,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_shingles, component_id, kept.
 
     Rows with equal shingle sets form a class named by its smallest id.
-    Class signatures are posted under each (coordinate, value) of their prefix.
-    In each posting the most shared signature meets all others; common
-    coordinates are counted, pairs with matches(percent) of them are compared on full
-    sets, and components are joined. Postings that then lie in one component
-    are done; what is left in the others goes through an exact prefix join on
-    full sets, so a large group of copies is never compared pair by pair.
+    Class signatures are posted under each (coordinate, value) of their prefix,
+    which is long enough for pairs with fewer common coordinates than
+    matches(percent) to meet as well (UNSEEN). In each posting the most shared
+    signature meets all others; common coordinates are counted, pairs with
+    matches(percent) of them are compared on full sets, and components are
+    joined. Postings that then lie in one component are done; what is left in
+    the others goes through an exact prefix join on full sets, however few
+    coordinates agree, so a large group of copies is never compared pair by pair.
 
     Ids that occur in several rows count as one document. Rows without words
     (NULL, empty) link with nothing; rows without id link with nothing, have a
@@ -210,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_rows, _ = stored(sketches(docs, id_col, text_col, words))
     classes, _ = stored(all_rows.where("id is not null and k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
     reps = (all_rows.where("id is not null").join(classes, ["k1", "k2"]).where("id = rep").select("id", "sig"))
-    live, _ = stored(_postings(reps, matches(percent)))
+    live, _ = stored(_postings(reps, matches(percent, UNSEEN)))
     near, _ = stored(_starred(live, reps, texts, words, percent))
     found = components(near).withColumnRenamed("component_id", "comp")
     live = live.select("key", "id").join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))

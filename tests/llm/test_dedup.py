@@ -127,8 +127,28 @@ def test_isolated_pairs_at_the_limit_of_the_pipeline(spark, docs):
     assert {r.doc_id for r in left.select("doc_id").collect()} == expected
 
 
+def borderline_pair(i, shared):
+    """Two texts of unused words, of 20 shingles and the first ``shared`` of them."""
+    words = [f"s{i}x{k}" for k in range(24)]
+    return " ".join(words), " ".join(words[:shared + 4])
+
+
+def test_pairs_at_the_limit_are_linked_however_few_coordinates_agree(docs):
+    # Found by search: pairs of 17 of 20 shingles that agree on fewer than the 30 asked coordinates.
+    few = [88583, 96905, 128724, 131419, 133339, 261128, 267213, 277388, 285584]
+    rows = [(2 * i + j, t) for i in few for j, t in enumerate(borderline_pair(i, 17))]
+    sig = {r.id: set(r.sig) for r in minhash_dedup.sketches(docs(rows)).collect()}
+    assert max(len(sig[2 * i] & sig[2 * i + 1]) for i in few) < minhash_dedup.matches(85)
+    more = range(300_000, 304_000)
+    shared = {i: 17 - (i % 5 == 0) for i in more}
+    rows += [(2 * i + j, t) for i in more for j, t in enumerate(borderline_pair(i, shared[i]))]
+    left = {r.component_id for r in minhash_dedup.near_duplicates(docs(rows), percent=85).collect()}
+    assert left == {2 * i for i in [*few, *more]} | {2 * i + 1 for i in more if shared[i] == 16}
+
+
 def test_needed_coordinates_follow_the_similarity():
     assert [minhash_dedup.matches(p) for p in (80, 85, 100)] == [26, 30, 48]
+    assert [minhash_dedup.matches(p, minhash_dedup.UNSEEN) for p in (80, 85, 100)] == [16, 20, 48]
     for p in (50, 80, 85, 95):
         fewer = sum(math.comb(48, k) * (p / 100) ** k * (1 - p / 100) ** (48 - k) for k in range(minhash_dedup.matches(p)))
         assert fewer <= minhash_dedup.LOSS
