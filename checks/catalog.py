@@ -120,6 +120,40 @@ def s6_daily_arrays_strict(spark, d):
     return landing.complete_readings(parsed, _locations(spark, d), PAYLOAD)
 
 
+def _drifted(spark, d) -> DataFrame:
+    """One landed payload per event in one of four shapes: a list that also holds a number, a
+    wrapper, a bare location, a text broken off; with a variable and a remark nobody asked for."""
+    body = F.expr("""transform(array(to_json(named_struct('note', event_type, 'daily', named_struct(
+            'time', transform(sequence(0, 1), i -> cast(date_add(to_date(ts), i) as string)),
+            'weather_code', named_struct('unit', 'wmo'),
+            'temperature_2m_mean', array(cast(value as string), 'n/a'),
+            'temperature_2m_max', array(user_id, null),
+            'uv_index_max', array(user_id, event_id))))),
+        one -> case pmod(user_id, 4) when 0 then '[' || one || ', 7]' when 1 then '{"results": [' || one || ']}'
+                    when 2 then one else substring(one, 1, length(one) - 1) end)[0]""")
+    return A.table(spark, d, "events").select(F.col("event_id").alias("batch_id"), body.alias("body"))
+
+
+@query
+def s5_drifted_arrays(spark, d):
+    parsed = landing.parse_payloads(_drifted(spark, d), variables=PAYLOAD)
+    return landing.daily_readings(parsed, _locations(spark, d), PAYLOAD)
+
+
+@query
+def s5_other_variables(spark, d):
+    """Values of the variables that nobody asked for, one row each."""
+    found = landing.other_variables(landing.parse_payloads(_drifted(spark, d), variables=PAYLOAD), PAYLOAD)
+    return found.select("batch_id", "pos", "variable", F.posexplode(
+        F.try_variant_get("values", "$", "array<long>")).alias("i", "value"))
+
+
+@query
+def s5_unreadable(spark, d):
+    """Landed bodies that are no JSON."""
+    return landing.unreadable(_drifted(spark, d)).select("batch_id")
+
+
 def _pages(spark, d) -> DataFrame:
     """One landed page of two health records per customer."""
     return A.table(spark, d, "customer").select(F.expr("""to_json(named_struct('results',

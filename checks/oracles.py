@@ -243,6 +243,19 @@ SQL["s5_daily_arrays"] = f"WITH {_ARRAYS} SELECT * FROM cells"
 SQL["s6_daily_arrays_strict"] = (
     f"WITH {_ARRAYS} SELECT * FROM cells WHERE temperature_2m_mean IS NOT NULL")
 
+SQL["s5_drifted_arrays"] = """
+SELECT strftime(CAST(ts AS DATE) + i, '%Y-%m-%d 00:00:00') AS time, event_id || '-0' AS nom_poi,
+  'Ville ' || user_id AS ville, user_id / 10 AS latitude_poi, 0 / 10 AS longitude_poi,
+  '0' AS numero_departement, CAST(NULL AS DOUBLE) AS weather_code,
+  CASE WHEN i = 0 THEN value END AS temperature_2m_mean,
+  CAST(CASE WHEN i = 0 THEN user_id END AS DOUBLE) AS temperature_2m_max
+FROM events, (VALUES (0), (1)) AS d(i) WHERE user_id % 4 <> 3"""
+SQL["s5_other_variables"] = """
+SELECT event_id AS batch_id, 0 AS pos, 'uv_index_max' AS variable, i,
+  CASE WHEN i = 0 THEN user_id ELSE event_id END AS value
+FROM events, (VALUES (0), (1)) AS d(i) WHERE user_id % 4 <> 3"""
+SQL["s5_unreadable"] = "SELECT event_id AS batch_id FROM events WHERE user_id % 4 = 3"
+
 _RECORD = """SELECT CAST(c_nationkey AS VARCHAR) AS {0}, c_name AS {1}, c_mktsegment AS {2},
   'Île ' || c_mktsegment AS {3}, CAST(2000 + i AS VARCHAR) AS {4}, c_acctbal + i AS {5}
 FROM customer, (VALUES (0), (1)) AS n(i)"""

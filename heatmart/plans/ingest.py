@@ -74,6 +74,7 @@ def daily_weather(landed: DataFrame, locations: DataFrame, path: str, as_of: dat
     locations is refused as a whole.
     """
     spark = landed.sparkSession
+    landed = cut_lineage(landing.opened(landed).select("batch_id", "doc"))
     parsed = landing.parse_payloads(landed)
     unreadable, unmatched = _lost(landed, parsed, locations)
     if unreadable + unmatched > tolerated:
@@ -100,6 +101,7 @@ def history_weather(landed: DataFrame, locations: DataFrame, path: str, first: d
     Refused as daily_weather() is.
     """
     spark = landed.sparkSession
+    landed = cut_lineage(landing.opened(landed).select("batch_id", "doc"))
     parsed = landing.parse_payloads(landed)
     unreadable, unmatched = _lost(landed, parsed, locations)
     if unreadable + unmatched > tolerated:

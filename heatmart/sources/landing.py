@@ -13,26 +13,46 @@ from heatmart.operators.dedup import distinct_records
 LOCATION = ["nom_poi", "ville", "latitude_poi", "longitude_poi", "numero_departement"]
 
 
+def opened(landed: DataFrame, body: str = "body") -> DataFrame:
+    """Landed rows with ``doc``, their body as a variant; NULL where it is missing or no JSON.
+
+    The one place where JSON is parsed; all that follows looks up paths. NaN,
+    which JSON does not know, makes a body unreadable. Rows opened before stay as they are.
+    """
+    if "doc" in landed.columns:
+        return landed
+    return landed.withColumn("doc", F.try_parse_json(F.col(body)))
+
+
 def parse_payloads(landed: DataFrame, body: str = "body",
                    variables: list[str] = schemas.DAILY_VARIABLES) -> DataFrame:
     """Payload texts (with ``batch_id``) to one row per location, with its position.
 
     A payload is a list of locations, a wrapper {"results": [...]}, or one
-    bare location.
+    bare location. Each variable is looked up by itself, as texts, so what has
+    another shape than expected is NULL and costs neither its location nor the
+    payload; ``source`` keeps the location as it came.
     """
-    one = schemas.payload_schema(variables)
-    several = T.ArrayType(one)
-    text = F.col(body)
-    wrapped = F.from_json(text, T.StructType([T.StructField("results", several)])).results
-    found = (F.when(F.ltrim(text).startswith("["), F.from_json(text, several))
-             .when(F.size(wrapped) > 0, wrapped)
-             .otherwise(F.array(F.from_json(text, one))))
-    return landed.select("batch_id", F.posexplode(found).alias("pos", "location"))
+    listed = F.try_variant_get("doc", "$", "array<variant>")
+    wrapped = F.try_variant_get("doc", "$.results", "array<variant>")
+    found = F.coalesce(listed, F.when(F.size(wrapped) > 0, wrapped), F.array("doc"))
+    each = opened(landed, body).select("batch_id", F.posexplode(found).alias("pos", "source"))
+    daily = F.struct(*[F.try_variant_get("source", f"$.daily.{v}", "array<string>").alias(v)
+                       for v in ["time", *variables]])
+    return each.select("batch_id", "pos", F.struct(daily.alias("daily")).alias("location"), "source")
+
+
+def other_variables(parsed: DataFrame,
+                    variables: list[str] = schemas.DAILY_VARIABLES) -> DataFrame:
+    """(batch_id, pos, variable, values) of daily variables that nobody asked for, as variants."""
+    daily = F.try_variant_get("source", "$.daily", "map<string, variant>")
+    return (parsed.select("batch_id", "pos", F.explode(daily).alias("variable", "values"))
+            .where(~F.col("variable").isin("time", *variables)))
 
 
 def unreadable(landed: DataFrame, body: str = "body") -> DataFrame:
     """Landed rows whose body is missing or no JSON; parse_payloads() makes nothing of them."""
-    return landed.where(F.try_parse_json(F.col(body)).isNull())
+    return opened(landed, body).where("doc is null")
 
 
 def unmatched(parsed: DataFrame, locations: DataFrame) -> DataFrame:
@@ -66,11 +86,12 @@ def complete_readings(parsed: DataFrame, locations: DataFrame,
 def parse_pages(landed: DataFrame, record: T.StructType = schemas.HEALTH_RECORD,
                 body: str = "body") -> DataFrame:
     """Page texts to the records of all pages; a page that is no JSON raises an error."""
-    page = T.StructType([T.StructField("results", T.ArrayType(record))])
-    whole = F.when(F.try_parse_json(F.col(body)).isNotNull(), F.col(body)).otherwise(
+    doc = F.col("doc")
+    whole = F.when(doc.isNotNull(), F.try_variant_get(doc, "$.results", "array<variant>")).otherwise(
         F.raise_error(F.concat(F.lit("unreadable page: "), F.coalesce(F.substring(F.col(body), 1, 80), F.lit("NULL")))))
-    return (landed.select(F.from_json(whole, page).results.alias("results"))
-            .select(F.inline("results")))
+    each = opened(landed, body).select(F.explode(whole).alias("record"))
+    return each.select(*[F.try_variant_get("record", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                         for f in record.fields])
 
 
 def read_pages(spark: SparkSession, folder: str,

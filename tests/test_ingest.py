@@ -56,6 +56,23 @@ def test_daily_arrays(parsed, places):
         ("20", 1): (None, 7.0, None), ("20", 2): (None, 8.0, None), ("20", 3): (None, 9.0, None)}
 
 
+def test_payloads_are_parsed_once_and_keep_what_nobody_asked_for(spark, capsys):
+    bodies = [json.dumps([location(temperature_2m_mean=[1], uv_index_max=[5, "x"]), 7, None]), "{broken", None, "null",
+              json.dumps({"results": [location(temperature_2m_mean={"a": 1})]}), '{"daily": {"time": "x", "temperature_2m_mean": [1.50]}}']
+    landed = spark.createDataFrame(list(enumerate(bodies)), "batch_id int, body string")
+    parsed = landing.parse_payloads(landed, variables=VARIABLES)
+    parsed.select("location", "source").explain("extended")
+    assert capsys.readouterr().out.split("== Optimized")[1].split("== Physical")[0].lower().count("parse_json") <= 1
+    got = {(r.batch_id, r.pos): r.location.daily for r in parsed.collect()}
+    assert sorted(got) == [(0, 0), (0, 1), (0, 2), (1, 0), (2, 0), (3, 0), (4, 0), (5, 0)]
+    assert (got[0, 0].time, got[0, 0].temperature_2m_mean) == (DAYS, ["1"]) and got[0, 1].time is None
+    assert (got[4, 0].time, got[4, 0].temperature_2m_mean) == (DAYS, None)
+    assert got[5, 0].time is None and float(got[5, 0].temperature_2m_mean[0]) == 1.5
+    others = landing.other_variables(parsed, VARIABLES).collect()
+    assert [(r.batch_id, r.pos, r.variable, r["values"].toPython()) for r in others] == [(0, 0, "uv_index_max", [5, "x"])]
+    assert sorted(r.batch_id for r in landing.unreadable(landed).collect()) == [1, 2]
+
+
 def test_history_form_skips_days_without_mean(parsed, places):
     assert landing.complete_readings(parsed, places, VARIABLES).count() == 8
 
