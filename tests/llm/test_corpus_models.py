@@ -166,11 +166,25 @@ def test_batches_are_full_and_within_budget(docs):
     assert packing.packed(docs([])).count() == 0
 
 
-def test_steps_round_up_and_stay_few(spark):
-    got = spark.range(1, 300_000, 7).select("id", packing.padded_step(F.col("id")).alias("s")).toPandas()
-    assert ((got.s >= got.id) & (got.s <= got.id * 1.001 + 1)).all()
-    assert (got.s[got.id <= packing.EXACT] == got.id[got.id <= packing.EXACT]).all()
-    assert got.s.nunique() < 2048 + 8 * 1024
+def test_cuts_of_many_long_lengths_are_exact():
+    rng = np.random.default_rng(8)
+    lengths = np.unique(rng.integers(2000, 10 ** 7, 700))
+    counts = rng.integers(1, 10 ** 5, len(lengths))
+    total = np.concatenate([[0], np.cumsum(counts)])
+    best = lengths * total[1:]
+    for k in range(2, 8):
+        # the plain quadratic recurrence
+        best = np.array([min([best[i]] + [best[j - 1] + lengths[i] * (total[i + 1] - total[j]) for j in range(1, i + 1)])
+                         for i in range(len(lengths))])
+        ends = np.array(packing.boundaries(lengths, counts, k))
+        assert len(ends) <= k and (ends[np.searchsorted(ends, lengths)] * counts).sum() == best[-1]
+
+
+def test_equal_rows_without_id_fill_batches(spark):
+    rows = spark.range(0, 100_000, 1, 3).select(F.lit(None).cast("long").alias("doc_id"), F.lit("other").alias("extra"))
+    got = packing.packed(rows, length=F.lit(3000), tokens=30_000).toPandas()
+    assert len(got) == 100_000 and set(got.padded) == {3000} and not got.duplicated(["bucket", "batch", "place"]).any()
+    assert (got.groupby("batch").size() == 10).all() and set(got.batch) == set(range(10_000))
 
 
 def test_pipeline_keeps_columns_and_clean_documents(spark, docs, tmp_path):
