@@ -1,6 +1,8 @@
 """Exact distinct counts from bitmaps: which places and towns each day has.
 
-Places are numbered once, and a day keeps one bit per place and one per town.
+Places are numbered once, and a day keeps one bit per place and one per town,
+in words of 64 numbers. Words that have no bit set are not kept, so there are
+never more of them than readings, and an aggregation holds a few longs per word.
 Sets of several days or loads merge by OR, so counts of any span need neither
 the readings again nor one copy of each reading per counted column. A reading
 replaced by another of its (day, place) leaves the sets as they are.
@@ -13,38 +15,51 @@ from pyspark.sql import Column, DataFrame, functions as F
 from heatmart.operators.scale import cut_lineage
 
 PLACE = ["code_insee", "ville", "departement", "region"]
+# A bitmap holds 2 ** WORD numbers, the bits of a long.
+WORD = 6
 
 
 def numbered_places(table: DataFrame) -> DataFrame:
     """(place, town, code_insee, ville, departement, region): each distinct place with its number and its town's.
 
     Numbers have gaps between partitions, not within; no task sees all places.
+    Both follow the order of towns, so the places of a word lie in few words of
+    towns.
     """
-    places = table.select(*PLACE).distinct()
-    towns = cut_lineage(places.where("ville is not null").select("ville").distinct()
-                        .select(F.col("ville").alias("_ville"), (F.monotonically_increasing_id() + 1).alias("town")))
-    numbered = places.select((F.monotonically_increasing_id() + 1).alias("place"), *PLACE)
-    return cut_lineage(numbered.join(towns, F.col("ville") == F.col("_ville"), "left").drop("_ville"))
+    number = F.monotonically_increasing_id()
+    numbered = cut_lineage(table.select(*PLACE).distinct().orderBy("ville", "code_insee", "departement", "region").select(number.alias("place"), *PLACE))
+    named = numbered.where("ville is not null")
+    towns = cut_lineage(named.select("ville").distinct().orderBy("ville").select("ville", number.alias("town")))
+    nameless = numbered.where("ville is null").withColumn("town", F.lit(None).cast("long"))
+    return cut_lineage(named.join(towns, "ville").unionByName(nameless).select("place", "town", *PLACE))
 
 
 def _or(column: str) -> Column:
-    return F.bitmap_or_agg(column).alias(column)
+    return F.bit_or(column).alias(column)
+
+
+def _part(number: str) -> Column:
+    """The word that a number lies in."""
+    return F.shiftright(number, WORD)
+
+
+def _bit(number: str) -> Column:
+    """A word with this number's bit alone."""
+    return F.expr(f"shiftleft(1L, cast({number} & {2 ** WORD - 1} as int))")
 
 
 def presence(panel: DataFrame, places: DataFrame) -> DataFrame:
     """(date, place_part, town_part, places, towns, lignes): a day's bitmaps, and its rows.
 
-    A bitmap holds 32768 numbers; more places make more parts. With a column
+    A bitmap is a word of 64 numbers; more places make more parts. With a column
     ``sign``, rows that go are subtracted from lignes; they only ever make
     room for a row of the same day and place, so their bits stay.
     """
     sign = F.col("sign") if "sign" in panel.columns else F.lit(1)
     known = places.select("place", "town", *[F.col(c).alias(f"_{c}") for c in PLACE])
     met = panel.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE])
-    return met.groupBy(F.to_date("date").alias("date"), F.bitmap_bucket_number("place").alias("place_part"),
-                       F.bitmap_bucket_number("town").alias("town_part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("places"),
-        F.bitmap_construct_agg(F.bitmap_bit_position("town")).alias("towns"),
+    return met.groupBy(F.to_date("date").alias("date"), _part("place").alias("place_part"), _part("town").alias("town_part")).agg(
+        F.bit_or(_bit("place")).alias("places"), F.bit_or(_bit("town")).alias("towns"),
         F.sum(sign).cast("long").alias("lignes"))
 
 
@@ -53,21 +68,15 @@ def merged(stored: DataFrame, added: DataFrame) -> DataFrame:
         _or("places"), _or("towns"), F.sum("lignes").alias("lignes"))
 
 
-def _bit(bitmap: str, number: str) -> Column:
-    at = F.expr(f"bitmap_bit_position({number})")
-    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
-
-
 def coverage(days: DataFrame, places: DataFrame) -> DataFrame:
     """Size and extent of the panel in one row, as quality.coverage() has it."""
     size = days.agg(F.coalesce(F.sum("lignes"), F.lit(0)).alias("total_lignes"), F.min("date").alias("date_min"), F.max("date").alias("date_max"))
     dates = days.select("date").distinct().agg(F.count("date").alias("nb_jours"))
     towns = days.where("town_part is not null").groupBy("town_part").agg(_or("towns")).agg(
-        F.coalesce(F.sum(F.bitmap_count("towns")), F.lit(0)).alias("nb_communes"))
+        F.coalesce(F.sum(F.bit_count("towns")), F.lit(0)).alias("nb_communes"))
     seen = days.groupBy("place_part").agg(_or("places"))
     # places are a list of a country's, already without readings
-    there = places.join(seen, F.bitmap_bucket_number("place") == F.col("place_part")).where(_bit("places", "place"))
+    there = places.join(seen, _part("place") == F.col("place_part")).where(F.col("places").bitwiseAND(_bit("place")) != 0)
     names = {"nb_codes_insee": "code_insee", "nb_departements": "departement", "nb_regions": "region"}
     entries = F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).alias("v")) for n, c in names.items()])
     values = there.select(F.inline(entries)).where("v is not null").distinct()
@@ -82,8 +91,9 @@ def coverage(days: DataFrame, places: DataFrame) -> DataFrame:
 
 def _towns_by_day(days: DataFrame) -> DataFrame:
     parts = days.groupBy("date", "town_part").agg(_or("towns"), F.sum("lignes").alias("lignes"))
-    # readings without a town have a part of their own, with an empty bitmap
-    return parts.groupBy("date").agg(F.sum(F.bitmap_count("towns")).alias("n"), F.sum("lignes").alias("lignes"))
+    # readings without a town have a part of their own, without a bitmap
+    towns = F.coalesce(F.bit_count("towns"), F.lit(0))
+    return parts.groupBy("date").agg(F.sum(towns).alias("n"), F.sum("lignes").alias("lignes"))
 
 
 def key_uniqueness(days: DataFrame) -> DataFrame:

@@ -104,6 +104,21 @@ def test_presence_equals_counting_distinct(spark):
     assert rows(presence.key_uniqueness(none)) == rows(quality.key_uniqueness(panel.where("false")))
 
 
+def test_bitmaps_take_no_more_than_the_readings_they_stand_for(spark):
+    full = [(date(2020, 1, 1), f"{i:05d}", f"t{i * 7919 % 6400}") for i in range(6400)]
+    r = random.Random(3)
+    few = [(date(2020, 2, 1) + timedelta(days=i % 50), *r.choice(full)[1:]) for i in range(400)]
+    panel = spark.createDataFrame(full + few, "date date, code_insee string, ville string").selectExpr("*", "'Ain' as departement", "'R' as region")
+    places = presence.numbered_places(panel)
+    days = presence.presence(panel, places)
+    # a day that has all places needs some words, one with few places no more than it has readings
+    count = {x["date"]: x["count"] for x in days.groupBy("date").count().collect()}
+    assert count.pop(date(2020, 1, 1)) < 6400 / 16 and sum(count.values()) <= 400
+    assert {t for c, t in days.dtypes if c != "date"} == {"bigint"}
+    for part in (days, presence.merged(days, days), presence.coverage(days, places), presence.key_uniqueness(days)):
+        assert "SortAggregate" not in plan(part)
+
+
 FACT = "date date, code_insee string, temperature_max double, temperature_ressentie_max double, n int"
 
 
