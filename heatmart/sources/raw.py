@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from heatmart.functions.text import collector_code, pad_department, region_key, trim_space
 from heatmart.operators.dedup import ascending, first_per_key
+from heatmart.operators.scale import cut_lineage, spread_nulls
 
 CODE = "`code INSEE`"
 
@@ -49,10 +50,17 @@ def heat_health(raw: DataFrame) -> DataFrame:
 
 
 def winter(raw: DataFrame) -> DataFrame:
-    """Winter-epidemic indicators that are dated and valued."""
-    return present(raw, ["date", "valeur"]).select(
-        "date", "reg", "nom_region", region_key(F.col("nom_region")).alias("region_key"),
-        "sous_chapitre", "theme", "indicateur", "valeur")
+    """Winter-epidemic indicators that are dated and valued.
+
+    A region's key is worked out once per name, not per row: the names are
+    written down first, so Catalyst knows their size.
+    """
+    rows = present(raw, ["date", "valeur"])
+    names = rows.select(F.col("nom_region").alias("_name")).where("_name is not null").distinct()
+    keys = cut_lineage(names.withColumn("region_key", region_key(F.col("_name"))))
+    name = spread_nulls(F.col("nom_region"), F.col("date"), F.col("reg"), F.col("valeur"))
+    return rows.join(keys, name == F.col("_name"), "left").select(
+        "date", "reg", "nom_region", "region_key", "sous_chapitre", "theme", "indicateur", "valeur")
 
 
 def locations(raw: DataFrame) -> DataFrame:

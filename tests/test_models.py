@@ -161,6 +161,20 @@ def test_plan_without_broadcast_stays_an_equi_join(spark, communes):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_region_keys_of_indicators_are_worked_out_per_name(spark):
+    day = date(2024, 1, 1)
+    items = [(day, "84", n, "a", "b", "c", v) for v, n in enumerate(["Île-de-France", None, "Île-de-France", "Réunion", None, "\u0000"])]
+    raw = spark.createDataFrame([*items, (None, "84", "Est", "a", "b", "c", 1), (day, "84", "Sud", "a", "b", "c", None)],
+                                "date date, reg string, nom_region string, sous_chapitre string, theme string, indicateur string, valeur long")
+    got = staging.stg_winter(raw)
+    assert rows(got.select("valeur", "nom_region", "region_key")) == [
+        (0, "Île-de-France", "ILE-DE-FRANCE"), (1, None, None), (2, "Île-de-France", "ILE-DE-FRANCE"),
+        (3, "Réunion", "REUNION"), (4, None, None), (5, "\u0000", "\u0000")]
+    assert got.columns == ["date", "reg", "nom_region", "region_key", "sous_chapitre", "theme", "indicateur", "valeur", "loaded_at"]
+    # folding a name is no part of the plan of the rows
+    assert "translate(" not in plan(got)
+
+
 def test_marts(spark, communes):
     regions = rows(marts.dim_region(communes).select("nom_region", "region_key"))
     assert ("Île-de-France", "ILE-DE-FRANCE") in regions and len(regions) == 7
