@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heatmart.operators.dedup import first_per_key
-from heatmart.operators.scale import exists, remove
+from heatmart.operators.scale import cut_lineage, exists, remove
 from heatmart.sources import versions
 from heatmart.sources.sinks import upsert_months, with_month
 
@@ -47,8 +47,9 @@ def best_changes(fresh: DataFrame, stored: DataFrame | None, keys: list[str], or
     met = stored.join(best.select(*keys), keys, "left_semi")
     both = best.withColumn("_old", F.lit(0)).unionByName(met.withColumn("_old", F.lit(1)), allowMissingColumns=True)
     ranked = first_per_key(both, keys, [*order, F.desc("_old")])
-    come = ranked.where("_old = 0").drop("_old")
-    gone = met.join(come.select(*keys), keys, "left_semi")
+    # worked out once: both parts of the answer read it
+    come = cut_lineage(ranked.where("_old = 0").drop("_old"))
+    gone = stored.join(come.select(*keys), keys, "left_semi")
     return come.withColumn(SIGN, F.lit(1)).unionByName(gone.withColumn(SIGN, F.lit(-1)), allowMissingColumns=True)
 
 

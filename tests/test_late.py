@@ -139,6 +139,14 @@ def test_best_changes_name_what_comes_and_goes(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/t").select(*want.columns)) == rows(want)
 
 
+def test_rows_are_ranked_once_for_what_comes_and_goes(spark):
+    keys, order = ["date", "code_insee"], dedup.best_order(["n"])
+    stored = fact(spark, [((1, 1), "a", None, 1.0, 1), ((1, 2), "a", 3.0, 1.0, 1)])
+    got = changes.best_changes(fact(spark, [((1, 1), "a", 9.0, 1.0, 2), ((1, 2), "a", None, 1.0, 0)]), stored, keys, order)
+    assert rows(got.select("code_insee", "n", "sign")) == [("a", 1, -1), ("a", 2, 1)]
+    assert "Window" not in plan(got)
+
+
 class Broken(Exception):
     pass
 
