@@ -110,7 +110,9 @@ class Rolling:
             self.up, self.down = powers(self.BASE), powers(pow(self.BASE, -1, 2 ** 64))
         letters = self.letters if fold is None else self.letters[fold]
         total = np.zeros(n, U64)
-        np.cumsum(letters[data] * self.up[:n - 1], out=total[1:])
+        value = np.take(letters, data)
+        value *= self.up[:n - 1]
+        np.cumsum(value, out=total[1:])
         return total
 
     def ranges(self, total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -136,7 +138,7 @@ def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> t
     The third array has one entry more than there are texts. ``space`` names the bytes between words.
     """
     gap = np.ones(len(data) + 2, bool)
-    gap[1:-1] = space[data]
+    gap[1:-1] = np.take(space, data)
     inside = ~gap
     edge = offsets[1:-1]
     edge = edge[(edge > 0) & (edge < len(data))]

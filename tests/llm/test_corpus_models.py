@@ -105,6 +105,83 @@ def test_words_of_one_bucket_differ_by_their_counts(spark, docs, monkeypatch):
             assert got[i].log_prob == pytest.approx(expected.sum(), rel=1e-5)
 
 
+def test_as_many_frequent_words_are_sent_as_may_be(spark, docs, monkeypatch):
+    monkeypatch.setattr(masked_lm, "FREQUENT", 200)
+    counts = {f"w{i}": 300 - i for i in range(300)}
+    texts = [" ".join([w] * n) for w, n in counts.items()]
+    flat, words = masked_lm.train(docs(list(enumerate(texts))), rounds=1)
+    assert 190 <= len(words.common) < 200
+    assert sorted(words.times, reverse=True) == sorted(counts.values(), reverse=True)[:len(words.common)]
+    assert words.table.where(F.col("n") >= words.least).count() == len(words.common)
+
+
+def test_lookup_finds_hashes_that_share_their_first_bits():
+    rng = np.random.default_rng(4)
+    known = np.unique(np.concatenate([rng.integers(0, 2 ** 64, 300, np.uint64), np.uint64(7) + np.arange(40, dtype=np.uint64),
+                                      np.array([0, 2 ** 64 - 1], np.uint64)]))
+    place, found = masked_lm.Lookup(known).find(known)
+    assert found.all() and (place == np.arange(len(known))).all()
+    others = np.setdiff1d(np.concatenate([known + np.uint64(1), known - np.uint64(1)]), known)
+    assert not masked_lm.Lookup(known).find(others)[1].any()
+    assert not masked_lm.Lookup(known[:0]).find(known)[1].any()
+
+
+def plain_training(start, words, contexts):
+    """Steps of Adam in double precision, one by one, with the whole softmaxes."""
+    flat, first, second = start.astype(float), 0.0, 0.0
+    for step, i in enumerate(range(0, len(words), masked_lm.BATCH), 1):
+        net, g, own = masked_lm.Net(flat), masked_lm.Net(np.zeros(masked_lm.SIZE)), words[i:i + masked_lm.BATCH]
+        for context, w in zip(contexts[i:i + masked_lm.BATCH], own):
+            x = net.emb[context].ravel()
+            h = np.tanh(x @ net.inner + net.inner_b)
+            back = np.zeros(masked_lm.HIDDEN)
+            k, m = divmod(w, masked_lm.MEMBERS)
+            for of, of_b, to, to_b, hit in ((net.cls[:-1], net.cls_b, g.cls[:-1], g.cls_b, k),
+                                            (net.mem[k, :-1], net.mem_b[k], g.mem[k, :-1], g.mem_b[k], m)):
+                p = np.exp(h @ of + of_b)
+                p /= p.sum()
+                p[hit] -= 1
+                to += np.outer(h, p)
+                to_b += p
+                back += of @ p
+            back *= 1 - h * h
+            g.inner += np.outer(x, back)
+            g.inner_b += back
+            np.add.at(g.emb, context, (net.inner @ back).reshape(-1, masked_lm.WIDTH))
+        slope = g.flat / len(own)
+        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope ** 2
+        flat = flat - masked_lm.RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+    return flat
+
+
+def test_training_takes_the_plain_steps_and_hashes_once(monkeypatch):
+    monkeypatch.setattr(masked_lm, "BATCH", 256)
+    batch = pa.RecordBatch.from_arrays([pa.array([*sentences(12, 3), None, "", "one", " ".join(f"x{i}" for i in range(700))])], ["text"])
+    rank = np.random.default_rng(2).permutation(masked_lm.BUCKETS)
+    start = masked_lm.Net.start(np.arange(masked_lm.BUCKETS, 0, -1.0)).flat
+
+    def weights(batches):
+        return np.concatenate([b.column(1).to_numpy() / b.column(2).to_numpy() for b in masked_lm._trained(start, rank, 1)(batches)])
+    _, _, words, at = next(masked_lm._tokens(batch.column(0), rank))
+    places = np.arange(1, len(words), 2)
+    places = places[np.argsort(masked_lm.noise(len(places), 1))]
+    plain = plain_training(start, words[places], masked_lm._contexts(words, at, places))
+    got = weights(iter([batch]))
+    assert np.abs(plain - start).max() > 0.01 and np.abs(got - plain).max() < 1e-3 and np.abs(got - plain).mean() < 1e-6
+    hashed = list(masked_lm._hashed(iter([batch])))
+    monkeypatch.setattr(masked_lm, "word_hashes", None)
+    assert (weights(b.select(["buckets", "first"]) for b in hashed if b.column(0)[0].is_valid) == got).all()
+    assert sum(sum(b.column(3)[0].as_py()) for b in hashed if b.column(2)[0].is_valid) == len(words)
+
+
+def test_scores_of_large_weights_fit():
+    net = masked_lm.Net(np.zeros(masked_lm.SIZE, np.float32))
+    net.cls_b[3], net.mem_b[3, 5] = 500, -300
+    context = np.zeros((2, 2 * masked_lm.SIDE), np.int64)
+    got = net.log_prob(context, np.array([3 * masked_lm.MEMBERS, 3 * masked_lm.MEMBERS + 5]))
+    assert got == pytest.approx([-np.log(masked_lm.MEMBERS - 1), -300 - np.log(masked_lm.MEMBERS - 1)], rel=1e-5)
+
+
 def quality_rows(n, seed):
     rng = random.Random(seed)
     rows, labels = [], []
